@@ -1,5 +1,6 @@
 """One DuckDB SQL string per registered query."""
 
+from oracle_sql.analytics import analytics_sql
 from oracle_sql.views import with_ctes
 
 SILVER = {
@@ -21,4 +22,5 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     out.update({q: with_ctes(f"SELECT * FROM {cte}") for q, cte in SILVER.items()})
     out.update({t: with_ctes(f"SELECT * FROM g_{t}") for t in GOLD})
+    out.update(analytics_sql())
     return out

@@ -284,7 +284,10 @@ CTES = {
 }
 
 
-def with_ctes(select_sql: str) -> str:
-    """Prefix a final SELECT with every CTE (DuckDB ignores unreferenced ones)."""
+def with_ctes(select_sql: str, extra: str = "") -> str:
+    """Prefix a final SELECT with every CTE (DuckDB ignores unreferenced
+    ones), plus ``extra`` CTE definitions after them."""
     body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in CTES.items())
+    if extra:
+        body += ",\n" + extra
     return f"WITH {body}\n{select_sql}"

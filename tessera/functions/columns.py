@@ -69,3 +69,41 @@ def pct(num: str | Column, den: str | Column, scale: int) -> Column:
 def any_null(cols: list[str]) -> Column:
     """OR of ``isNull`` over several columns."""
     return reduce(operator.or_, [F.col(c).isNull() for c in cols])
+
+
+# ---- exact rounded ratios -------------------------------------------------
+# ROUND of a DOUBLE near a decimal tie depends on the engine, so rounded
+# averages and percentages are computed in DECIMAL: operands are cast to
+# bounded precision so the quotient keeps >= 14 fractional digits, then
+# rounded HALF_UP (away from zero on ties).
+
+SUM_MONEY = "decimal(22,2)"  # sum of gold money
+ROUNDED_MONEY = "decimal(18,2)"  # a rounded money average
+
+
+def exact_ratio(num: str | Column, den: str | Column, scale: int, mult: int = 1) -> Column:
+    """ROUND(mult * num / den, scale) as DOUBLE, NULL when den is 0 or NULL.
+
+    num and den are counts or money (at most 2 decimals)."""
+    n = (_col(num).cast("decimal(22,2)") * F.lit(mult)).cast("decimal(24,2)")
+    d = F.nullif(_col(den).cast("decimal(22,2)"), F.lit(0))
+    return F.round(n / d, scale).cast("double")
+
+
+def exact_avg(c: str | Column, scale: int = 2) -> Column:
+    """ROUND(AVG(c), scale) as DOUBLE; c is INT or DECIMAL."""
+    col = _col(c)
+    return exact_ratio(F.sum(col), F.count(col), scale)
+
+
+def avg_money(c: str | Column) -> Column:
+    """ROUND(AVG(money), 2) as DECIMAL(18,2), computed exactly."""
+    col = _col(c)
+    q = F.sum(col).cast(SUM_MONEY) / F.nullif(F.count(col), F.lit(0)).cast("decimal(20,0)")
+    return F.round(q, 2).cast(ROUNDED_MONEY)
+
+
+def money_ratio(num: str | Column, den: str | Column) -> Column:
+    """ROUND(num / den, 2) as DECIMAL(18,2) (money per unit)."""
+    q = _col(num).cast(SUM_MONEY) / F.nullif(_col(den), F.lit(0)).cast("decimal(20,0)")
+    return F.round(q, 2).cast(ROUNDED_MONEY)

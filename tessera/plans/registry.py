@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import gold as G
 from tessera.operators import silver as S
+from tessera.plans import analytics as A
 from tessera.sources.retail_views import bronze_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +55,23 @@ SILVER_NAMES = {
 GOLD_NAMES = ("dim_date", "dim_product", "dim_seller", "dim_customer", "fact_order", "fact_order_item")
 
 
+ANALYTICS = ("q1a_top_products", "q1b_top_categories", "q1c_top_customers_revenue",
+             "q1d_top_customers_orders", "q2_monthly_revenue", "q3_delivery_extremes",
+             "q4_state_performance", "q5_cohort_retention", "q6a_gap_histogram",
+             "q6b_repeat_variants", "q6c_repeat_by_review", "q7_basket_by_state",
+             "q8a_one_time_buyers", "q8b_value_by_sequence", "q8c_new_customers")
+
+
+def _analytics(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return A.run_all(gold_tables(spark, sf_dir))[name]
+    run.__name__ = name
+    return run
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update({q: _silver(t) for q, t in SILVER_NAMES.items()})
     out.update({t: _gold(t) for t in GOLD_NAMES})
+    out.update({q: _analytics(q) for q in ANALYTICS})
     return out
