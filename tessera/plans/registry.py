@@ -74,4 +74,45 @@ def queries() -> dict[str, Query]:
     out.update({q: _silver(t) for q, t in SILVER_NAMES.items()})
     out.update({t: _gold(t) for t in GOLD_NAMES})
     out.update({q: _analytics(q) for q in ANALYTICS})
+    out.update(quality_queries())
+    return out
+
+
+# ---- data quality -----------------------------------------------------------
+from tessera.operators.quality import reconcile_layers  # noqa: E402
+from tessera.plans import profiling as P  # noqa: E402
+from tessera.sources.retail_views import bronze_order_items  # noqa: E402
+
+BRONZE_REPORTS = ("dq_shape", "dq_columns", "dq_columns_approx", "dq_keys", "dq_casts", "dq_fks",
+                  "dq_null_matrix", "dq_timeline", "dq_monthly_volume", "dq_orders_per_customer",
+                  "dq_attr_stability", "dq_reconcile", "dq_payment_mix", "dq_group_sizes", "dq_domain",
+                  "dq_attr_conflict", "dq_lookup_gaps", "dq_entity_dupes", "dq_reviews_per_order")
+CONSTRAINT_REPORTS = ("dq_check_violations", "dq_pk_violations", "dq_fk_violations")
+
+
+def _bronze_report(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return P.bronze_reports(bronze_views(spark, sf_dir),
+                                bronze_order_items(spark, sf_dir, profiling=True))[name]
+    run.__name__ = name
+    return run
+
+
+def _constraint_report(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = silver_tables(spark, sf_dir)
+        return P.constraint_reports({**s, **G.build_gold(s)})[name]
+    run.__name__ = name
+    return run
+
+
+def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = silver_tables(spark, sf_dir)
+    return reconcile_layers(s, G.build_gold(s))
+
+
+def quality_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {q: _bronze_report(q) for q in BRONZE_REPORTS}
+    out.update({q: _constraint_report(q) for q in CONSTRAINT_REPORTS})
+    out["reconcile_layers"] = _reconcile
     return out
