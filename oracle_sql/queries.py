@@ -1,6 +1,7 @@
 """One DuckDB SQL string per registered query."""
 
 from oracle_sql.analytics import analytics_sql
+from oracle_sql.quality import bronze_sql, constraint_sql
 from oracle_sql.views import with_ctes
 
 SILVER = {
@@ -23,4 +24,6 @@ def oracle_sql() -> dict[str, str]:
     out.update({q: with_ctes(f"SELECT * FROM {cte}") for q, cte in SILVER.items()})
     out.update({t: with_ctes(f"SELECT * FROM g_{t}") for t in GOLD})
     out.update(analytics_sql())
+    out.update(bronze_sql())
+    out.update(constraint_sql())
     return out
