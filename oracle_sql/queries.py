@@ -19,8 +19,24 @@ SILVER = {
 GOLD = ("dim_date", "dim_product", "dim_seller", "dim_customer", "fact_order", "fact_order_item")
 
 
+CORE = {
+    "dedupe_line_items": """
+        SELECT * FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_discount, l_extendedprice,
+                 l_linestatus, l_partkey, l_quantity, l_returnflag, l_shipdate, l_suppkey, l_tax) = 1""",
+    "text_clean": """
+        SELECT doc_id, lang, NULLIF(trim(text), '') AS text, CAST(length(NULLIF(trim(text), '')) AS INTEGER) AS clean_chars
+        FROM documents""",
+    "surrogate_keys": """
+        SELECT o_orderkey, c_custkey, sha256(concat_ws('||', CAST(c_custkey AS VARCHAR))) AS customer_key,
+               sha256(concat_ws('||', c_mktsegment, CAST(c_nationkey AS VARCHAR))) AS segment_key,
+               CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key
+        FROM customer JOIN orders ON c_custkey = o_custkey""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    out = {}
+    out = dict(CORE)
     out.update({q: with_ctes(f"SELECT * FROM {cte}") for q, cte in SILVER.items()})
     out.update({t: with_ctes(f"SELECT * FROM g_{t}") for t in GOLD})
     out.update(analytics_sql())

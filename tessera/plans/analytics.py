@@ -326,24 +326,33 @@ def new_customers_per_month(fact_order: DataFrame, dim_date: DataFrame, p: Param
     )
 
 
+# query name -> (function, gold tables it reads, in argument order)
+QUERIES = {
+    "q1a_top_products": (top_products, ("fact_order_item", "dim_product")),
+    "q1b_top_categories": (top_categories, ("fact_order_item", "dim_product")),
+    "q1c_top_customers_revenue": (top_customers_by_revenue, ("dim_customer",)),
+    "q1d_top_customers_orders": (top_customers_by_orders, ("dim_customer",)),
+    "q2_monthly_revenue": (monthly_revenue, ("fact_order", "dim_date")),
+    "q3_delivery_extremes": (delivery_extremes, ("fact_order", "dim_customer")),
+    "q4_state_performance": (state_performance, ("fact_order", "dim_customer")),
+    "q5_cohort_retention": (cohort_retention, ("fact_order", "dim_date")),
+    "q6a_gap_histogram": (gap_histogram, ("fact_order",)),
+    "q6b_repeat_variants": (repeat_rate_variants, ("fact_order",)),
+    "q6c_repeat_by_review": (repeat_by_first_review, ("fact_order",)),
+    "q7_basket_by_state": (basket_by_state, ("fact_order", "dim_customer")),
+    "q8a_one_time_buyers": (one_time_buyers, ("dim_customer",)),
+    "q8b_value_by_sequence": (value_by_sequence, ("fact_order",)),
+    "q8c_new_customers": (new_customers_per_month, ("fact_order", "dim_date")),
+}
+
+
+def run(name: str, gold, p: Params = DEFAULT) -> DataFrame:
+    """One analytics query; ``gold`` maps a gold table name to a DataFrame
+    (a dict, or anything with ``__getitem__``)."""
+    fn, inputs = QUERIES[name]
+    return fn(*[gold[t] for t in inputs], p)
+
+
 def run_all(gold: dict[str, DataFrame], p: Params = DEFAULT) -> dict[str, DataFrame]:
     """Every analytics query over a dict of gold tables."""
-    fo, fi = gold["fact_order"], gold["fact_order_item"]
-    dc, dp, dd = gold["dim_customer"], gold["dim_product"], gold["dim_date"]
-    return {
-        "q1a_top_products": top_products(fi, dp, p),
-        "q1b_top_categories": top_categories(fi, dp, p),
-        "q1c_top_customers_revenue": top_customers_by_revenue(dc, p),
-        "q1d_top_customers_orders": top_customers_by_orders(dc, p),
-        "q2_monthly_revenue": monthly_revenue(fo, dd, p),
-        "q3_delivery_extremes": delivery_extremes(fo, dc, p),
-        "q4_state_performance": state_performance(fo, dc, p),
-        "q5_cohort_retention": cohort_retention(fo, dd, p),
-        "q6a_gap_histogram": gap_histogram(fo, p),
-        "q6b_repeat_variants": repeat_rate_variants(fo, p),
-        "q6c_repeat_by_review": repeat_by_first_review(fo, p),
-        "q7_basket_by_state": basket_by_state(fo, dc, p),
-        "q8a_one_time_buyers": one_time_buyers(dc, p),
-        "q8b_value_by_sequence": value_by_sequence(fo, p),
-        "q8c_new_customers": new_customers_per_month(fo, dd, p),
-    }
+    return {name: run(name, gold, p) for name in QUERIES}

@@ -1,7 +1,7 @@
 """Registry of every query: name -> (spark, sf_dir) -> DataFrame.
 
-Each entry runs over the driver's full tables at ``sf_dir`` (bronze views
--> silver -> gold -> query, one lazy plan).
+Each entry runs over the driver's full tables at ``sf_dir``; the plan holds
+only the lineage the query needs (bronze views -> silver -> gold -> query).
 """
 
 from __future__ import annotations
@@ -10,36 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators import gold as G
-from tessera.operators import silver as S
+from tessera.operators.quality import reconcile_layers
 from tessera.plans import analytics as A
-from tessera.sources.retail_views import bronze_views
+from tessera.plans import core as C
+from tessera.plans import profiling as P
+from tessera.plans.tables import GOLD_INPUTS, SILVER_INPUTS, RetailTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return S.build_silver(bronze_views(spark, sf_dir))
-
-
-def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return G.build_gold(silver_tables(spark, sf_dir))
-
-
-def _silver(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return silver_tables(spark, sf_dir)[name]
-    run.__name__ = f"stg_{name}"
-    return run
-
-
-def _gold(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return gold_tables(spark, sf_dir)[name]
-    run.__name__ = name
-    return run
-
-
 SILVER_NAMES = {
     "stg_geography": "geography",
     "stg_categories": "product_categories",
@@ -52,67 +30,45 @@ SILVER_NAMES = {
     "stg_reviews": "reviews",
     "stg_order_reviews": "order_reviews",
 }
-GOLD_NAMES = ("dim_date", "dim_product", "dim_seller", "dim_customer", "fact_order", "fact_order_item")
 
 
-ANALYTICS = ("q1a_top_products", "q1b_top_categories", "q1c_top_customers_revenue",
-             "q1d_top_customers_orders", "q2_monthly_revenue", "q3_delivery_extremes",
-             "q4_state_performance", "q5_cohort_retention", "q6a_gap_histogram",
-             "q6b_repeat_variants", "q6c_repeat_by_review", "q7_basket_by_state",
-             "q8a_one_time_buyers", "q8b_value_by_sequence", "q8c_new_customers")
+class _Both:
+    """silver+gold lookup by bare table name."""
 
+    def __init__(self, t: RetailTables):
+        self.t = t
 
-def _analytics(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return A.run_all(gold_tables(spark, sf_dir))[name]
-    run.__name__ = name
-    return run
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.t.silver(name) if name in SILVER_INPUTS else self.t.gold(name)
 
 
-def queries() -> dict[str, Query]:
-    out: dict[str, Query] = {}
-    out.update({q: _silver(t) for q, t in SILVER_NAMES.items()})
-    out.update({t: _gold(t) for t in GOLD_NAMES})
-    out.update({q: _analytics(q) for q in ANALYTICS})
-    out.update(quality_queries())
-    return out
+def _named(name: str, fn: Query) -> Query:
+    fn.__name__ = name
+    return fn
 
 
-# ---- data quality -----------------------------------------------------------
-from tessera.operators.quality import reconcile_layers  # noqa: E402
-from tessera.plans import profiling as P  # noqa: E402
-from tessera.sources.retail_views import bronze_order_items  # noqa: E402
-
-BRONZE_REPORTS = ("dq_shape", "dq_columns", "dq_columns_approx", "dq_keys", "dq_casts", "dq_fks",
-                  "dq_null_matrix", "dq_timeline", "dq_monthly_volume", "dq_orders_per_customer",
-                  "dq_attr_stability", "dq_reconcile", "dq_payment_mix", "dq_group_sizes", "dq_domain",
-                  "dq_attr_conflict", "dq_lookup_gaps", "dq_entity_dupes", "dq_reviews_per_order")
-CONSTRAINT_REPORTS = ("dq_check_violations", "dq_pk_violations", "dq_fk_violations")
-
-
-def _bronze_report(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return P.bronze_reports(bronze_views(spark, sf_dir),
-                                bronze_order_items(spark, sf_dir, profiling=True))[name]
-    run.__name__ = name
-    return run
-
-
-def _constraint_report(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_tables(spark, sf_dir)
-        return P.constraint_reports({**s, **G.build_gold(s)})[name]
-    run.__name__ = name
-    return run
-
-
-def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = silver_tables(spark, sf_dir)
-    return reconcile_layers(s, G.build_gold(s))
-
-
-def quality_queries() -> dict[str, Query]:
-    out: dict[str, Query] = {q: _bronze_report(q) for q in BRONZE_REPORTS}
-    out.update({q: _constraint_report(q) for q in CONSTRAINT_REPORTS})
-    out["reconcile_layers"] = _reconcile
+def queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        "dedupe_line_items": C.dedupe_line_items,
+        "text_clean": C.text_clean,
+        "surrogate_keys": C.surrogate_keys,
+    }
+    for q, t in SILVER_NAMES.items():
+        out[q] = _named(q, lambda spark, sf, t=t: RetailTables(spark, sf).silver(t))
+    for t in GOLD_INPUTS:
+        out[t] = _named(t, lambda spark, sf, t=t: RetailTables(spark, sf).gold(t))
+    for q in A.QUERIES:
+        out[q] = _named(q, lambda spark, sf, q=q: A.run(q, _Both(RetailTables(spark, sf))))
+    for q, build in P.BRONZE_REPORTS.items():
+        def run(spark, sf, build=build):
+            t = RetailTables(spark, sf)
+            return build(t.bronze, t.profiling_order_items)
+        out[q] = _named(q, run)
+    for q, build in P.CONSTRAINT_REPORTS.items():
+        out[q] = _named(q, lambda spark, sf, build=build: build(_Both(RetailTables(spark, sf))))
+
+    def recon(spark, sf):
+        t = RetailTables(spark, sf)
+        return reconcile_layers(t.all_silver(), t.all_gold())
+    out["reconcile_layers"] = _named("reconcile_layers", recon)
     return out

@@ -39,6 +39,7 @@ BRONZE_TABLES = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (a parquet scan: filters and projections push down)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -257,7 +258,7 @@ def bronze_order_reviews(spark: SparkSession, sf_dir: str, loaded_at: str = LOAD
                      "r.review_answer_timestamp", "_source_file", "_loaded_at"))
 
 
-_BUILDERS = {
+BUILDERS = {
     "customers": bronze_customers,
     "geolocation": bronze_geolocation,
     "order_items": bronze_order_items,
@@ -272,4 +273,4 @@ _BUILDERS = {
 
 def bronze_views(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> dict[str, DataFrame]:
     """All nine bronze tables as lazy DataFrames."""
-    return {name: _BUILDERS[name](spark, sf_dir, loaded_at) for name in BRONZE_TABLES}
+    return {name: BUILDERS[name](spark, sf_dir, loaded_at) for name in BRONZE_TABLES}
