@@ -284,10 +284,29 @@ CTES = {
 }
 
 
+def count_if_as_filter(sql: str) -> str:
+    """``count_if(c)`` -> ``count(*) FILTER (WHERE c)``: DuckDB's count_if is
+    NULL when every input is NULL, where Spark's (the semantics to match) is 0."""
+    out, i = [], 0
+    while True:
+        j = sql.find("count_if(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("count_if")
+        for k in range(j + len("count_if"), len(sql)):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+        inner = count_if_as_filter(sql[j + len("count_if("):k])
+        out.append(sql[i:j] + f"count(*) FILTER (WHERE {inner})")
+        i = k + 1
+
+
 def with_ctes(select_sql: str, extra: str = "") -> str:
     """Prefix a final SELECT with every CTE (DuckDB ignores unreferenced
     ones), plus ``extra`` CTE definitions after them."""
     body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in CTES.items())
     if extra:
         body += ",\n" + extra
-    return f"WITH {body}\n{select_sql}"
+    return count_if_as_filter(f"WITH {body}\n{select_sql}")
