@@ -20,6 +20,7 @@ from tessera.functions.columns import (
     exact_ratio,
     money_ratio,
 )
+from tessera.operators.percentile import exact_percentile
 from tessera.operators.sequence import order_sequence
 
 
@@ -150,8 +151,11 @@ def delivery_extremes(fact_order: DataFrame, dim_customer: DataFrame, p: Params
     delivered = _with_state(_fulfilled(fact_order).filter(F.col("delivery_days").isNotNull()), dim_customer)
     days = F.col("delivery_days")
     p99 = delivered.agg(F.percentile(days.cast("double"), 0.99)).scalar()
-    extreme = days > p99
-    by_state = (delivered.groupBy("customer_state").agg(
+    # the threshold test is projected before the aggregate (a scalar subquery
+    # over a plan with file names / partition ids counts as non-deterministic)
+    flagged = delivered.withColumn("_extreme", days > p99)
+    extreme = F.col("_extreme")
+    by_state = (flagged.groupBy("customer_state").agg(
         F.count(F.lit(1)).alias("delivered_orders"),
         F.percentile(days.cast("double"), 0.5).alias("median_days"),
         F.count_if(extreme).alias("extreme_orders"),
@@ -205,21 +209,23 @@ def _returned(gap: str, p: Params):
 
 def cohort_retention(fact_order: DataFrame, dim_date: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Q5: monthly acquisition cohorts, repeat rate within the window and
-    median days to return. Cohort months are applied after sequencing."""
+    median days to return. Cohort months are applied after sequencing.
+    One pass: the returners' median is a percentile over the gaps of those
+    who returned, in the same aggregation (NULL when nobody did)."""
     firsts = order_sequence(fact_order, depth=2).filter(F.col("order_seq") == 1)
     cohorts = (firsts.join(_dates(dim_date), "purchase_date_key")
                .filter(F.col("year_month").between(p.month_from, p.cohort_to))
                .select(F.col("year_month").alias("acquisition_month"),
                        F.col("order_value").alias("first_order_value"), "gap_days",
                        _returned("gap_days", p).alias("returned_in_90d")))
-    returners = (cohorts.filter(F.col("returned_in_90d")).groupBy("acquisition_month")
-                 .agg(F.percentile(F.col("gap_days").cast("double"), 0.5).alias("_median")))
+    returned = F.col("returned_in_90d")
     agg = cohorts.groupBy("acquisition_month").agg(
         F.count(F.lit(1)).alias("new_customers"),
         F.sum("first_order_value").cast(SUM_MONEY).alias("first_order_revenue"),
         avg_money("first_order_value").alias("avg_first_order_value"),
-        F.count_if("returned_in_90d").alias("returned_within_90d"))
-    return (agg.join(returners, "acquisition_month", "left").select(
+        F.count_if(returned).alias("returned_within_90d"),
+        F.percentile(F.when(returned, F.col("gap_days")).cast("double"), 0.5).alias("_median"))
+    return (agg.select(
                 "acquisition_month", "new_customers", "first_order_revenue", "avg_first_order_value",
                 "returned_within_90d",
                 exact_ratio("returned_within_90d", "new_customers", 2, 100).alias("repeat_rate_90d_pct"),
@@ -292,15 +298,17 @@ def basket_by_state(fact_order: DataFrame, dim_customer: DataFrame, p: Params =
 
 def one_time_buyers(dim_customer: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """One-time buyers by recency bucket and above/below median spend.
-    The median is a scalar subquery."""
+    The median is a scalar subquery over the distributed exact percentile."""
     one = dim_customer.filter(F.col("lifetime_fulfilled_orders") == 1).select(
         "lifetime_revenue", F.datediff(F.lit(p.as_of).cast("date"), "last_order_at").alias("days_since_order"))
-    median = one.agg(F.percentile(F.col("lifetime_revenue").cast("double"), 0.5)).scalar()
+    # revenue has unbounded distinct values: distributed exact median
+    median = exact_percentile(one, "lifetime_revenue", 0.5, alias="m").scalar()
     d = F.col("days_since_order")
     recency = (F.when(d <= 90, "a. 0-90 days").when(d <= 180, "b. 91-180 days")
                 .when(d <= 365, "c. 181-365 days").otherwise("d. 365+ days"))
     tier = F.when(F.col("lifetime_revenue") >= median, "above median spend").otherwise("below median spend")
-    return (one.groupBy(recency.alias("recency"), tier.alias("value_tier"))
+    return (one.select("lifetime_revenue", recency.alias("recency"), tier.alias("value_tier"))
+            .groupBy("recency", "value_tier")
             .agg(F.count(F.lit(1)).alias("customers"),
                  avg_money("lifetime_revenue").alias("avg_first_order_value"))
             .orderBy("recency", "value_tier"))

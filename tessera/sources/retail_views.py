@@ -38,9 +38,27 @@ BRONZE_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (a parquet scan: filters and projections push down)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, with_file: bool = False,
+               spread: bool = True) -> DataFrame:
+    """One driver table (a parquet scan: filters and projections push down).
+
+    ``with_file`` adds ``_source_file`` (taken at the scan, before any
+    shuffle). A source with fewer splits than the cluster's parallelism (a
+    single large row group cannot be split) is spread round-robin first, so
+    the per-row work after it does not run in one task; with many splits
+    this is a no-op. ``spread=False`` for fixed tiny tables (nation).
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if with_file:
+        # input_file_name() rather than _metadata.file_path: when a later
+        # projection drops the column (silver does), the hidden _metadata
+        # struct is not pruned cleanly and the scan reads every metadata
+        # field, including per-row indexes.
+        df = df.withColumn("_source_file", F.input_file_name())
+    parallelism = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < parallelism:
+        df = df.repartition(parallelism)
+    return df
 
 
 def _s(c: Column) -> Column:
@@ -52,8 +70,8 @@ def _zip(c: Column) -> Column:
 
 
 def _lineage(loaded_at: str) -> list[Column]:
-    return [F.col("_metadata.file_path").alias("_source_file"),
-            F.lit(loaded_at).cast("timestamp").alias("_loaded_at")]
+    """Lineage of a view: its primary table's file and the landing time."""
+    return [F.col("_source_file"), F.lit(loaded_at).cast("timestamp").alias("_loaded_at")]
 
 
 def _plus(ts: Column, days: Column | int = 0, hours: Column | int = 0,
@@ -64,7 +82,7 @@ def _plus(ts: Column, days: Column | int = 0, hours: Column | int = 0,
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", with_file=True)
     k = F.col("o_orderkey")
     base = F.col("o_orderdate")
     status = (F.when(F.col("o_orderstatus") == "F", "delivered")
@@ -91,11 +109,11 @@ def bronze_orders(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT)
 
 def bronze_customers(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> DataFrame:
     """One customer record per order (the order-customer), as in the source system."""
-    o = read_table(spark, sf_dir, "orders").select(
+    o = read_table(spark, sf_dir, "orders", with_file=True).select(
         "o_orderkey", "o_custkey", *_lineage(loaded_at))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     # nation is a fixed 25-row dimension
-    n = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = F.broadcast(read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name"))
     k = F.col("o_orderkey")
     return (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -111,8 +129,9 @@ def bronze_customers(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_A
 
 
 def bronze_sellers(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", *_lineage(loaded_at))
-    n = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    s = read_table(spark, sf_dir, "supplier", with_file=True).select(
+        "s_suppkey", "s_nationkey", *_lineage(loaded_at))
+    n = F.broadcast(read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name"))
     return (s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
              .select(F.concat(F.lit("s"), _s(F.col("s_suppkey"))).alias("seller_id"),
                      _zip(F.col("s_nationkey")).alias("seller_zip_code_prefix"),
@@ -124,9 +143,9 @@ def bronze_sellers(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT)
 def bronze_geolocation(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> DataFrame:
     """Coordinates per customer, for nations with key mod 7 != 3; customers with
     key mod 4 = 0 appear twice (exact duplicates)."""
-    c = read_table(spark, sf_dir, "customer").select(
+    c = read_table(spark, sf_dir, "customer", with_file=True).select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", *_lineage(loaded_at))
-    n = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = F.broadcast(read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name"))
     copies = F.when(F.col("c_custkey") % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     bal = F.col("c_acctbal").cast("decimal(12,2)")
     return (c.filter(F.col("c_nationkey") % 7 != 3)
@@ -141,7 +160,7 @@ def bronze_geolocation(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED
 
 
 def bronze_products(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> DataFrame:
-    p = read_table(spark, sf_dir, "part")
+    p = read_table(spark, sf_dir, "part", with_file=True)
     key = F.col("p_partkey")
     size = F.col("p_size")
     return p.select(
@@ -180,7 +199,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED
     ``profiling=True`` gives the copy used by the cast check, where the price
     of every order with key mod 97 = 0 is the unparseable text 'n/a'.
     """
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", with_file=True)
     price = F.col("l_extendedprice").cast("decimal(10,2)")
     freight = (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(10,2)")
     price_text = _s(price)
@@ -201,7 +220,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED
 def bronze_order_payments(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> DataFrame:
     """Sequence 1 for every order but key mod 200 = 7; a second (voucher)
     instrument splits 60/40 when key mod 3 = 0."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", with_file=True)
     k = F.col("o_orderkey")
     split = k % 3 == 0
     total = F.col("o_totalprice").cast("decimal(12,2)")
@@ -228,7 +247,7 @@ def bronze_order_reviews(spark: SparkSession, sf_dir: str, loaded_at: str = LOAD
     so some reviews cover two orders; orders with k mod 50 = 3 get a second
     review 'x<k>'. Creation dates follow the order, so a shared review has two
     differing rows that dedupe must resolve."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", with_file=True)
     k = F.col("o_orderkey")
     n = F.when(k % 20 == 1, k - 1).otherwise(k)
     created = _plus(F.col("o_orderdate"), days=30)
