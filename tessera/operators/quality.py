@@ -145,6 +145,16 @@ def reconcile_layers(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -
     return both.withColumn("ok", F.coalesce(agree, F.lit(False)))
 
 
+def assert_keys(pk_report: DataFrame, fk_report: DataFrame) -> None:
+    """Fail the run on duplicate/NULL primary keys or orphan foreign keys
+    (reads only the offending report rows: one per failing key)."""
+    dup = pk_report.filter((F.col("duplicate_key_rows") > 0) | (F.col("null_key_rows") > 0)).select("table")
+    orphans = fk_report.filter(F.col("orphan_rows") > 0).select(F.col("child").alias("table"))
+    bad = [r["table"] for r in dup.unionByName(orphans).collect()]
+    if bad:
+        raise AssertionError(f"key constraints violated: {bad}")
+
+
 def assert_reconciled(checks: DataFrame) -> None:
     """Fail the run when a reconciliation check disagrees (two rows read)."""
     bad = [r["check"] for r in checks.filter(~F.col("ok")).select("check").collect()]

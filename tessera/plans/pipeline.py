@@ -9,7 +9,8 @@ import time
 from pyspark.sql import DataFrame
 
 from tessera.operators import gold as G
-from tessera.operators.quality import assert_reconciled, reconcile_layers
+from tessera.operators.quality import assert_keys, assert_reconciled, reconcile_layers
+from tessera.plans.profiling import CONSTRAINT_REPORTS
 from tessera.plans.tables import SILVER_INPUTS
 from tessera.sources.schemas import GOLD_ORDER, SCHEMAS, SILVER_ORDER
 from tessera.sources.sinks import write_table
@@ -56,11 +57,20 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str,
     return gold
 
 
-def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True,
+def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True, check_keys: bool = True,
                  timings: dict[str, float] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Write silver and gold under ``base``; fail if the layers disagree."""
+    """Write silver and gold under ``base``; fail if the layers disagree
+    (item value and revenue totals) or, with ``check_keys``, if any of the
+    16 primary keys is duplicated/NULL or any of the 16 foreign keys has
+    orphans (checked on the written tables)."""
     silver = build_silver_layer(bronze, base, timings)
     gold = build_gold_layer(silver, base, timings)
+    t0 = time.time()
     if reconcile:
         assert_reconciled(reconcile_layers(silver, gold))
+    if check_keys:
+        both = {**silver, **gold}
+        assert_keys(CONSTRAINT_REPORTS["dq_pk_violations"](both), CONSTRAINT_REPORTS["dq_fk_violations"](both))
+    if timings is not None:
+        timings["checks"] = time.time() - t0
     return silver, gold

@@ -83,3 +83,15 @@ def test_value_reconciliation_buckets(spark):
     assert (r.orders, r.match, r.paid_more_than_items, r.payments_but_no_items, r.items_but_no_payments) == \
            (4, 1, 1, 1, 1)
     assert isinstance(r.p99_abs_diff, float) and dt is not None
+
+
+def test_assert_keys_fails_on_orphans_and_duplicates(spark):
+    parent = spark.createDataFrame([("a",), ("a",)], "k string")
+    child = spark.createDataFrame([("a",), ("zz",)], "k string")
+    pk = Q.pk_check(parent, "parent", ["k"])
+    fk = Q.fk_check(child, "k", parent, "k", "child", "parent")
+    with pytest.raises(AssertionError, match="parent.*child.k"):
+        Q.assert_keys(pk, fk)
+    clean_pk = Q.pk_check(parent.distinct(), "parent", ["k"])
+    clean_fk = Q.fk_check(child.filter("k = 'a'"), "k", parent, "k", "child", "parent")
+    Q.assert_keys(clean_pk, clean_fk)
