@@ -1,8 +1,9 @@
 """Benchmark: the pipeline and the headline queries at $BENCH_SF_DIR.
 
-Runs on local[$BENCH_CPUS]. Builds silver and gold once (written to the
-session's checkpoint folder and read back), then times every analytics
-query on the written gold and the data-quality reports on bronze/silver.
+Runs on local[$BENCH_CPUS]. Lands bronze, builds silver and gold once
+(written to the session's checkpoint folder and read back), then times
+every analytics query on the written gold and the data-quality reports on
+the landed bronze and the written silver/gold.
 Per-query figures are the median of 3 runs after one warm-up. Prints one
 JSON line.
 """
@@ -21,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tessera.operators.conform import dedupe  # noqa: E402
 from tessera.plans import analytics as A  # noqa: E402
 from tessera.plans import profiling as P  # noqa: E402
-from tessera.plans.pipeline import run_pipeline  # noqa: E402
+from tessera.plans.pipeline import land_bronze, run_pipeline  # noqa: E402
 from tessera.plans.tables import RetailTables  # noqa: E402
 from tessera.session import checkpoint_dir, get_spark  # noqa: E402
 from tessera.sources.retail_views import read_table  # noqa: E402
@@ -58,10 +59,13 @@ def main():
     t = RetailTables(spark, sf_dir)
     timings: dict[str, float] = {}
     t0 = time.time()
-    silver, gold = run_pipeline(t.all_bronze(), base, timings=timings)
+    bronze = land_bronze(t.all_bronze(), base, timings=timings)
+    silver, gold = run_pipeline(bronze, base, timings=timings)
     total_pipeline = time.time() - t0
+    out["bronze_total"] = sum(v for k, v in timings.items() if k.startswith("bronze_"))
     out["stg_total"] = sum(v for k, v in timings.items() if k.startswith("stg_"))
-    out["gold_total"] = sum(v for k, v in timings.items() if not k.startswith("stg_") and k != "checks")
+    out["gold_total"] = sum(v for k, v in timings.items()
+                            if not k.startswith(("stg_", "bronze_")) and k != "checks")
     out["pipeline_checks"] = timings["checks"]
     out["pipeline_total"] = total_pipeline
 
@@ -71,12 +75,13 @@ def main():
     both = {**silver, **gold}
     dq = 0.0
     for name, build in P.BRONZE_REPORTS.items():
-        dq += timed(lambda build=build: _sink(build(t.bronze, t.profiling_order_items)), repeat=1, warm=False)
+        dq += timed(lambda build=build: _sink(build(bronze.__getitem__, t.profiling_order_items)),
+                    repeat=1, warm=False)
     for name, build in P.CONSTRAINT_REPORTS.items():
         dq += timed(lambda build=build: _sink(build(both)), repeat=1, warm=False)
     out["dq_total"] = dq
 
-    headline = sum(out[q] for q in A.QUERIES)
+    headline = sum(out[q] for q in A.QUERIES if q.startswith("q"))  # the reference's Q1a-Q8c
     print(json.dumps({
         "metric": "analytics_15_queries_total_on_written_gold",
         "value": round(headline, 3),

@@ -220,6 +220,21 @@ def analytics_sql() -> dict[str, str]:
             FROM seq s JOIN g_dim_date d ON s.purchase_date_key = d.date_key
             WHERE s.order_seq = 1 AND d.year_month BETWEEN '{YEAR_FROM}' AND '{YEAR_TO}'
             GROUP BY d.year_month)"""
+    q["x8_campaign_targets"] = f""",
+      one AS (SELECT * FROM g_dim_customer WHERE lifetime_fulfilled_orders = 1),
+      med AS (SELECT quantile_cont(CAST(lifetime_revenue AS DOUBLE), 0.5) AS m FROM one),
+      dlv AS (SELECT customer_key,
+                     CAST(CAST(purchased_at AS DATE) + CAST(delivery_days AS INTEGER) AS DATE) AS delivered_on
+              FROM g_fact_order WHERE is_fulfilled AND delivery_days IS NOT NULL)
+      SELECT o.customer_unique_id, o.customer_state, d.delivered_on,
+             CAST(date_diff('day', d.delivered_on, DATE '{AS_OF}') AS INTEGER) AS days_since_delivery,
+             o.lifetime_revenue AS first_order_value,
+             CASE WHEN ('0x' || right(o.customer_key, 1))::INTEGER % 2 = 0 THEN 'holdout' ELSE 'treatment' END
+               AS campaign_group
+      FROM one o JOIN dlv d ON o.customer_key = d.customer_key
+      WHERE o.lifetime_revenue >= (SELECT m FROM med)
+        AND date_diff('day', d.delivered_on, DATE '{AS_OF}') BETWEEN 21 AND 30
+      ORDER BY d.delivered_on, o.customer_unique_id"""
     out = {}
     for name, sql in q.items():
         if sql.startswith(","):

@@ -34,6 +34,8 @@ class Params:
     min_support: int = 100  # minimum delivered orders per state (Q3)
     year_from: str = "2001-01"  # months averaged for new-customer sizing (Q8c)
     year_to: str = "2001-07"
+    contact_from_days: int = 21  # campaign contact window after delivery (X8)
+    contact_to_days: int = 30
     top_n: int = 10
     gap_max_days: int = 10  # Q6a histogram range
     split_minutes: int = 5  # Q6a split checkout threshold
@@ -334,6 +336,33 @@ def new_customers_per_month(fact_order: DataFrame, dim_date: DataFrame, p: Param
     )
 
 
+def campaign_targets(fact_order: DataFrame, dim_customer: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Retention-campaign target list as of ``as_of``.
+
+    One-time buyers at or above the one-timer median spend whose order
+    arrived ``contact_from_days``..``contact_to_days`` days ago, split 50/50
+    into treatment and holdout by the parity of the last hex digit of their
+    (SHA-256) customer key: stable across runs and engines.
+    """
+    one = dim_customer.filter(F.col("lifetime_fulfilled_orders") == 1)
+    median = exact_percentile(one, "lifetime_revenue", 0.5, alias="m").scalar()
+    delivered = (_fulfilled(fact_order).filter(F.col("delivery_days").isNotNull())
+                 .select("customer_key",
+                         F.date_add(F.to_date("purchased_at"), F.col("delivery_days")).alias("delivered_on")))
+    since = F.datediff(F.lit(p.as_of).cast("date"), F.col("delivered_on"))
+    last_digit = F.conv(F.substring("customer_key", -1, 1), 16, 10).cast("int")
+    return (one.select("customer_key", "customer_unique_id", "customer_state", "lifetime_revenue")
+            .withColumn("_above", F.col("lifetime_revenue") >= median)
+            .filter(F.col("_above"))
+            .join(delivered, "customer_key")
+            .withColumn("days_since_delivery", since)
+            .filter(F.col("days_since_delivery").between(p.contact_from_days, p.contact_to_days))
+            .select("customer_unique_id", "customer_state", "delivered_on", "days_since_delivery",
+                    F.col("lifetime_revenue").alias("first_order_value"),
+                    F.when(last_digit % 2 == 0, "holdout").otherwise("treatment").alias("campaign_group"))
+            .orderBy("delivered_on", "customer_unique_id"))
+
+
 # query name -> (function, gold tables it reads, in argument order)
 QUERIES = {
     "q1a_top_products": (top_products, ("fact_order_item", "dim_product")),
@@ -351,6 +380,7 @@ QUERIES = {
     "q8a_one_time_buyers": (one_time_buyers, ("dim_customer",)),
     "q8b_value_by_sequence": (value_by_sequence, ("fact_order",)),
     "q8c_new_customers": (new_customers_per_month, ("fact_order", "dim_date")),
+    "x8_campaign_targets": (campaign_targets, ("fact_order", "dim_customer")),
 }
 
 

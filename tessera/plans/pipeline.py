@@ -20,6 +20,20 @@ SORT_BY = {"fact_order": ["purchase_date_key"], "fact_order_item": ["purchase_da
            "orders": ["purchased_at"], "order_items": ["order_id"]}
 
 
+def land_bronze(bronze: dict[str, DataFrame], base: str,
+                timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
+    """Write the (all-string) bronze tables as they arrive and read them
+    back: profiling and silver then scan landed files instead of
+    re-deriving the sources. A re-land that would reshape a table fails."""
+    landed = {}
+    for name, df in bronze.items():
+        t0 = time.time()
+        landed[name] = write_table(df, f"{base}/bronze/{name}", schema=df.schema)
+        if timings is not None:
+            timings[f"bronze_{name}"] = time.time() - t0
+    return landed
+
+
 def build_silver_layer(bronze: dict[str, DataFrame], base: str,
                        timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
     silver = {}
