@@ -231,6 +231,23 @@ def bronze_sql() -> dict[str, str]:
     q["dq_reviews_per_order"] = f"""
         SELECT reviews_per_order, count(*) AS orders
         FROM (SELECT order_id, count(*) AS reviews_per_order FROM {_t('order_reviews')} GROUP BY 1) GROUP BY 1"""
+    from oracle_sql.analytics import rr
+    q["dq_volume_drift"] = f"""
+        SELECT month, rows, {rr('ps', 'pn', 2)} AS prev_avg_rows,
+               {rr('rows * pn - ps', 'ps', 1, 100)} AS volume_drift_pct,
+               null_rate_pct, null_rate_pct - lag(null_rate_pct) OVER (ORDER BY month) AS null_rate_change
+        FROM (SELECT month, rows, sum(rows) OVER w AS ps, count(rows) OVER w AS pn,
+                     {rr('nulls', 'rows', 2, 100)} AS null_rate_pct
+              FROM (SELECT strftime({ts('order_purchase_timestamp')}, '%Y-%m') AS month, count(*) AS rows,
+                           count(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS nulls
+                    FROM {_t('orders')} GROUP BY 1)
+              WINDOW w AS (ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))"""
+    fresh = [("orders", "order_purchase_timestamp"), ("order_reviews", "review_creation_date"),
+             ("order_items", "shipping_limit_date")]
+    q["dq_freshness"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS source, count(*) AS rows, max({ts(c)}) AS latest_at, "
+        f"CAST(date_diff('day', CAST(max({ts(c)}) AS DATE), DATE '2001-08-01') AS INTEGER) AS days_behind "
+        f"FROM {_t(t)}" for t, c in fresh)
     return {k: _w(v) for k, v in q.items()}
 
 

@@ -335,3 +335,32 @@ def lookup_gaps(items: DataFrame, lookup: DataFrame, key: str, value: str) -> Da
                  F.count_if(F.col(key).isNull()).alias("no_category"),
                  F.count_if(F.col(key).isNotNull() & F.col(value).isNull()).alias("category_without_translation"),
                  F.count_distinct(key).alias("distinct_categories"))
+
+
+def volume_drift(df: DataFrame, ts: str, null_col: str, window: int = 3) -> DataFrame:
+    """Rows per month against the average of the previous ``window``
+    months, and the month's NULL rate of ``null_col`` with its change on the
+    previous month. Windows run over months only (already aggregated)."""
+    from tessera.functions.columns import exact_ratio
+    monthly = (df.groupBy(F.date_format(F.col(ts).try_cast("timestamp"), "yyyy-MM").alias("month"))
+                 .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(null_col).isNull()).alias("_nulls")))
+    prev = Window.orderBy("month").rowsBetween(-window, -1)
+    ps, pn = F.sum("rows").over(prev), F.count("rows").over(prev)
+    rate = exact_ratio("_nulls", "rows", 2, 100)
+    return (monthly.select(
+                "month", "rows",
+                exact_ratio(ps, pn, 2).alias("prev_avg_rows"),
+                exact_ratio(F.col("rows") * pn - ps, ps, 1, 100).alias("volume_drift_pct"),
+                rate.alias("null_rate_pct"))
+            .withColumn("null_rate_change", F.col("null_rate_pct") - F.lag("null_rate_pct").over(Window.orderBy("month")))
+            .orderBy("month"))
+
+
+def freshness(tables: dict[str, tuple[DataFrame, str]], as_of: str) -> DataFrame:
+    """Per source, rows, the latest business timestamp and how many days
+    it lags ``as_of`` (one-row aggregates, unioned)."""
+    return union_all([
+        df.agg(F.count(F.lit(1)).alias("rows"), F.max(F.col(ts).try_cast("timestamp")).alias("latest_at"))
+          .select(F.lit(name).alias("source"), "rows", "latest_at",
+                  F.datediff(F.lit(as_of).cast("date"), F.col("latest_at")).alias("days_behind"))
+        for name, (df, ts) in tables.items()])

@@ -57,6 +57,7 @@ FK_CHECKS: list[tuple[str, str, str, str]] = [
     ("orders", "order_id", "order_payments", "order_id"),
 ]
 BRAZIL_BOX = (-34.0, 6.0, -74.0, -34.0)  # lat min, lat max, lng min, lng max
+AS_OF = "2001-08-01"  # freshness reference date (same as the analytics Params)
 
 
 def _money(c: str):
@@ -118,6 +119,12 @@ BRONZE_REPORTS = {
         "review_ids_with_conflicting_scores": "review_score"}, "distinct_review_ids"),
     "dq_reviews_per_order": lambda b, c: Q.count_histogram(b("order_reviews"), "order_id",
                                                            "reviews_per_order", "orders"),
+    "dq_volume_drift": lambda b, c: Q.volume_drift(b("orders"), "order_purchase_timestamp",
+                                                   "order_delivered_customer_date"),
+    "dq_freshness": lambda b, c: Q.freshness({
+        "orders": (b("orders"), "order_purchase_timestamp"),
+        "order_reviews": (b("order_reviews"), "review_creation_date"),
+        "order_items": (b("order_items"), "shipping_limit_date")}, AS_OF),
 }
 
 
