@@ -256,7 +256,8 @@ SILVER_GOLD = {"geography": "s_geography", "product_categories": "s_product_cate
                "orders": "s_orders", "order_items": "s_order_items", "order_payments": "s_order_payments",
                "reviews": "s_reviews", "order_reviews": "s_order_reviews", "fact_order": "g_fact_order",
                "dim_date": "g_dim_date", "dim_product": "g_dim_product", "dim_seller": "g_dim_seller",
-               "dim_customer": "g_dim_customer", "fact_order_item": "g_fact_order_item"}
+               "dim_customer": "g_dim_customer", "fact_order_item": "g_fact_order_item",
+               "dim_customer_history": "g_dim_customer_history"}
 
 
 def constraint_sql() -> dict[str, str]:

@@ -16,7 +16,8 @@ SILVER = {
     "stg_reviews": "s_reviews",
     "stg_order_reviews": "s_order_reviews",
 }
-GOLD = ("dim_date", "dim_product", "dim_seller", "dim_customer", "fact_order", "fact_order_item")
+GOLD = ("dim_date", "dim_product", "dim_seller", "dim_customer", "fact_order", "fact_order_item",
+        "dim_customer_history")
 
 
 CORE = {

@@ -60,6 +60,7 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str,
         "dim_customer": lambda g: G.build_dim_customer(s["customers"], s["orders"], s["geography"],
                                                        g["fact_order"]),
         "fact_order_item": lambda g: G.build_fact_order_item(s["order_items"], s["orders"], s["customers"]),
+        "dim_customer_history": lambda g: G.build_dim_customer_history(s["customers"], s["orders"]),
     }
     gold: dict[str, DataFrame] = {}
     for name in GOLD_ORDER:

@@ -40,6 +40,7 @@ GOLD_INPUTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "dim_customer": (G.build_dim_customer, ("silver:customers", "silver:orders", "silver:geography",
                                             "gold:fact_order")),
     "fact_order_item": (G.build_fact_order_item, ("silver:order_items", "silver:orders", "silver:customers")),
+    "dim_customer_history": (G.build_dim_customer_history, ("silver:customers", "silver:orders")),
 }
 
 

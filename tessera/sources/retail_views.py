@@ -55,9 +55,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, with_file: bool = Fa
         # struct is not pruned cleanly and the scan reads every metadata
         # field, including per-row indexes.
         df = df.withColumn("_source_file", F.input_file_name())
-    parallelism = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism)
+    if spread:
+        try:
+            parallelism = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session): leave as is
+            return df
+        if splits < parallelism:
+            df = df.repartition(parallelism)
     return df
 
 

@@ -97,6 +97,11 @@ SCHEMAS: dict[str, StructType] = {
         _f("product_key", S, False), _f("seller_key", S, False), _f("purchase_date_key", I, False),
         _f("purchased_at", TS, False), _f("order_status", S, False), _f("is_fulfilled", B, False),
         _f("item_value", M12, False), _f("freight_value", M12, False), _f("gross_item_value", M12, False)]),
+    "dim_customer_history": StructType([
+        _f("customer_key", S, False), _f("customer_unique_id", S, False),
+        _f("version", I, False, "1 = the first location"), _f("zip_code_prefix", S),
+        _f("valid_from", TS, False), _f("valid_to", TS, comment="NULL for the current version"),
+        _f("is_current", B, False), _f("orders_in_version", L, False)]),
 }
 
 KEYS: dict[str, list[str]] = {
@@ -107,6 +112,7 @@ KEYS: dict[str, list[str]] = {
     "order_reviews": ["review_id", "order_id"], "dim_date": ["date_key"], "dim_product": ["product_key"],
     "dim_seller": ["seller_key"], "dim_customer": ["customer_key"], "fact_order": ["order_id"],
     "fact_order_item": ["order_id", "order_item_id"],
+    "dim_customer_history": ["customer_key", "version"],
 }
 
 # (child table, child column, parent table, parent column)
@@ -127,8 +133,10 @@ FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("fact_order_item", "product_key", "dim_product", "product_key"),
     ("fact_order_item", "seller_key", "dim_seller", "seller_key"),
     ("fact_order_item", "purchase_date_key", "dim_date", "date_key"),
+    ("dim_customer_history", "customer_key", "dim_customer", "customer_key"),
 ]
 
 SILVER_ORDER = ["geography", "product_categories", "customers", "sellers", "products", "orders",
                 "order_items", "order_payments", "reviews", "order_reviews"]
-GOLD_ORDER = ["dim_date", "dim_product", "dim_seller", "fact_order", "dim_customer", "fact_order_item"]
+GOLD_ORDER = ["dim_date", "dim_product", "dim_seller", "fact_order", "dim_customer", "fact_order_item",
+              "dim_customer_history"]
