@@ -108,6 +108,8 @@ BRONZE_REPORTS = {
         .orderBy(F.col("rows").desc(), "payment_type")),
     "dq_group_sizes": lambda b, c: Q.group_size_stats(b("geolocation"), "geolocation_zip_code_prefix",
                                                       "zip_prefixes", approx=False),
+    "dq_group_sizes_approx": lambda b, c: Q.group_size_stats(b("geolocation"), "geolocation_zip_code_prefix",
+                                                             "zip_prefixes", approx=True),
     "dq_domain": lambda b, c: Q.domain_check(b("geolocation"), "geolocation_lat", "geolocation_lng",
                                              BRAZIL_BOX, "geolocation_city", "geolocation_state"),
     "dq_attr_conflict": lambda b, c: Q.functional_dependency(b("geolocation"), "geolocation_zip_code_prefix", {

@@ -19,7 +19,7 @@ def test_contract(spark):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"dq_columns_approx"}
+    assert set(qs) - set(sqls) == {"dq_columns_approx", "dq_group_sizes_approx"}
     df = E.entry(spark)
     assert df.count() > 0 and "revenue" in df.columns
 
@@ -34,3 +34,15 @@ def test_oracle_parity(spark, con, name):
     import __spark_entry__ as E
     status, n, _, _ = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert status == ["OK"], status
+
+
+def test_approximate_reports_within_bound_of_exact(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    exact = qs["dq_group_sizes"](spark, SF).first()
+    approx = qs["dq_group_sizes_approx"](spark, SF).first()
+    assert (approx.zip_prefixes, approx.min_rows, approx.max_rows) == (exact.zip_prefixes, exact.min_rows, exact.max_rows)
+    assert abs(approx.median_rows - exact.median_rows) <= 0.05 * exact.median_rows + 1
+    ex = {(r.table, r.column): r.distinct_values for r in qs["dq_columns"](spark, SF).collect()}
+    for r in qs["dq_columns_approx"](spark, SF).collect():
+        assert abs(r.approx_distinct - ex[(r.table, r.column)]) <= 0.05 * ex[(r.table, r.column)] + 2
