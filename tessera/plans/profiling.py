@@ -6,7 +6,6 @@ reports (C1-C14) and reconciliation (R1-R2) read silver and gold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
