@@ -13,7 +13,7 @@ from tessera.operators.quality import assert_keys, assert_reconciled, reconcile_
 from tessera.plans.profiling import CONSTRAINT_REPORTS
 from tessera.plans.tables import SILVER_INPUTS
 from tessera.sources.schemas import GOLD_ORDER, SCHEMAS, SILVER_ORDER
-from tessera.sources.sinks import write_table
+from tessera.sources.sinks import register_tables, write_table
 
 # fact tables are clustered on the purchase date (pruning for date filters)
 SORT_BY = {"fact_order": ["purchase_date_key"], "fact_order_item": ["purchase_date_key"],
@@ -73,11 +73,13 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str,
 
 
 def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True, check_keys: bool = True,
+                 register: bool = False,
                  timings: dict[str, float] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Write silver and gold under ``base``; fail if the layers disagree
     (item value and revenue totals) or, with ``check_keys``, if any of the
     16 primary keys is duplicated/NULL or any of the 16 foreign keys has
-    orphans (checked on the written tables)."""
+    orphans (checked on the written tables). ``register`` exposes the
+    written tables as ``silver.*`` / ``gold.*`` in the catalog."""
     silver = build_silver_layer(bronze, base, timings)
     gold = build_gold_layer(silver, base, timings)
     t0 = time.time()
@@ -88,4 +90,8 @@ def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True
         assert_keys(CONSTRAINT_REPORTS["dq_pk_violations"](both), CONSTRAINT_REPORTS["dq_fk_violations"](both))
     if timings is not None:
         timings["checks"] = time.time() - t0
+    if register:  # silver.<table> and gold.<table> in the session catalog
+        spark = next(iter(gold.values())).sparkSession
+        register_tables(spark, "silver", {n: f"{base}/silver/{n}" for n in silver})
+        register_tables(spark, "gold", {n: f"{base}/gold/{n}" for n in gold})
     return silver, gold

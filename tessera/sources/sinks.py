@@ -78,3 +78,14 @@ def write_table(df: DataFrame, path: str, schema: StructType | None = None, tabl
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, quoted fields and doubled quotes (readable by ``read_bronze_csv``)."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+
+
+def register_tables(spark: SparkSession, layer: str, tables: dict[str, str]) -> None:
+    """Expose written tables in the catalog as ``<layer>.<name>`` (external
+    Parquet tables over the written folders), so they can be read with
+    ``spark.table("gold.fact_order")`` or SQL. Re-registering replaces the
+    entry only; the files are untouched."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    for name, path in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+        spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{path}'")

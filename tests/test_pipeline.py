@@ -14,8 +14,11 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
 def test_pipeline_writes_every_table_reconciled_and_keyed(spark):
     base = f"{checkpoint_dir(spark)}/pipe-{uuid.uuid4().hex[:8]}"
-    silver, gold = run_pipeline(RetailTables(spark, SF).all_bronze(), base)
+    silver, gold = run_pipeline(RetailTables(spark, SF).all_bronze(), base, register=True)
     for name, df in {**silver, **gold}.items():
         assert df.columns == SCHEMAS[name].fieldNames()
     assert gold["fact_order"].count() == 1500 and silver["order_items"].count() == 4599
     assert gold["dim_customer"].count() == 801
+    # catalog access by layer and name (plain SQL over the written tables)
+    n = spark.sql("SELECT count(*) FROM gold.fact_order f JOIN gold.dim_customer c USING (customer_key)").first()[0]
+    assert n == 1500 and spark.table("silver.orders").count() == 1500
