@@ -181,24 +181,38 @@ def shape(tables: dict[str, DataFrame]) -> DataFrame:
 def profile_columns(df: DataFrame, table: str, approx: bool = True, rsd: float = 0.02) -> DataFrame:
     """Per source column: rows, nulls, blanks, distinct, min/max length.
 
-    One aggregate pass, unpivoted with ``inline``. ``approx=True`` uses
-    HyperLogLog (``approx_distinct``, relative SD ``rsd``; a few KB per
-    column at any scale);
-    ``approx=False`` counts exactly (``distinct_values``).
+    ``approx=True``: one aggregate pass with a HyperLogLog per column
+    (``approx_distinct``, relative SD ``rsd``; a few KB per column at any
+    scale), unpivoted with ``inline``.
+    ``approx=False``: exact ``distinct_values``. Cells are unpivoted to
+    (column, value) and grouped by column, so the one distinct count is a
+    plain two-phase aggregate; N distinct counts in one wide aggregate
+    would be rewritten into an Expand of N rows x N columns per input row.
     """
     cols = source_columns(df)
-    dname = "approx_distinct" if approx else "distinct_values"
+    if not approx:
+        cells = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)
+        ])).alias("c")).select("c.i", "c.v")
+        v = F.col("v")
+        per_col = cells.groupBy("i").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"),
+            F.count_if(F.trim(v) == "").alias("blanks"), F.count_distinct(v).alias("distinct_values"),
+            F.min(F.length(v)).alias("min_len"), F.max(F.length(v)).alias("max_len"))
+        name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1)
+        return per_col.select(F.lit(table).alias("table"), name.alias("column"), "rows", "nulls", "blanks",
+                              "distinct_values", "min_len", "max_len")
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
         col = F.col(c)
         aggs += [F.count_if(col.isNull()).alias(f"n{i}"),
                  F.count_if(F.trim(col) == "").alias(f"b{i}"),
-                 (F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)).alias(f"d{i}"),
+                 F.approx_count_distinct(col, rsd).alias(f"d{i}"),
                  F.min(F.length(col)).alias(f"lo{i}"),
                  F.max(F.length(col)).alias(f"hi{i}")]
     rows = F.array(*[F.struct(F.lit(table).alias("table"), F.lit(c).alias("column"),
                               F.col("__rows").alias("rows"), F.col(f"n{i}").alias("nulls"),
-                              F.col(f"b{i}").alias("blanks"), F.col(f"d{i}").alias(dname),
+                              F.col(f"b{i}").alias("blanks"), F.col(f"d{i}").alias("approx_distinct"),
                               F.col(f"lo{i}").alias("min_len"), F.col(f"hi{i}").alias("max_len"))
                      for i, c in enumerate(cols)])
     return df.agg(*aggs).select(F.inline(rows))
