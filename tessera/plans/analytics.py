@@ -44,6 +44,11 @@ class Params:
 DEFAULT = Params()
 ROUNDED = "double"
 
+# Report labels of the one-time-buyer breakdown (Q8a), in order.
+RECENCY_BUCKETS = ((90, "a. 0-90 days"), (180, "b. 91-180 days"), (365, "c. 181-365 days"))
+RECENCY_OLDEST = "d. 365+ days"
+ABOVE_MEDIAN, BELOW_MEDIAN = "above median spend", "below median spend"
+
 
 def _fulfilled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("is_fulfilled"))
@@ -306,9 +311,11 @@ def one_time_buyers(dim_customer: DataFrame, p: Params = DEFAULT) -> DataFrame:
     # revenue has unbounded distinct values: distributed exact median
     median = exact_percentile(one, "lifetime_revenue", 0.5, alias="m").scalar()
     d = F.col("days_since_order")
-    recency = (F.when(d <= 90, "a. 0-90 days").when(d <= 180, "b. 91-180 days")
-                .when(d <= 365, "c. 181-365 days").otherwise("d. 365+ days"))
-    tier = F.when(F.col("lifetime_revenue") >= median, "above median spend").otherwise("below median spend")
+    recency = F
+    for limit, label in RECENCY_BUCKETS:
+        recency = recency.when(d <= limit, label)
+    recency = recency.otherwise(RECENCY_OLDEST)
+    tier = F.when(F.col("lifetime_revenue") >= median, ABOVE_MEDIAN).otherwise(BELOW_MEDIAN)
     return (one.select("lifetime_revenue", recency.alias("recency"), tier.alias("value_tier"))
             .groupBy("recency", "value_tier")
             .agg(F.count(F.lit(1)).alias("customers"),
