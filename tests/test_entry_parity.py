@@ -10,7 +10,8 @@ from tests.parity import compare, duck
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["dedupe_line_items", "stg_geography", "stg_order_items", "fact_order", "dim_customer",
           "q1b_top_categories", "q3_delivery_extremes", "q5_cohort_retention", "q7_basket_by_state",
-          "dq_keys", "dq_casts", "dq_fk_violations", "reconcile_layers"]
+          "dq_keys", "dq_casts", "dq_fk_violations", "reconcile_layers", "dim_customer_history",
+          "x8_campaign_targets", "dq_volume_drift", "dq_columns"]
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
 
