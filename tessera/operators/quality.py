@@ -378,3 +378,15 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], as_of: str) -> DataFrame
           .select(F.lit(name).alias("source"), "rows", "latest_at",
                   F.datediff(F.lit(as_of).cast("date"), F.col("latest_at")).alias("days_behind"))
         for name, (df, ts) in tables.items()])
+
+
+def file_freshness(frames: dict[str, DataFrame]) -> DataFrame:
+    """X3 (files): per source, rows, files and the newest file's modification
+    time, from the scan's hidden ``_metadata`` columns (no data columns read).
+    ``frames`` must be plain file scans."""
+    return union_all([
+        df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_modification_time").alias("m"))
+          .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("f").alias("files"),
+               F.max("m").alias("newest_file_at"))
+          .select(F.lit(name).alias("source"), "rows", "files", "newest_file_at")
+        for name, df in frames.items()])

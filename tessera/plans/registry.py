@@ -67,6 +67,12 @@ def queries() -> dict[str, Query]:
     for q, build in P.CONSTRAINT_REPORTS.items():
         out[q] = _named(q, lambda spark, sf, build=build: build(_Both(RetailTables(spark, sf))))
 
+    def files(spark, sf):
+        from tessera.operators.quality import file_freshness
+        return file_freshness({t: spark.read.parquet(f"{sf}/{t}.parquet")
+                               for t in ("orders", "lineitem", "customer", "supplier", "part", "nation")})
+    out["dq_file_freshness"] = _named("dq_file_freshness", files)
+
     def recon(spark, sf):
         t = RetailTables(spark, sf)
         return reconcile_layers(t.all_silver(), t.all_gold())

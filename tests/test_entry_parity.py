@@ -20,7 +20,7 @@ def test_contract(spark):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"dq_columns_approx", "dq_group_sizes_approx"}
+    assert set(qs) - set(sqls) == {"dq_columns_approx", "dq_group_sizes_approx", "dq_file_freshness"}
     df = E.entry(spark)
     assert df.count() > 0 and "revenue" in df.columns
 
@@ -47,3 +47,9 @@ def test_approximate_reports_within_bound_of_exact(spark):
     ex = {(r.table, r.column): r.distinct_values for r in qs["dq_columns"](spark, SF).collect()}
     for r in qs["dq_columns_approx"](spark, SF).collect():
         assert abs(r.approx_distinct - ex[(r.table, r.column)]) <= 0.05 * ex[(r.table, r.column)] + 2
+
+
+def test_file_freshness_rows_only(spark):
+    import __spark_entry__ as E
+    got = {r.source: r for r in E.queries()["dq_file_freshness"](spark, SF).collect()}
+    assert got["orders"].rows == 1500 and got["orders"].files == 1 and got["orders"].newest_file_at is not None
