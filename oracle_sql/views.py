@@ -281,32 +281,24 @@ CTES = {
           LEFT JOIN g_fact_order f ON o.order_id = f.order_id
           GROUP BY c.customer_unique_id) m
         LEFT JOIN s_geography g ON m.zip_code_prefix = g.zip_code_prefix""",
+    "g_history_versions": """
+        SELECT customer_unique_id, version, first(zip_code_prefix ORDER BY purchased_at, order_id) AS zip_code_prefix,
+               min(purchased_at) AS valid_from, count(*) AS orders_in_version
+        FROM (SELECT *, sum(CAST(chg AS INTEGER)) OVER (PARTITION BY customer_unique_id
+                          ORDER BY purchased_at, order_id ROWS UNBOUNDED PRECEDING) AS version
+              FROM (SELECT c.customer_unique_id, o.purchased_at, o.order_id, c.zip_code_prefix,
+                           CASE WHEN lag(o.order_id) OVER w IS NULL THEN true
+                                ELSE NOT (c.zip_code_prefix IS NOT DISTINCT FROM lag(c.zip_code_prefix) OVER w)
+                           END AS chg
+                    FROM s_orders o JOIN s_customers c ON o.customer_id = c.customer_id
+                    WINDOW w AS (PARTITION BY c.customer_unique_id ORDER BY o.purchased_at, o.order_id)))
+        GROUP BY 1, 2""",
     "g_dim_customer_history": """
         SELECT sha256(concat_ws('||', v.customer_unique_id)) AS customer_key, v.customer_unique_id,
                CAST(v.version AS INTEGER) AS version, v.zip_code_prefix, v.valid_from, n.valid_from AS valid_to,
                n.valid_from IS NULL AS is_current, v.orders_in_version
-        FROM (SELECT customer_unique_id, version, first(zip_code_prefix ORDER BY purchased_at, order_id)
-                       AS zip_code_prefix, min(purchased_at) AS valid_from, count(*) AS orders_in_version
-              FROM (SELECT *, sum(CAST(chg AS INTEGER)) OVER (PARTITION BY customer_unique_id
-                                ORDER BY purchased_at, order_id ROWS UNBOUNDED PRECEDING) AS version
-                    FROM (SELECT c.customer_unique_id, o.purchased_at, o.order_id, c.zip_code_prefix,
-                                 CASE WHEN lag(o.order_id) OVER w IS NULL THEN true
-                                      ELSE NOT (c.zip_code_prefix IS NOT DISTINCT FROM lag(c.zip_code_prefix) OVER w)
-                                 END AS chg
-                          FROM s_orders o JOIN s_customers c ON o.customer_id = c.customer_id
-                          WINDOW w AS (PARTITION BY c.customer_unique_id ORDER BY o.purchased_at, o.order_id)))
-              GROUP BY 1, 2) v
-        LEFT JOIN (SELECT customer_unique_id, version, min(purchased_at) AS valid_from
-                   FROM (SELECT *, sum(CAST(chg AS INTEGER)) OVER (PARTITION BY customer_unique_id
-                                  ORDER BY purchased_at, order_id ROWS UNBOUNDED PRECEDING) AS version
-                         FROM (SELECT c.customer_unique_id, o.purchased_at, o.order_id,
-                                      CASE WHEN lag(o.order_id) OVER w IS NULL THEN true
-                                           ELSE NOT (c.zip_code_prefix IS NOT DISTINCT FROM lag(c.zip_code_prefix) OVER w)
-                                      END AS chg
-                               FROM s_orders o JOIN s_customers c ON o.customer_id = c.customer_id
-                               WINDOW w AS (PARTITION BY c.customer_unique_id ORDER BY o.purchased_at, o.order_id)))
-                   GROUP BY 1, 2) n
-          ON v.customer_unique_id = n.customer_unique_id AND n.version = v.version + 1""",
+        FROM g_history_versions v
+        LEFT JOIN g_history_versions n ON v.customer_unique_id = n.customer_unique_id AND n.version = v.version + 1""",
 }
 
 
