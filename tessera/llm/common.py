@@ -31,8 +31,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows again, in slices of about CHUNK_BYTES of text (one long text is one slice)."""
+def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows again, in slices of about ``size`` bytes of text (one long text is one slice)."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -42,19 +42,19 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
         ends = np.frombuffer(sizes.buffers()[1], dtype=np.int64)[sizes.offset:sizes.offset + n + 1]
         start = 0
         while start < n:
-            stop = int(np.searchsorted(ends, ends[start] + CHUNK_BYTES, side="right")) - 1
+            stop = int(np.searchsorted(ends, ends[start] + size, side="right")) - 1
             stop = min(n, max(stop, start + 1))
             yield batch.slice(start, stop - start)
             start = stop
 
 
 def map_text(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str,
-             column: str = "text") -> DataFrame:
+             column: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
     """``mapInArrow`` over slices of bounded size. ``fn`` makes the per-slice function
     once a task, so that models are loaded and memos kept per task."""
     def run(batches):
         one = fn()
-        for piece in text_chunks(batches, column):
+        for piece in text_chunks(batches, column, size):
             yield one(piece)
     return df.mapInArrow(run, schema)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import held_out, read
 from tessera.llm.langid import LanguageFilter, fit_language_filter, identify_language
 from tessera.llm.packing import pack_pieces, tokenize_pieces
+from tessera.llm.pieces import encode_pieces
 from tessera.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
 from tessera.llm.urls import UrlRule, filter_urls
 
@@ -43,6 +44,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_grams")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_pieces(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), spans=False, decoded=True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -59,7 +67,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_language_id, op6_url_filters, op9_toxicity, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op2_language_id, op4_sentencepiece, op6_url_filters, op9_toxicity, op10_best_fit_packing)}
 
 
 OP6_SQL = """
