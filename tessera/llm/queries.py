@@ -12,6 +12,7 @@ from tessera.llm.common import held_out, read
 from tessera.llm.langid import LanguageFilter, fit_language_filter, identify_language
 from tessera.llm.packing import pack_pieces, tokenize_pieces
 from tessera.llm.pieces import encode_pieces
+from tessera.llm.topk import scaled, top_k
 from tessera.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
 from tessera.llm.urls import UrlRule, filter_urls
 
@@ -51,6 +52,11 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", scaled("embedding").alias("v"))
+    return top_k(rows, F.col("vec_id") % 100 == 0)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -67,7 +73,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_language_id, op4_sentencepiece, op6_url_filters, op9_toxicity, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op2_language_id, op4_sentencepiece, op5_exact_topk, op6_url_filters, op9_toxicity, op10_best_fit_packing)}
 
 
 OP6_SQL = """
@@ -84,5 +90,16 @@ SELECT page_id, host, path, rhost || rpath AS rule, coalesce(verdict, 'allow') A
 """
 
 
+OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": OP6_SQL}
+    return {"op5_exact_topk": OP5_SQL, "op6_url_filters": OP6_SQL}
