@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import read
 from tessera.llm.langid import UNDETERMINED, identify_language
+from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack_pieces, tokenize_pieces
 from tessera.llm.queries import language_model, tokenizer_file, toxicity_model
 from tessera.llm.toxicity import score_toxicity
@@ -36,12 +37,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return score_toxicity(docs, model, docs.columns).filter("predicted = 0").select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of linked documents: the one with the smallest doc_id. Documents
+    without words are in no group and stay; of repeated rows one stays."""
+    groups = jaccard_components(docs)
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 2048 tokens: a row per piece."""
     return pack_pieces(tokenize_pieces(docs, tokenizer_file("word_bpe_49k.json")))
 
 
-STAGES = [("language_id", language_stage), ("toxicity", toxicity_stage), ("packing", packing_stage)]
+STAGES = [("language_id", language_stage), ("toxicity", toxicity_stage), ("ngram_join", near_duplicate_stage),
+          ("packing", packing_stage)]
 
 #: SQL cannot express the learned stages; tests compare them with brute force.
 ORACLE_SQL = None

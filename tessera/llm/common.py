@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +38,8 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: i
         n = batch.num_rows
         if not n:
             continue
-        at = batch.schema.get_field_index(column)
-        sizes = batch.column(at).cast(pa.large_string())
-        ends = np.frombuffer(sizes.buffers()[1], dtype=np.int64)[sizes.offset:sizes.offset + n + 1]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         start = 0
         while start < n:
             stop = int(np.searchsorted(ends, ends[start] + size, side="right")) - 1

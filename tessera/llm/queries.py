@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import held_out, read
 from tessera.llm.langid import LanguageFilter, fit_language_filter, identify_language
+from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack_pieces, tokenize_pieces
 from tessera.llm.pieces import encode_pieces
 from tessera.llm.topk import scaled, top_k
@@ -61,6 +62,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity_model(docs, read(spark, sf_dir, "labels"))
@@ -73,7 +78,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_language_id, op4_sentencepiece, op5_exact_topk, op6_url_filters, op9_toxicity, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op2_language_id, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op9_toxicity, op10_best_fit_packing)}
 
 
 OP6_SQL = """
