@@ -17,6 +17,7 @@ over every row in one narrow pass: no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,7 @@ from tessera.llm.common import map_text, mix64, sample_by, texts
 
 UNDETERMINED = "und"
 SIZES = (2, 3, 4)
+SLICE = 1 << 20  # texts are looked up in slices of about this many characters, to bound the arrays
 _FOLD: np.ndarray | None = None
 
 
@@ -79,6 +81,23 @@ def grams(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(where), letters
 
 
+def slices(batch: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """(rows, texts) of about SLICE characters each; a longer text is cut at spaces, which no n-gram spans."""
+    rows, some, n = [], [], 0
+    for i, t in enumerate(batch):
+        while t or not rows or rows[-1] != i:
+            end = len(t) if len(t) <= SLICE else t.rfind(" ", 1, SLICE) + 1 or SLICE
+            rows.append(i), some.append(t[:end])
+            t, n = t[end:], n + end + 3
+            if n >= SLICE:
+                yield rows, some
+                rows, some, n = [], [], 0
+                if not t:
+                    break
+    if rows:
+        yield rows, some
+
+
 @dataclass
 class LanguageFilter:
     """The bit-sliced filter: ``table[i]`` holds one bit per language."""
@@ -86,6 +105,7 @@ class LanguageFilter:
     languages: list[str]
     table: np.ndarray
     hashes: int
+    rates: np.ndarray | None = None  # false-positive rate of each slice
 
     @classmethod
     def build(cls, per_language: list[tuple[str, np.ndarray]], bits: int = 18, hashes: int = 3) -> LanguageFilter:
@@ -96,6 +116,8 @@ class LanguageFilter:
         for bit, (_, g) in enumerate(per_language):
             for rows in self._rows(np.asarray(g, dtype=np.uint64)):
                 self.table[rows] |= width(1 << bit)
+        fill = [np.count_nonzero(self.table & width(1 << b)) / len(self.table) for b in range(len(per_language))]
+        self.rates = np.array(fill) ** hashes
         return self
 
     def _rows(self, g: np.ndarray):
@@ -112,23 +134,23 @@ class LanguageFilter:
             out &= self.table[more]
         return out
 
-    def false_positive_rates(self) -> np.ndarray:
-        fill = np.array([np.count_nonzero(self.table & self.table.dtype.type(1 << b)) / len(self.table)
-                         for b in range(len(self.languages))])
-        return fill ** self.hashes
-
     def predict(self, batch: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, n-grams) per text."""
-        g, row, letters = grams(batch)
-        n = np.bincount(row, minlength=len(batch)).astype(np.float64)
+        n, letters = np.zeros(len(batch)), np.zeros(len(batch), dtype=np.int64)
         if not self.languages:
-            return [UNDETERMINED] * len(batch), np.zeros(len(batch)), n.astype(np.int64)
-        found = self.masks(g)
-        rate = self.false_positive_rates()
-        counts = np.zeros((len(self.languages), len(batch)))
-        for b in range(len(self.languages)):
-            hits = np.bincount(row[(found >> found.dtype.type(b)) & found.dtype.type(1) == 1], minlength=len(batch))
-            counts[b] = np.maximum(0.0, (hits - rate[b] * n) / max(1e-9, 1.0 - rate[b]))
+            return [UNDETERMINED] * len(batch), n, n.astype(np.int64)
+        hits = np.zeros((len(self.languages), len(batch)))
+        one = self.table.dtype.type(1)
+        for rows, some in slices(batch):
+            g, row, has = grams(some)
+            at = np.array(rows)[row] if len(row) else row
+            np.add.at(letters, rows, has)
+            n += np.bincount(at, minlength=len(batch))
+            found = self.masks(g)
+            for b in range(len(self.languages)):
+                hits[b] += np.bincount(at, weights=(found >> self.table.dtype.type(b)) & one, minlength=len(batch))
+        rate = self.rates[:, None]
+        counts = np.maximum(0.0, (hits - rate * n) / np.maximum(1e-9, 1.0 - rate))
         best = counts.argmax(axis=0)  # ties: the language with more fitted rows, which comes first
         top = counts[best, np.arange(len(batch))]
         rest = np.where(np.arange(len(self.languages))[:, None] == best, -1.0, counts).max(axis=0) if len(self.languages) > 1 else np.zeros(len(batch))
@@ -155,8 +177,9 @@ def fit_language_filter(labelled: DataFrame, id_col: str = "doc_id", text_col: s
             langs = np.array(b.column("lang").to_pylist(), dtype=object)
             text = np.array(texts(b.column("text")), dtype=object)
             for lang in dict.fromkeys(langs):
-                for some in np.array_split(own := text[langs == lang], max(1, len(own) // 64)):
-                    g, row, _ = grams(list(some))
+                for rows, some in slices(list(text[langs == lang])):
+                    g, row, _ = grams(some)
+                    row = np.array(rows)[row] if len(row) else row
                     if len(g):
                         order = np.lexsort((g, row))
                         g, row = g[order], row[order]
@@ -199,5 +222,5 @@ def identify_language(df: DataFrame, model: LanguageFilter, id_cols: list[str],
         return one
 
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", lang_pred string, score double, n_grams long"
-    out = map_text(rows, task, schema)
+    out = map_text(rows, task, schema, size=2 * SLICE)
     return out.select(*[F.col(n).alias(c) for c, n in zip(id_cols, names, strict=True)], "lang_pred", "score", "n_grams")
