@@ -81,7 +81,7 @@ class ToxicityModel:
 
 
 def nnpu_fit(pos: list[list[int]], unl: list[list[int]], n_features: int, prior: float, epochs: int = 400,
-             rate: float = 0.05, l2: float = 2e-4) -> tuple[np.ndarray, float]:
+             rate: float = 0.05, l2: float = 5e-4) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative PU risk (full-batch Adam)."""
     w, b = np.zeros(n_features), float(np.log(prior / (1 - prior)))
 
@@ -120,10 +120,11 @@ def nnpu_fit(pos: list[list[int]], unl: list[list[int]], n_features: int, prior:
 
 def fit_toxicity(docs: DataFrame, toxic: DataFrame, prior: float, id_col: str = "doc_id", text_col: str = "text",
                  positives: int = 3000, unlabelled: int = 6000, features: int = 1500,
-                 least_docs: int = 4) -> ToxicityModel:
+                 least_docs: int = 4, purity: float = 0.7) -> ToxicityModel:
     """Fit from ``docs`` (unlabelled, all that may be learned from) and ``toxic`` (one column
     ``id_col``: the confirmed toxic ids). Null texts and ids are left out. Without a toxic
-    row, or without a feature that marks one, the model scores every text 0."""
+    row, or without a feature that marks one, the model scores every text 0. A feature is kept
+    if by the prior at least ``purity`` of the texts that have it are toxic."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull() & F.col("id").isNotNull())
     ids = toxic.select(F.col(id_col).alias("id")).filter(F.col("id").isNotNull()).distinct()
@@ -176,7 +177,8 @@ def fit_toxicity(docs: DataFrame, toxic: DataFrame, prior: float, id_col: str =
         m = ((r.p or 0) + (r.u or 0)) / (n[1] + n[0])
         return (p - u) / np.sqrt(max(m * (1 - m), 1e-9) * (1 / n[1] + 1 / n[0]))
 
-    ranked = sorted(((-z(r), r.f) for r in found if z(r) > 3.0))[:features]
+    pure = (r for r in found if prior * (r.p or 0) / n[1] >= purity * (r.u or 0) / n[0])
+    ranked = sorted((-z(r), r.f) for r in pure if z(r) > 3.0)[:features]
     names = [f for _, f in ranked]
     if not names:
         return nothing
