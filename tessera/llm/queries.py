@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import held_out, read
+from tessera.llm.fingerprints import edited_fingerprints
 from tessera.llm.langid import LanguageFilter, fit_language_filter, identify_language
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack_pieces, tokenize_pieces
@@ -46,6 +47,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_grams")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_pieces(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), spans=False, decoded=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -78,7 +83,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_language_id, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op9_toxicity, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op9_toxicity, op10_best_fit_packing)}
 
 
 OP6_SQL = """
