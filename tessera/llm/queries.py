@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import held_out, read
 from tessera.llm.fingerprints import edited_fingerprints
 from tessera.llm.langid import LanguageFilter, fit_language_filter, identify_language
+from tessera.llm.licenses import NOTICES, scan_licenses
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack_pieces, tokenize_pieces
 from tessera.llm.pieces import encode_pieces
@@ -41,6 +42,10 @@ def toxicity_model(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     return fit_toxicity(documents.filter(~held_out()), known.filter("toxic = 1").select("doc_id"), prior)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = identify_language(docs, language_model(docs), ["doc_id"])
@@ -83,7 +88,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op9_toxicity, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_license_scan, op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op9_toxicity, op10_best_fit_packing)}
 
 
 OP6_SQL = """
@@ -111,5 +116,23 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+OP1_SQL = f"""
+WITH t(license, body) AS (VALUES {", ".join(f"({_quoted(t.name)}, {_quoted(t.text)})" for t in NOTICES)}),
+tw AS (SELECT license, list_filter(string_split(regexp_replace(lower(body), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') AS w FROM t),
+ts AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT license, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM tw)),
+tn AS (SELECT license, count(*) AS n FROM ts GROUP BY license),
+dw AS (SELECT DISTINCT doc_id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') AS w
+       FROM documents),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
+m AS (SELECT doc_id, license, count(*) AS found FROM ds JOIN ts USING (s) GROUP BY doc_id, license)
+SELECT doc_id, license, CAST(found AS DOUBLE) / n AS containment, found, n AS "of" FROM m JOIN tn USING (license) WHERE found >= n * 0.8
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_topk": OP5_SQL, "op6_url_filters": OP6_SQL}
+    return {"op1_license_scan": OP1_SQL, "op5_exact_topk": OP5_SQL, "op6_url_filters": OP6_SQL}
