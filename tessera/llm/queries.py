@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import held_out, read
 from tessera.llm.fingerprints import edited_fingerprints
+from tessera.llm.html_text import extract_main_text
 from tessera.llm.langid import LanguageFilter, fit_language_filter, identify_language
 from tessera.llm.licenses import NOTICES, scan_licenses
 from tessera.llm.ngram_join import jaccard_components
@@ -76,6 +77,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity_model(docs, read(spark, sf_dir, "labels"))
@@ -88,7 +93,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op9_toxicity, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_license_scan, op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op8_html_extraction, op9_toxicity, op10_best_fit_packing)}
 
 
 OP6_SQL = """
