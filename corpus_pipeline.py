@@ -16,7 +16,7 @@ from tessera.llm.common import read
 from tessera.llm.langid import UNDETERMINED, identify_language
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack_pieces, tokenize_pieces
-from tessera.llm.queries import language_model, tokenizer_file, toxicity_model
+from tessera.llm.queries import language_model, tokenizer_file, toxicity_model, with_package
 from tessera.llm.toxicity import score_toxicity
 from tessera.session import scratch_path
 
@@ -57,6 +57,7 @@ STAGES = [("language_id", language_stage), ("toxicity", toxicity_stage), ("ngram
 ORACLE_SQL = None
 
 
+@with_package
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; what each stage keeps is written below the shared checkpoint folder."""
     docs = read(spark, sf_dir, "documents")

@@ -3,7 +3,10 @@ SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,8 @@ from tessera.llm.urls import UrlRule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
 #: The rules of op6.
 URL_RULES = [UrlRule("allow", "com", "/"), UrlRule("block", "example.com", "/en/"), UrlRule("allow", "www.example.com", "/en/"),
              UrlRule("block", "net", "/es/"), UrlRule("block", "net", "/fr/")]
@@ -92,8 +97,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(pieces)
 
 
+def with_package(query: Query) -> Query:
+    """The query, with this package's folder on the path of Python workers that Spark starts where the
+    driver runs (on a cluster the package is shipped with the job, e.g. by --py-files)."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        env = spark.sparkContext.environment
+        if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH")]))
+        return query(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op8_html_extraction, op9_toxicity, op10_best_fit_packing)}
+    every = (op1_license_scan, op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op8_html_extraction, op9_toxicity, op10_best_fit_packing)
+    return {f.__name__: with_package(f) for f in every}
 
 
 OP6_SQL = """
