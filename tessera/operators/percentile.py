@@ -1,17 +1,21 @@
-"""Exact percentile (percentile_cont) that never holds a whole group in one task.
+"""Exact percentile (percentile_cont) that never sorts a whole group in one task.
 
 Spark's ``percentile`` aggregate keeps a map of every distinct value of a
 group and merges it in one task: fine for day counts, unbounded for money
 or coordinates under a hot key. This operator computes the same value
-(same interpolation formula) with shuffles only:
-
-1. distinct values per group with their multiplicity (partial aggregate);
-2. range-partition by (group, value): a hot group is split across tasks,
-   each task holding a contiguous, ordered slice;
-3. running counts inside each slice, plus each slice's offset in its group
-   (a small table: at most #groups + #partitions rows);
-4. the rows whose rank range covers the two positions around
-   ``(n - 1) * p`` give the lower and upper value, interpolated.
+(same interpolation formula) in two steps:
+
+1. a histogram: distinct values with their multiplicity are counted per
+   (group, bucket), where the bucket is the value's place between the
+   group's least and greatest finite value, in ``buckets`` equal steps;
+2. the one or two buckets that hold the ranks around ``(n - 1) * p`` are
+   found from running counts over the histogram (at most ``buckets`` + 3
+   rows per group), and only the values in them are ordered.
+
+The bucket is a function of the row and of exact aggregates alone, so the
+result does not depend on how often or where Spark works a branch out. The
+order of the buckets is the order of the values (subtraction, division and
+multiplication by positive numbers are monotone in floating point).
 """
 
 from __future__ import annotations
@@ -19,45 +23,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.conform import join_null_safe
+
+INFINITY = float("inf")
+
 
 def exact_percentile(df: DataFrame, value: str, p: float, by: list[str] | None = None,
-                     alias: str = "percentile", partitions: int | None = None) -> DataFrame:
+                     alias: str = "percentile", buckets: int = 4096) -> DataFrame:
     """One row per group of ``by`` (one row overall when empty) with the
-    ``p``-quantile of ``value`` as DOUBLE (NULLs ignored; NULL for an empty
-    group)."""
+    ``p``-quantile of ``value`` as DOUBLE. NULL values are ignored; a group
+    without values has no row; a NULL group is a group like any other; NaN is
+    the greatest value. Without ``by`` there is always one row, NULL if empty."""
     by = list(by or [])
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    v = F.col("_v")
+    vals = df.select(*by, F.col(value).cast("double").alias("_v")).filter(v.isNotNull())
     pairs = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = pairs.repartitionByRange(parts, *by, "_v").withColumn("_pid", F.spark_partition_id())
-    running = ranged.withColumn(
-        "_cum", F.sum("_c").over(Window.partitionBy(*by, "_pid").orderBy("_v")
-                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    slices = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_sc"))
-    group = Window.partitionBy(*by)
-    slices = slices.select(
-        *by, "_pid",
-        F.coalesce(F.sum("_sc").over(group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_sc").over(group).alias("_n"))
+    finite = F.when(~F.isnan(v) & (F.abs(v) < INFINITY), v)
+    ends = pairs.groupBy(*by).agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"), F.sum("_c").alias("_n"))
+    if by:
+        placed = join_null_safe(pairs, ends, by)
+    else:  # one row: a scalar, not a join
+        whole = ends.select(F.struct("_lo", "_hi", "_n")).scalar()
+        placed = pairs.withColumn("_ends", whole).select("_v", "_c", "_ends.*")
+    span = F.col("_hi") / 2 - F.col("_lo") / 2  # halves: the difference itself could overflow
+    share = (v / 2 - F.col("_lo") / 2) / F.nullif(span, F.lit(0.0))
+    bucket = (F.when(F.isnan(v), buckets + 1).when(v == INFINITY, buckets).when(v == -INFINITY, -1)
+              .otherwise(F.coalesce(F.least(F.floor(share * buckets), F.lit(buckets - 1)), F.lit(0))).cast("int"))
+    placed = placed.select(*by, "_v", "_c", "_n", bucket.alias("_b"))
+
     pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-    lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1  # 1-based ranks
-    located = (running.join(slices, [*by, "_pid"])
-               .withColumn("_end", F.col("_off") + F.col("_cum"))
-               .withColumn("_start", F.col("_end") - F.col("_c") + 1))
-    covers = (lambda r: (F.col("_start") <= r) & (r <= F.col("_end")))
-    picked = located.groupBy(*by).agg(
-        F.max(F.when(covers(lo), F.col("_v"))).alias("_lo_v"),
-        F.max(F.when(covers(hi), F.col("_v"))).alias("_hi_v"),
-        F.max("_n").alias("_n"))
-    pos2 = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-    lower, higher = F.floor(pos2), F.ceil(pos2)
-    result = F.when(lower == higher, F.col("_lo_v")).otherwise(
-        (higher - pos2) * F.col("_lo_v") + (pos2 - lower) * F.col("_hi_v"))
-    out = picked.select(*by, result.alias(alias))
-    if not by:
-        # exactly one row, NULL when there are no values (like a global aggregate)
-        empty = spark.range(1).select(F.lit(None).cast("double").alias(alias))
-        out = out.unionByName(empty).agg(F.max(alias).alias(alias))
-    return out
+    first, second = F.floor(pos) + 1, F.ceil(pos) + 1  # 1-based ranks
+    hist = placed.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"), F.max("_n").alias("_n"))
+    upto = F.sum("_bc").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    hist = hist.withColumn("_end", upto).withColumn("_before", F.col("_end") - F.col("_bc"))
+    holds = ((F.col("_before") < first) & (first <= F.col("_end"))) | ((F.col("_before") < second) & (second <= F.col("_end")))
+    wanted = hist.filter(holds).select(*by, "_b", "_before")
+
+    inside = join_null_safe(placed, wanted, [*by, "_b"])
+    run = F.sum("_c").over(Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    inside = inside.withColumn("_to", F.col("_before") + run).withColumn("_from", F.col("_to") - F.col("_c") + 1)
+
+    def at(rank):
+        return F.max(F.when((F.col("_from") <= rank) & (rank <= F.col("_to")), v))
+
+    picked = inside.groupBy(*by).agg(at(first).alias("_x"), at(second).alias("_y"), F.max("_n").alias("_n"))
+    lower, higher = F.floor(pos), F.ceil(pos)
+    result = F.when(lower == higher, F.col("_x")).otherwise((higher - pos) * F.col("_x") + (pos - lower) * F.col("_y"))
+    return picked.select(*by, result.alias(alias))

@@ -10,6 +10,8 @@ of the rows is combined map-side first.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import operator
 from functools import reduce
 
@@ -145,6 +147,40 @@ def reconcile_layers(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -
     return both.withColumn("ok", F.coalesce(agree, F.lit(False)))
 
 
+#: (silver table, gold table, what one gold row stands for): equal counts, layer to layer.
+ROW_COUNTS = (("orders", "fact_order", "order_id"), ("order_items", "fact_order_item", "order_id, order_item_id"),
+              ("products", "dim_product", "product_id"), ("sellers", "dim_seller", "seller_id"),
+              ("customers", "dim_customer", "customer_unique_id"))
+
+
+def reconcile_rows(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
+    """X2 (rows): per pair of layers, the silver table's distinct keys and the gold table's rows, with ``ok``."""
+    out = []
+    for source, target, key in ROW_COUNTS:
+        keys = silver[source].groupBy(*key.split(", ")).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("n"))
+        out.append(keys.select(F.lit(f"{target} rows vs {source} keys").alias("check"), F.col("n").alias("silver_keys"),
+                               gold[target].agg(F.count(F.lit(1))).scalar().alias("gold_rows")))
+    return union_all(out).withColumn("ok", F.col("silver_keys") == F.col("gold_rows"))
+
+
+def stale(report: DataFrame, max_days: int) -> DataFrame:
+    """A freshness report with ``alert``: the source lags more than ``max_days``, or has no time at all."""
+    return report.withColumn("alert", F.coalesce(F.col("days_behind") > max_days, F.lit(True)))
+
+
+def drifted(report: DataFrame, max_volume_pct: float, max_null_change: float) -> DataFrame:
+    """A drift report with ``alert``: the month's rows or NULL rate moved by more than allowed."""
+    moved = (F.abs("volume_drift_pct") > max_volume_pct) | (F.abs("null_rate_change") > max_null_change)
+    return report.withColumn("alert", F.coalesce(moved, F.lit(False)))
+
+
+def assert_no_alerts(report: DataFrame, name: str) -> None:
+    """Fail the run if any row of a report has ``alert`` (reads the first ten of those rows)."""
+    bad = report.filter("alert").drop("alert").limit(10).collect()
+    if bad:
+        raise AssertionError(f"{name}: {[r.asDict() for r in bad]}")
+
+
 def assert_keys(pk_report: DataFrame, fk_report: DataFrame) -> None:
     """Fail the run on duplicate/NULL primary keys or orphan foreign keys
     (reads only the offending report rows: one per failing key)."""
@@ -220,10 +256,11 @@ def profile_columns(df: DataFrame, table: str, approx: bool = True, rsd: float =
 
 def key_check(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """D3: (table, key, rows, distinct_keys, duplicate_key_rows,
-    null_key_rows, exact_duplicate_rows) in one plan: distinct rows first
-    (partial aggregate), then per key, then a global aggregate."""
-    cols = source_columns(df)
-    distinct_rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    null_key_rows, exact_duplicate_rows) in one plan: distinct (key, SHA-256 of the
+    row) first (partial aggregate), then per key, then a global aggregate. Only
+    keys and digests are shuffled, however wide the rows."""
+    row = F.sha2(F.to_json(F.struct(*source_columns(df)), {"ignoreNullFields": "false"}), 256)
+    distinct_rows = df.select(*keys, row.alias("_row")).groupBy(*keys, "_row").agg(F.count(F.lit(1)).alias("n"))
     per_key = distinct_rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("variants"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
@@ -292,11 +329,11 @@ def functional_dependency(df: DataFrame, key: str, attrs: dict[str, str], keys_n
     """Keys, and how many keys see more than one value of each
     attribute. ``attrs`` maps output name -> attribute column; the special
     attribute ``*`` counts keys with more than one row."""
-    per_key = df.groupBy(key).agg(
-        *[(F.count(F.lit(1)) if a == "*" else F.count_distinct(a)).alias(f"_{i}")
+    per_key = df.groupBy(key).agg(  # more than one value: the least is not the greatest (NULLs count as none)
+        *[(F.count(F.lit(1)) > 1 if a == "*" else F.min(a) != F.max(a)).alias(f"_{i}")
           for i, a in enumerate(attrs.values())])
     return per_key.agg(F.count(F.lit(1)).alias(keys_name),
-                       *[F.count_if(F.col(f"_{i}") > 1).alias(name) for i, name in enumerate(attrs)])
+                       *[F.count_if(f"_{i}").alias(name) for i, name in enumerate(attrs)])
 
 
 def value_reconciliation(a: DataFrame, b: DataFrame, key: str, a_total: str, b_total: str,
@@ -304,7 +341,7 @@ def value_reconciliation(a: DataFrame, b: DataFrame, key: str, a_total: str, b_t
     """Compare two per-key totals (full outer join of two per-key
     aggregates). Keys missing on one side are counted, not matched."""
     j = a.join(b, key, "full_outer").withColumn("diff", F.col(b_total) - F.col(a_total))
-    tol = F.lit(tolerance).cast("decimal(4,2)")
+    tol = F.lit(Decimal(str(tolerance)))
     if approx:
         pct = F.percentile_approx(F.abs("diff"), 0.99)
     else:  # differences have unbounded distinct values: distributed exact p99
@@ -319,6 +356,24 @@ def value_reconciliation(a: DataFrame, b: DataFrame, key: str, a_total: str, b_t
         F.round(pct, 2).cast("double").alias("p99_abs_diff"))
 
 
+def columns_within(df: DataFrame, table: str, bound: float = 0.05) -> DataFrame:
+    """D2 both ways: the exact profile, and whether the one-pass sketch's distinct count is within ``bound`` (or 2)."""
+    exact = profile_columns(df, table, approx=False)
+    sketch = profile_columns(df, table, approx=True).select("column", "approx_distinct")
+    off = F.abs(F.col("approx_distinct") - F.col("distinct_values"))
+    return exact.join(sketch, "column").select(
+        *exact.columns, (off <= F.greatest(F.lit(2.0), F.col("distinct_values") * bound)).alias("approx_within_bound"))
+
+
+def group_sizes_within(df: DataFrame, key: str, keys_name: str, bound: float = 0.05) -> DataFrame:
+    """D13 both ways: the exact sizes, and whether the sketched median is within ``bound`` (or 1)."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    median, sketch = F.percentile(F.col("n").cast("double"), 0.5), F.percentile_approx("n", 0.5)
+    return sizes.agg(F.count(F.lit(1)).alias(keys_name), F.min("n").alias("min_rows"), median.alias("median_rows"),
+                     F.max("n").alias("max_rows"),
+                     (F.abs(sketch - median) <= F.greatest(F.lit(1.0), median * bound)).alias("approx_within_bound"))
+
+
 def group_size_stats(df: DataFrame, key: str, keys_name: str, approx: bool = True) -> DataFrame:
     """Keys and min/median/max rows per key."""
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import (
+    ROUNDED_MONEY,
     SUM_MONEY,
     avg_money,
     exact_avg,
@@ -55,25 +56,39 @@ def _fulfilled(df: DataFrame) -> DataFrame:
 
 
 def _dates(dim_date: DataFrame) -> DataFrame:
-    # one row per day of the order history: bounded, broadcast
-    return F.broadcast(dim_date.select(F.col("date_key").alias("purchase_date_key"), "year_month"))
-
-
-def _item_measures():
-    return [
-        F.sum("gross_item_value").cast(SUM_MONEY).alias("revenue"),
-        F.sum("item_value").cast(SUM_MONEY).alias("revenue_excl_freight"),
-        F.count(F.lit(1)).alias("units_sold"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_key").alias("customers"),
-        avg_money("item_value").alias("avg_unit_price"),
-    ]
+    return dim_date.select(F.col("date_key").alias("purchase_date_key"), "year_month")
+
+
+def _in_months(fact: DataFrame, first: str, last: str) -> DataFrame:
+    """Rows bought from month ``first`` to ``last`` (yyyy-MM): a range of date keys, which reaches the scan."""
+    lo, hi = (int(m.replace("-", "")) * 100 for m in (first, last))
+    return fact.filter(F.col("purchase_date_key").between(lo + 1, hi + 31))
+
+
+def _item_measures(items: DataFrame, by: str) -> DataFrame:
+    """Sales figures per ``by``. An order has one customer, so lines are first brought to one row per
+    (``by``, order), which is partly done before the shuffle; orders are then a plain count, and
+    customers, the one distinct count left, are counted from (``by``, customer) rows."""
+    per_order = items.groupBy(by, "order_id").agg(
+        F.sum("gross_item_value").alias("gross"), F.sum("item_value").alias("goods"),
+        F.count(F.lit(1)).alias("lines"), F.count("item_value").alias("priced"), F.min("customer_key").alias("customer"))
+    per_customer = per_order.groupBy(by, "customer").agg(
+        F.sum("gross").alias("gross"), F.sum("goods").alias("goods"), F.sum("lines").alias("lines"),
+        F.sum("priced").alias("priced"), F.count("order_id").alias("orders"))
+    price = F.sum("goods").cast(SUM_MONEY) / F.nullif(F.sum("priced"), F.lit(0)).cast("decimal(20,0)")
+    return per_customer.groupBy(by).agg(
+        F.sum("gross").cast(SUM_MONEY).alias("revenue"),
+        F.sum("goods").cast(SUM_MONEY).alias("revenue_excl_freight"),
+        F.sum("lines").alias("units_sold"),
+        F.sum("orders").alias("orders"),
+        F.count("customer").alias("customers"),
+        F.round(price, 2).cast(ROUNDED_MONEY).alias("avg_unit_price"))
 
 
 def top_products(fact_order_item: DataFrame, dim_product: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Top products by revenue. Aggregated per product key first, then
     joined to the dimension (one row per product), then top-k."""
-    per_product = _fulfilled(fact_order_item).groupBy("product_key").agg(*_item_measures())
+    per_product = _item_measures(_fulfilled(fact_order_item), "product_key")
     return (per_product.join(dim_product.select("product_key", "product_id", "category"), "product_key")
             .select("product_id", "category", "revenue", "revenue_excl_freight", "units_sold",
                     "orders", "customers", "avg_unit_price")
@@ -93,9 +108,8 @@ def _share_columns(total_col: str = "revenue", order_key: str = "category") -> l
 
 def top_categories(fact_order_item: DataFrame, dim_product: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Top categories with share and cumulative share of all categories."""
-    by_cat = (_fulfilled(fact_order_item)
-              .join(dim_product.select("product_key", "category"), "product_key")
-              .groupBy("category").agg(*_item_measures()))
+    by_cat = _item_measures(_fulfilled(fact_order_item).join(
+        dim_product.select("product_key", "category"), "product_key"), "category")
     return (by_cat.select("category", "revenue", "revenue_excl_freight", *_share_columns(),
                           "units_sold", "orders", "customers", "avg_unit_price")
             .orderBy(F.col("revenue").desc(), F.col("category"))
@@ -127,8 +141,7 @@ def top_customers_by_orders(dim_customer: DataFrame, p: Params = DEFAULT) -> Dat
 
 def monthly_revenue(fact_order: DataFrame, dim_date: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Q2: monthly revenue and orders with month-on-month growth."""
-    monthly = (_fulfilled(fact_order).join(_dates(dim_date), "purchase_date_key")
-               .filter(F.col("year_month").between(p.month_from, p.month_to))
+    monthly = (_in_months(_fulfilled(fact_order), p.month_from, p.month_to).join(_dates(dim_date), "purchase_date_key")
                .groupBy(F.col("year_month").alias("month"))
                .agg(F.sum("order_value").cast(SUM_MONEY).alias("revenue"),
                     F.sum("item_value").cast(SUM_MONEY).alias("revenue_excl_freight"),

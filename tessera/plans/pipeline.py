@@ -9,11 +9,11 @@ import time
 from pyspark.sql import DataFrame
 
 from tessera.operators import gold as G
-from tessera.operators.quality import assert_keys, assert_reconciled, reconcile_layers
+from tessera.operators.quality import assert_keys, assert_reconciled, reconcile_layers, reconcile_rows
 from tessera.plans.profiling import CONSTRAINT_REPORTS
 from tessera.plans.tables import SILVER_INPUTS
 from tessera.sources.schemas import GOLD_ORDER, SCHEMAS, SILVER_ORDER
-from tessera.sources.sinks import register_tables, write_table
+from tessera.sources.sinks import publish, register_tables, stage_table, write_table
 
 # fact tables are clustered on the purchase date (pruning for date filters)
 SORT_BY = {"fact_order": ["purchase_date_key"], "fact_order_item": ["purchase_date_key"],
@@ -34,20 +34,22 @@ def land_bronze(bronze: dict[str, DataFrame], base: str,
     return landed
 
 
-def build_silver_layer(bronze: dict[str, DataFrame], base: str,
+def build_silver_layer(bronze: dict[str, DataFrame], base: str, staged: dict[str, str],
                        timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
+    """New, unpublished versions; ``staged`` gets path -> version."""
     silver = {}
     for name in SILVER_ORDER:
         t0 = time.time()
         fn, inputs = SILVER_INPUTS[name]
-        silver[name] = write_table(fn(*[bronze[b] for b in inputs]), f"{base}/silver/{name}",
-                                   schema=SCHEMAS[name], table=name, sort_by=SORT_BY.get(name))
+        path = f"{base}/silver/{name}"
+        silver[name], staged[path] = stage_table(fn(*[bronze[b] for b in inputs]), path, schema=SCHEMAS[name], table=name,
+                                                 sort_by=SORT_BY.get(name))
         if timings is not None:
             timings[f"stg_{name}"] = time.time() - t0
     return silver
 
 
-def build_gold_layer(silver: dict[str, DataFrame], base: str,
+def build_gold_layer(silver: dict[str, DataFrame], base: str, staged: dict[str, str],
                      timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
     s = silver
     builders = {
@@ -65,8 +67,9 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str,
     gold: dict[str, DataFrame] = {}
     for name in GOLD_ORDER:
         t0 = time.time()
-        gold[name] = write_table(builders[name](gold), f"{base}/gold/{name}", schema=SCHEMAS[name],
-                                 table=name, sort_by=SORT_BY.get(name))
+        path = f"{base}/gold/{name}"
+        gold[name], staged[path] = stage_table(builders[name](gold), path, schema=SCHEMAS[name], table=name,
+                                               sort_by=SORT_BY.get(name))
         if timings is not None:
             timings[name] = time.time() - t0
     return gold
@@ -75,23 +78,28 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str,
 def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True, check_keys: bool = True,
                  register: bool = False,
                  timings: dict[str, float] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Write silver and gold under ``base``; fail if the layers disagree
-    (item value and revenue totals) or, with ``check_keys``, if any of the
-    16 primary keys is duplicated/NULL or any of the 16 foreign keys has
-    orphans (checked on the written tables). ``register`` exposes the
-    written tables as ``silver.*`` / ``gold.*`` in the catalog."""
-    silver = build_silver_layer(bronze, base, timings)
-    gold = build_gold_layer(silver, base, timings)
+    """Write new versions of silver and gold under ``base``, check them, then publish them all,
+    parents first. The run fails, and readers keep the versions they had, if the layers disagree
+    (item value and revenue totals), or, with ``check_keys``, if any of the
+    primary keys is duplicated/NULL or any of the foreign keys has
+    orphans. ``register`` exposes the
+    published tables as ``silver.*`` / ``gold.*`` in the catalog."""
+    staged: dict[str, str] = {}
+    silver = build_silver_layer(bronze, base, staged, timings)
+    gold = build_gold_layer(silver, base, staged, timings)
+    spark = next(iter(gold.values())).sparkSession
     t0 = time.time()
     if reconcile:
         assert_reconciled(reconcile_layers(silver, gold))
+        assert_reconciled(reconcile_rows(silver, gold))
     if check_keys:
         both = {**silver, **gold}
         assert_keys(CONSTRAINT_REPORTS["dq_pk_violations"](both), CONSTRAINT_REPORTS["dq_fk_violations"](both))
     if timings is not None:
         timings["checks"] = time.time() - t0
+    for path, version in staged.items():
+        publish(spark, path, version)
     if register:  # silver.<table> and gold.<table> in the session catalog
-        spark = next(iter(gold.values())).sparkSession
         register_tables(spark, "silver", {n: f"{base}/silver/{n}" for n in silver})
         register_tables(spark, "gold", {n: f"{base}/gold/{n}" for n in gold})
     return silver, gold

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
+from tessera.plans.analytics import DEFAULT
 from tessera.sources.retail_views import BRONZE_TABLES
 from tessera.sources.schemas import FOREIGN_KEYS, KEYS, SCHEMAS
 
@@ -56,13 +57,27 @@ FK_CHECKS: list[tuple[str, str, str, str]] = [
     ("orders", "order_id", "order_payments", "order_id"),
 ]
 BRAZIL_BOX = (-34.0, 6.0, -74.0, -34.0)  # lat min, lat max, lng min, lng max
-AS_OF = "2001-08-01"  # freshness reference date (same as the analytics Params)
+AS_OF = DEFAULT.as_of  # freshness reference date
 
 
 def _money(c: str):
     return F.col(c).try_cast(MONEY)
 
 
+MAX_DAYS_BEHIND = 30  # X3: a source older than this is stale
+MAX_VOLUME_DRIFT_PCT, MAX_NULL_RATE_CHANGE = 50.0, 5.0  # X4: what a month may move
+
+
+def _freshness(b, as_of: str = AS_OF):
+    return Q.freshness({"orders": (b("orders"), "order_purchase_timestamp"),
+                        "order_reviews": (b("order_reviews"), "review_creation_date"),
+                        "order_items": (b("order_items"), "shipping_limit_date")}, as_of)
+
+
+def _drift(b):
+    return Q.volume_drift(b("orders"), "order_purchase_timestamp", "order_delivered_customer_date")
+
+
 def _recon(b):
     items_total = b("order_items").groupBy("order_id").agg(
         F.sum(_money("price") + _money("freight_value")).alias("items_total"))
@@ -77,8 +92,7 @@ def _recon(b):
 BRONZE_REPORTS = {
     "dq_shape": lambda b, c: Q.shape({t: b(t) for t in BRONZE_TABLES}),
     "dq_columns": lambda b, c: Q.union_all([Q.profile_columns(b(t), t, approx=False) for t in BRONZE_TABLES]),
-    "dq_columns_approx": lambda b, c: Q.union_all([Q.profile_columns(b(t), t, approx=True)
-                                                   for t in BRONZE_TABLES]),
+    "dq_columns_approx": lambda b, c: Q.union_all([Q.columns_within(b(t), t) for t in BRONZE_TABLES]),
     "dq_keys": lambda b, c: Q.union_all([Q.key_check(b(t), t, k) for t, k in KEY_CHECKS]),
     "dq_casts": lambda b, c: Q.union_all([Q.cast_check(c() if t == "order_items" else b(t), t, types)
                                           for t, types in CASTS.items()]),
@@ -107,8 +121,8 @@ BRONZE_REPORTS = {
         .orderBy(F.col("rows").desc(), "payment_type")),
     "dq_group_sizes": lambda b, c: Q.group_size_stats(b("geolocation"), "geolocation_zip_code_prefix",
                                                       "zip_prefixes", approx=False),
-    "dq_group_sizes_approx": lambda b, c: Q.group_size_stats(b("geolocation"), "geolocation_zip_code_prefix",
-                                                             "zip_prefixes", approx=True),
+    "dq_group_sizes_approx": lambda b, c: Q.group_sizes_within(b("geolocation"), "geolocation_zip_code_prefix",
+                                                               "zip_prefixes"),
     "dq_domain": lambda b, c: Q.domain_check(b("geolocation"), "geolocation_lat", "geolocation_lng",
                                              BRAZIL_BOX, "geolocation_city", "geolocation_state"),
     "dq_attr_conflict": lambda b, c: Q.functional_dependency(b("geolocation"), "geolocation_zip_code_prefix", {
@@ -120,12 +134,10 @@ BRONZE_REPORTS = {
         "review_ids_with_conflicting_scores": "review_score"}, "distinct_review_ids"),
     "dq_reviews_per_order": lambda b, c: Q.count_histogram(b("order_reviews"), "order_id",
                                                            "reviews_per_order", "orders"),
-    "dq_volume_drift": lambda b, c: Q.volume_drift(b("orders"), "order_purchase_timestamp",
-                                                   "order_delivered_customer_date"),
-    "dq_freshness": lambda b, c: Q.freshness({
-        "orders": (b("orders"), "order_purchase_timestamp"),
-        "order_reviews": (b("order_reviews"), "review_creation_date"),
-        "order_items": (b("order_items"), "shipping_limit_date")}, AS_OF),
+    "dq_volume_drift": lambda b, c: _drift(b),
+    "dq_freshness": lambda b, c: _freshness(b),
+    "dq_freshness_alerts": lambda b, c: Q.stale(_freshness(b), MAX_DAYS_BEHIND),
+    "dq_volume_alerts": lambda b, c: Q.drifted(_drift(b), MAX_VOLUME_DRIFT_PCT, MAX_NULL_RATE_CHANGE),
 }
 
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.operators.quality import reconcile_layers
+from tessera.operators.quality import reconcile_layers, reconcile_rows
 from tessera.plans import analytics as A
 from tessera.plans import core as C
 from tessera.plans import profiling as P
@@ -69,12 +70,18 @@ def queries() -> dict[str, Query]:
 
     def files(spark, sf):
         from tessera.operators.quality import file_freshness
-        return file_freshness({t: spark.read.parquet(f"{sf}/{t}.parquet")
+        report = file_freshness({t: spark.read.parquet(f"{sf}/{t}.parquet")
                                for t in ("orders", "lineitem", "customer", "supplier", "part", "nation")})
+        return report.select("source", "rows", "files", F.col("newest_file_at").isNotNull().alias("dated"))
     out["dq_file_freshness"] = _named("dq_file_freshness", files)
 
     def recon(spark, sf):
         t = RetailTables(spark, sf)
         return reconcile_layers(t.all_silver(), t.all_gold())
     out["reconcile_layers"] = _named("reconcile_layers", recon)
+
+    def recon_rows(spark, sf):
+        t = RetailTables(spark, sf)
+        return reconcile_rows(t.all_silver(), t.all_gold())
+    out["reconcile_rows"] = _named("reconcile_rows", recon_rows)
     return out

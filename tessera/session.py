@@ -48,10 +48,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
-    unset - local tests - a fresh folder is made and registered.
+    unset and the master is local - tests - a fresh folder is made and
+    registered; on a cluster a missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

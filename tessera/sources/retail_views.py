@@ -38,15 +38,12 @@ BRONZE_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, with_file: bool = False,
-               spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, with_file: bool = False) -> DataFrame:
     """One driver table (a parquet scan: filters and projections push down).
 
-    ``with_file`` adds ``_source_file`` (taken at the scan, before any
-    shuffle). A source with fewer splits than the cluster's parallelism (a
-    single large row group cannot be split) is spread round-robin first, so
-    the per-row work after it does not run in one task; with many splits
-    this is a no-op. ``spread=False`` for fixed tiny tables (nation).
+    ``with_file`` adds ``_source_file``, taken at the scan, before any
+    shuffle. How many splits a table has is the matter of the job that
+    lands it (file and row-group size), not of its readers.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     if with_file:
@@ -55,14 +52,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, with_file: bool = Fa
         # struct is not pruned cleanly and the scan reads every metadata
         # field, including per-row indexes.
         df = df.withColumn("_source_file", F.input_file_name())
-    if spread:
-        try:
-            parallelism = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session): leave as is
-            return df
-        if splits < parallelism:
-            df = df.repartition(parallelism)
     return df
 
 
@@ -71,7 +60,10 @@ def _s(c: Column) -> Column:
 
 
 def _zip(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 5, "0")
+    """A 5-digit prefix with leading zeros; a longer key is an error, never cut."""
+    text = c.cast("string")
+    return F.when(F.length(text) > 5, F.raise_error(F.concat(F.lit("zip prefix of over 5 digits: "), text))).otherwise(
+        F.lpad(text, 5, "0"))
 
 
 def _lineage(loaded_at: str) -> list[Column]:
@@ -118,7 +110,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_A
         "o_orderkey", "o_custkey", *_lineage(loaded_at))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     # nation is a fixed 25-row dimension
-    n = F.broadcast(read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name"))
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("o_orderkey")
     return (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -136,7 +128,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_A
 def bronze_sellers(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED_AT) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier", with_file=True).select(
         "s_suppkey", "s_nationkey", *_lineage(loaded_at))
-    n = F.broadcast(read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name"))
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
              .select(F.concat(F.lit("s"), _s(F.col("s_suppkey"))).alias("seller_id"),
                      _zip(F.col("s_nationkey")).alias("seller_zip_code_prefix"),
@@ -150,7 +142,7 @@ def bronze_geolocation(spark: SparkSession, sf_dir: str, loaded_at: str = LOADED
     key mod 4 = 0 appear twice (exact duplicates)."""
     c = read_table(spark, sf_dir, "customer", with_file=True).select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", *_lineage(loaded_at))
-    n = F.broadcast(read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name"))
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     copies = F.when(F.col("c_custkey") % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     bal = F.col("c_acctbal").cast("decimal(12,2)")
     return (c.filter(F.col("c_nationkey") % 7 != 3)

@@ -1,8 +1,11 @@
-"""Writers: schema-conforming overwrite with a drift guard and in-pass
+"""Writers: schema-conforming replacement by versions with a drift guard and in-pass
 constraint enforcement (IO4, IO7, IO9)."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -33,24 +36,49 @@ def conform_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def existing_schema(spark: SparkSession, path: str) -> StructType | None:
+def _absent(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the version that readers of the table at ``path`` see; None before the first one.
+    Any other failure to read (a permission, a broken file) is an error, not 'no table'."""
     try:
-        return spark.read.parquet(path).schema
-    except Exception:  # noqa: BLE001 - no table there yet
-        return None
+        log = spark.read.schema("version string, published_at timestamp").parquet(f"{path}/published")
+    except AnalysisException as e:
+        if _absent(e):
+            return None
+        raise
+    newest = log.orderBy(F.desc("published_at"), F.desc("version")).first()
+    return None if newest is None else f"{path}/versions/{newest.version}"
+
+
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """The published version of the table at ``path``."""
+    where = current_version(spark, path)
+    if where is None:
+        raise FileNotFoundError(f"no published version of {path}")
+    return spark.read.parquet(where)
+
+
+def existing_schema(spark: SparkSession, path: str) -> StructType | None:
+    where = current_version(spark, path)
+    return None if where is None else spark.read.parquet(where).schema
 
 
 def _shape(schema: StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def write_table(df: DataFrame, path: str, schema: StructType | None = None, table: str | None = None,
+def stage_table(df: DataFrame, path: str, schema: StructType | None = None, table: str | None = None,
                 sort_by: list[str] | None = None, partition_by: list[str] | None = None,
-                allow_schema_change: bool = False) -> DataFrame:
-    """Overwrite the Parquet table at ``path`` and return it read back.
+                allow_schema_change: bool = False) -> tuple[DataFrame, str]:
+    """Write a new version of the Parquet table at ``path`` that no reader sees yet; returns it read
+    back, and its name for ``publish``. A version that fails is never published, so the
+    one before it stays as it is.
 
-    * ``schema``: conform to it (and refuse an overwrite that would change
-      the shape of an existing table unless ``allow_schema_change``).
+    * ``schema``: conform to it (and refuse to change the shape of an existing table unless
+      ``allow_schema_change``).
     * ``table``: enforce that table's CHECK and NOT NULL rules in the same
       pass as the write (the write fails on a violation).
     * ``sort_by``: cluster rows inside each file (min/max statistics then
@@ -68,11 +96,29 @@ def write_table(df: DataFrame, path: str, schema: StructType | None = None, tabl
         out = enforce(out, table, schema)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    writer = out.write.mode("overwrite").format("parquet")
+    version = uuid.uuid4().hex
+    writer = out.write.mode("error").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return spark.read.schema(out.schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    writer.save(f"{path}/versions/{version}")
+    written = spark.read.schema(out.schema) if schema is not None else spark.read
+    return written.parquet(f"{path}/versions/{version}"), version
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    """Let readers of ``path`` see ``version``: one row appended to the table's publication log, which
+    Spark commits as a whole or not at all. Earlier versions stay readable by their folder."""
+    row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    row.coalesce(1).write.mode("append").parquet(f"{path}/published")
+
+
+def write_table(df: DataFrame, path: str, schema: StructType | None = None, table: str | None = None,
+                sort_by: list[str] | None = None, partition_by: list[str] | None = None,
+                allow_schema_change: bool = False) -> DataFrame:
+    """Replace the Parquet table at ``path`` (``stage_table``, then ``publish``) and return it read back."""
+    written, version = stage_table(df, path, schema, table, sort_by, partition_by, allow_schema_change)
+    publish(df.sparkSession, path, version)
+    return written
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -81,11 +127,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def register_tables(spark: SparkSession, layer: str, tables: dict[str, str]) -> None:
-    """Expose written tables in the catalog as ``<layer>.<name>`` (external
-    Parquet tables over the written folders), so they can be read with
-    ``spark.table("gold.fact_order")`` or SQL. Re-registering replaces the
-    entry only; the files are untouched."""
+    """Expose the published versions in the catalog as ``<layer>.<name>`` (external
+    Parquet tables), so they can be read with ``spark.table("gold.fact_order")`` or SQL. An entry that
+    exists is moved to the new version's folder; the files are untouched."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for name, path in tables.items():
-        spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-        spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{path}'")
+        where = current_version(spark, path)
+        if spark.catalog.tableExists(f"{layer}.{name}"):
+            spark.sql(f"ALTER TABLE {layer}.{name} SET LOCATION '{where}'")
+            spark.catalog.refreshTable(f"{layer}.{name}")
+        else:
+            spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{where}'")

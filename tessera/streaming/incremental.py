@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.operators.conform import dedupe
+from tessera.sources.sinks import existing_schema, open_table, write_table
 
 
 def text_schema(columns: list[str]) -> StructType:
@@ -27,10 +28,12 @@ def text_schema(columns: list[str]) -> StructType:
 
 def ingest_files(spark: SparkSession, source_dir: str, columns: list[str], sink_path: str,
                  checkpoint_path: str, available_now: bool = True,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; returns the query (call ``awaitTermination()``)."""
+                 max_files_per_trigger: int | None = None, multi_line: bool = True) -> StreamingQuery:
+    """Start the stream; returns the query (call ``awaitTermination()``). A file whose header is not
+    ``columns`` in this order fails the query."""
     reader = (spark.readStream.schema(text_schema(columns))
-              .option("header", True).option("multiLine", True).option("escape", '"'))
+              .option("header", True).option("enforceSchema", False)
+              .option("multiLine", multi_line).option("escape", '"'))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = (reader.csv(source_dir)
@@ -43,6 +46,16 @@ def ingest_files(spark: SparkSession, source_dir: str, columns: list[str], sink_
 
 
 def current_state(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Latest row per key from an append-only change log (upsert on read)."""
-    order = [F.col("_loaded_at").desc(), F.col("_source_file").desc()]
-    return dedupe(changes, keys, order)
+    """Latest row per key from an append-only change log (upsert on read): by load time, then source
+    file, then every other column in name order, so that the winner does not depend on row order."""
+    latest = ["_loaded_at", "_source_file"]
+    rest = [c for c in sorted(changes.columns) if c not in (*keys, *latest)]
+    return dedupe(changes, keys, [F.col(c).desc() for c in (*latest, *rest)])
+
+
+def upsert(spark: SparkSession, changes: DataFrame, keys: list[str], path: str) -> DataFrame:
+    """Merge ``changes`` into the table at ``path`` (X6): the latest row of every key over what is there and
+    what is new becomes the table's next version, published when it is written in full."""
+    old = existing_schema(spark, path)
+    rows = changes if old is None else open_table(spark, path).unionByName(changes)
+    return write_table(current_state(rows, keys), path, schema=old or changes.schema)

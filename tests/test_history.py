@@ -1,20 +1,25 @@
 import datetime as dt
 import random
 
+import pytest
+
 from tessera.operators.history import scd2
 
 
-def test_scd2_matches_brute_force_with_a_hot_key(spark):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_scd2_matches_brute_force_with_a_hot_key(spark, reuse):
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
     rng = random.Random(11)
     base = dt.datetime(2001, 1, 1)
     rows = []
     for i in range(600):
-        k = "hot" if i % 2 == 0 else f"k{rng.randint(0, 25)}"
+        k = "hot" if i % 2 == 0 else None if i % 7 == 0 else f"k{rng.randint(0, 25)}"
         rows.append((k, base + dt.timedelta(hours=rng.randint(0, 2000)), f"o{i:04d}",
                      rng.choice(["A", "A", "B", None])))
     df = spark.createDataFrame(rows, "k string, t timestamp, o string, z string")
     got = {(r.k, r.version): (r.z, r.valid_from, r.valid_to, r.is_current, r.events)
-           for r in scd2(df, "k", "t", "o", "z", partitions=7).collect()}
+           for r in scd2(df, "k", "t", "o", "z").collect()}
     want = {}
     for k in {r[0] for r in rows}:
         ev = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2]))
@@ -27,3 +32,4 @@ def test_scd2_matches_brute_force_with_a_hot_key(spark):
             nxt = vers[v][1] if v < len(vers) else None
             want[(k, v)] = (z, t, nxt, nxt is None, n)
     assert got == want
+    spark.conf.set("spark.sql.exchange.reuse", old)

@@ -22,3 +22,17 @@ def test_pipeline_writes_every_table_reconciled_and_keyed(spark):
     # catalog access by layer and name (plain SQL over the written tables)
     n = spark.sql("SELECT count(*) FROM gold.fact_order f JOIN gold.dim_customer c USING (customer_key)").first()[0]
     assert n == 1500 and spark.table("silver.orders").count() == 1500
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+def test_failing_gate_publishes_nothing(spark):
+    from tessera.sources.sinks import open_table
+    base = f"{checkpoint_dir(spark)}/gate-{uuid.uuid4().hex[:8]}"
+    bronze = RetailTables(spark, SF).all_bronze()
+    run_pipeline(bronze, base, register=True)
+    before = spark.table("gold.fact_order").count()
+    broken = dict(bronze, products=bronze["products"].filter("product_id like '%1'"))  # lines without a product
+    with pytest.raises(AssertionError):
+        run_pipeline(broken, base)
+    assert spark.table("gold.fact_order").count() == before == open_table(spark, f"{base}/gold/fact_order").count()
+    assert open_table(spark, f"{base}/silver/products").count() == spark.table("silver.products").count() > 0

@@ -56,3 +56,29 @@ def test_fulfilled_filter_reaches_the_scan(spark, tables, tmp_path_factory):
     p = plan(A.repeat_rate_variants(fo))
     assert "PushedFilters: [IsNotNull(is_fulfilled), EqualTo(is_fulfilled,true)]" in p
     assert "ReadSchema: struct<order_id:string,customer_key:string,purchased_at:timestamp,is_fulfilled:boolean>" in p
+
+
+def test_item_reports_have_no_expand_and_months_reach_the_scan(tables, spark):
+    for name in ("q1a_top_products", "q1b_top_categories"):
+        class G:
+            def __getitem__(self, t):
+                return tables.gold(t)
+        assert "Expand" not in plan(A.run(name, G()))
+    assert "Expand" not in plan(tables.gold("fact_order"))
+    import uuid
+    from tessera.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/plan-{uuid.uuid4().hex[:8]}"
+    tables.gold("fact_order").write.parquet(path)
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        p = plan(A.monthly_revenue(spark.read.parquet(path), tables.gold("dim_date")))
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert "GreaterThanOrEqual(purchase_date_key" in p
+
+
+def test_no_query_reshuffles_its_source(spark):
+    from tessera.plans.registry import queries
+    for name in ("q1a_top_products", "q3_delivery_extremes", "stg_geography", "dq_keys", "dim_customer"):
+        assert "RoundRobin" not in plan(queries()[name](spark, "/root/testdata/sf0.001"))

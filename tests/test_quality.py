@@ -95,3 +95,25 @@ def test_assert_keys_fails_on_orphans_and_duplicates(spark):
     clean_pk = Q.pk_check(parent.distinct(), "parent", ["k"])
     clean_fk = Q.fk_check(child.filter("k = 'a'"), "k", parent, "k", "child", "parent")
     Q.assert_keys(clean_pk, clean_fk)
+
+
+def test_alerts_and_gate(spark):
+    import pytest
+    from tessera.operators.quality import assert_no_alerts, drifted, stale
+    fresh = spark.createDataFrame([("a", 3), ("b", 40), ("c", None)], "source string, days_behind int")
+    assert {r.source: r.alert for r in stale(fresh, 30).collect()} == {"a": False, "b": True, "c": True}
+    months = spark.createDataFrame([("1", None, None), ("2", 10.0, 0.5), ("3", -60.0, 0.0), ("4", 1.0, 9.0)],
+                                   "month string, volume_drift_pct double, null_rate_change double")
+    report = drifted(months, 50, 5)
+    assert {r.month for r in report.filter("alert").collect()} == {"3", "4"}
+    with pytest.raises(AssertionError):
+        assert_no_alerts(report, "drift")
+    assert_no_alerts(report.filter("month < '3'"), "drift")
+
+
+def test_tolerance_is_taken_as_given(spark):
+    from tessera.operators.quality import value_reconciliation
+    a = spark.createDataFrame([("1", 10.0), ("2", 10.0)], "k string, x double").selectExpr("k", "cast(x as decimal(12,3)) x")
+    b = spark.createDataFrame([("1", 10.002), ("2", 300.0)], "k string, y double").selectExpr("k", "cast(y as decimal(12,3)) y")
+    count = {t: value_reconciliation(a, b, "k", "x", "y", tolerance=t).first().match for t in (0.001, 0.01, 1000)}
+    assert count == {0.001: 0, 0.01: 1, 1000: 2}

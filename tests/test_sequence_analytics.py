@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import datetime as dt
 import random
 from decimal import Decimal as D
@@ -72,3 +73,25 @@ def test_delivery_extremes_threshold_is_scalar_subquery(spark):
     assert "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
     rows = out.collect()
     assert len(rows) == 3 and sum(r.extreme_orders for r in rows) == 3  # p99 of 0..299 = 296.01
+
+
+def test_campaign_targets_has_both_groups(spark):
+    import datetime as dt
+    from tessera.functions.columns import surrogate_key
+    from tessera.plans.analytics import campaign_targets
+    people = [(f"p{i}", 1 if i % 5 else 2, float(i)) for i in range(60)]
+    dim = spark.createDataFrame(people, "customer_unique_id string, lifetime_fulfilled_orders long, revenue double").select(
+        surrogate_key("customer_unique_id").alias("customer_key"), "customer_unique_id", F.lit("SP").alias("customer_state"),
+        "lifetime_fulfilled_orders", F.col("revenue").cast("decimal(12,2)").alias("lifetime_revenue"))
+    fact = spark.createDataFrame([(f"p{i}", dt.datetime(2001, 6, 25), i % 20) for i in range(60)], "who string, purchased_at timestamp, delivery_days int").select(
+        surrogate_key("who").alias("customer_key"), "purchased_at", "delivery_days", F.lit(True).alias("is_fulfilled"))
+    got = campaign_targets(fact, dim).collect()
+    want = set()
+    once = sorted(r for p, n, r in people if n == 1)
+    median = (once[(len(once) - 1) // 2] + once[len(once) // 2]) / 2
+    for i, (p, n, r) in enumerate(people):
+        days = (dt.date(2001, 8, 1) - (dt.date(2001, 6, 25) + dt.timedelta(days=i % 20))).days
+        if n == 1 and r >= median and 21 <= days <= 30:
+            want.add((p, days))
+    assert {(r.customer_unique_id, r.days_since_delivery) for r in got} == want and len(got) >= 8
+    assert {r.campaign_group for r in got} == {"holdout", "treatment"}

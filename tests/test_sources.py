@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from tessera.session import checkpoint_dir
 from tessera.sources.bronze import land, read_bronze_csv
 from tessera.sources.schemas import SCHEMAS
-from tessera.sources.sinks import SchemaDriftError, conform_to_schema, write_table
+from tessera.sources.sinks import (
+    SchemaDriftError,
+    conform_to_schema,
+    open_table,
+    register_tables,
+    stage_table,
+    write_table,
+)
 
 
 def _dir(spark, name):
@@ -60,4 +67,48 @@ def test_write_table_enforces_constraints_in_the_write(spark):
     assert back.count() == 1 and back.columns == SCHEMAS["reviews"].fieldNames()
     bad = full.withColumn("review_score", F.lit(9))
     with pytest.raises(Exception):
-        write_table(bad, f"{d}/reviews_bad", schema=SCHEMAS["reviews"], table="reviews")
+        write_table(bad, f"{d}/reviews", schema=SCHEMAS["reviews"], table="reviews")
+    # the table that could not be replaced is as it was, and its shape is still guarded
+    assert open_table(spark, f"{d}/reviews").select("review_id", "review_score").collect() == [("r1", 5)]
+    with pytest.raises(SchemaDriftError):
+        write_table(ok, f"{d}/reviews", schema=ok.schema)
+    write_table(full.withColumn("review_score", F.lit(4)), f"{d}/reviews", schema=SCHEMAS["reviews"], table="reviews")
+    assert open_table(spark, f"{d}/reviews").first().review_score == 4
+
+
+def test_catalog_name_moves_to_the_published_version(spark):
+    d = _dir(spark, "cat")
+    layer = f"layer_{uuid.uuid4().hex[:8]}"
+    for value in (1, 2):
+        write_table(spark.createDataFrame([(value,)], "x int"), f"{d}/t")
+        register_tables(spark, layer, {"t": f"{d}/t"})
+        assert spark.table(f"{layer}.t").collect() == [(value,)]
+    staged, _ = stage_table(spark.createDataFrame([(3,)], "x int"), f"{d}/t")
+    assert staged.collect() == [(3,)] and spark.table(f"{layer}.t").collect() == [(2,)]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_files_with_columns_in_another_order_are_refused(spark, multi_line):
+    d = _dir(spark, "headers")
+    os.makedirs(d)
+    for name, head, row in (("a", "order_id,status", "o1,shipped"), ("b", "status,order_id", "shipped,o2")):
+        with open(f"{d}/{name}.csv", "w") as f:
+            f.write(f"{head}\n{row}\n")
+    with pytest.raises(Exception, match="header"):
+        read_bronze_csv(spark, d, multi_line=multi_line).collect()
+    assert read_bronze_csv(spark, f"{d}/b.csv", multi_line=multi_line).first().order_id == "o2"
+
+
+def test_plain_csv_is_cut_into_splits(spark):
+    d = _dir(spark, "split")
+    os.makedirs(d)
+    with open(f"{d}/big.csv", "w") as f:
+        f.write("x,y\n" + "1,2\n" * 60_000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        files = [read_bronze_csv(spark, f"{d}/big.csv", multi_line=m).select(F.spark_partition_id().alias("p")).distinct().count()
+                 for m in (False, True)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert files[0] > 1 and files[1] == 1
