@@ -356,12 +356,12 @@ def value_reconciliation(a: DataFrame, b: DataFrame, key: str, a_total: str, b_t
         F.round(pct, 2).cast("double").alias("p99_abs_diff"))
 
 
-def columns_within(df: DataFrame, table: str, bound: float = 0.05) -> DataFrame:
+def columns_within(tables: dict[str, DataFrame], bound: float = 0.05) -> DataFrame:
     """D2 both ways: the exact profile, and whether the one-pass sketch's distinct count is within ``bound`` (or 2)."""
-    exact = profile_columns(df, table, approx=False)
-    sketch = profile_columns(df, table, approx=True).select("column", "approx_distinct")
+    exact = union_all([profile_columns(df, t, approx=False) for t, df in tables.items()])
+    sketch = union_all([profile_columns(df, t, approx=True).select("table", "column", "approx_distinct") for t, df in tables.items()])
     off = F.abs(F.col("approx_distinct") - F.col("distinct_values"))
-    return exact.join(sketch, "column").select(
+    return exact.join(sketch, ["table", "column"]).select(
         *exact.columns, (off <= F.greatest(F.lit(2.0), F.col("distinct_values") * bound)).alias("approx_within_bound"))
 
 

@@ -92,7 +92,7 @@ def _recon(b):
 BRONZE_REPORTS = {
     "dq_shape": lambda b, c: Q.shape({t: b(t) for t in BRONZE_TABLES}),
     "dq_columns": lambda b, c: Q.union_all([Q.profile_columns(b(t), t, approx=False) for t in BRONZE_TABLES]),
-    "dq_columns_approx": lambda b, c: Q.union_all([Q.columns_within(b(t), t) for t in BRONZE_TABLES]),
+    "dq_columns_approx": lambda b, c: Q.columns_within({t: b(t) for t in BRONZE_TABLES}),
     "dq_keys": lambda b, c: Q.union_all([Q.key_check(b(t), t, k) for t, k in KEY_CHECKS]),
     "dq_casts": lambda b, c: Q.union_all([Q.cast_check(c() if t == "order_items" else b(t), t, types)
                                           for t, types in CASTS.items()]),
