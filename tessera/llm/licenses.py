@@ -80,8 +80,17 @@ def _with_shingles(df: DataFrame, hashed: bool) -> DataFrame:
         F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0))), one)))
 
 
+def _with_permutations(df: DataFrame, bands: int) -> DataFrame:
+    """Adds ``h0``, ``h1`` ...: every shingle's hash in each band, worked out once for all windows."""
+    def permuted(band):
+        return F.transform("s", lambda h: F.xxhash64(h, F.lit(band)))
+
+    return df.withColumns({f"h{band}": permuted(band) for band in range(bands)})
+
+
 def _window_keys(size: int, stride: int, bands: int) -> Column:
-    """Band keys of all windows of ``size`` shingles of the array ``s``, ``stride`` apart and one at the end."""
+    """Band keys of all windows of ``size`` shingles of the array ``s`` (see ``_with_permutations``), ``stride``
+    apart and one at the end."""
     s = F.col("s")
     if size == 1:
         return F.transform(s, lambda h: F.xxhash64(h, F.lit(1)))
@@ -89,8 +98,8 @@ def _window_keys(size: int, stride: int, bands: int) -> Column:
     starts = F.array_union(F.sequence(F.lit(0), end, F.lit(stride)), F.array(end))
 
     def keys(at):
-        shingles = [F.get(s, at + i) for i in range(size)]  # null past the end of a short text; least() skips it
-        low = [F.least(*[F.when(h.isNotNull(), F.xxhash64(h, F.lit(band))) for h in shingles]) for band in range(bands)]
+        # past the end of a short text there are nulls, which least() skips
+        low = [F.least(*[F.get(F.col(f"h{band}"), at + i) for i in range(size)]) for band in range(bands)]
         return F.array(*[F.xxhash64(x, F.lit(size), F.lit(band)) for band, x in enumerate(low)])
 
     return F.when(F.size(s) > 0, F.flatten(F.transform(starts, keys))).otherwise(F.array().cast("array<bigint>"))
@@ -117,7 +126,7 @@ def scan_licenses(df: DataFrame, templates: tuple[License, ...] = NOTICES, id_co
     sizes = {r.license: r.n for r in told.select("license", F.size("shingles").alias("n")).collect()}
     if not all(sizes.values()):
         raise ValueError("a template without words")
-    hashed = _with_shingles(known, hashed=True)
+    hashed = _with_permutations(_with_shingles(known, hashed=True), bands)
     used = sorted({size_for(n) for n in sizes.values()})
     index = None
     for size in used:
@@ -128,7 +137,7 @@ def scan_licenses(df: DataFrame, templates: tuple[License, ...] = NOTICES, id_co
     index = index.distinct()
 
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("w", words_of(F.col("text")))
-    docs = _with_shingles(docs, hashed=True).select("id", "text", "s")
+    docs = _with_permutations(_with_shingles(docs, hashed=True).select("id", "text", "s"), bands)
     keys = F.array_distinct(F.flatten(F.array(*[_window_keys(size, max(1, size // 2), bands) for size in used])))
     docs = docs.select("id", "text", keys.alias("keys"))
     # explode_outer: for explode() Spark infers a filter on the array's size and works it out a second time
