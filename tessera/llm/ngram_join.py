@@ -1,7 +1,7 @@
 """N-gram Jaccard join by token-combination prefixes, down to connected components.
 
 A document's set holds its distinct n-word shingles as 64-bit hashes; equal sets are one
-node (a 128-bit digest). Two nodes link when 100 * intersection >= percent * union.
+node, named by a 64-bit hash (n distinct sets share a name with a chance of n * n / 2 ** 65). Two nodes link when 100 * intersection >= percent * union.
 
 Tokens (shingles) are ordered rare first, then the frequent ones by rising count. A set of n
 tokens needs an overlap of at least a = ceil(percent * n / 100), so two linked sets share
@@ -15,12 +15,14 @@ A token is frequent if it occurs in about ``FREQUENT`` of all documents: at most
 mean set size / FREQUENT * 2 tokens, whatever the corpus size. Which tokens count as
 frequent changes the work, never the result.
 
-Candidates are not expanded into all pairs of a key's group:
+Candidates are not expanded into all pairs of a large group of a key:
 
-1. each member meets only the group's pivot, the member with the fewest rarer tokens before the
-   key; verified links give components;
-2. pairs of a group whose components still differ are all verified (positional and size
-   filters only leave out what cannot link); pairs within a component need no test.
+1. in a group of up to ``SMALL`` members each meets those before it that pass the size and
+   positional filters; in a larger one each member meets the pivot, the member with the fewest
+   rarer tokens before the key. Parity bits of the sets rule out pairs that differ in too many
+   bits. Of what is left the likeliest pair of every node is verified, which gives components;
+2. all other pairs whose components still differ, in large groups too, are verified; pairs
+   within a component need no test. The filters only leave out what cannot link.
 
 Verification is exact on the whole sets, which are made again from the texts of
 candidate documents only; a bitmap of fixed size tells which documents may be candidates.
@@ -44,6 +46,7 @@ from tessera.session import scratch_path
 LONG = 400
 FREQUENT = 0.002
 BLOCK = 4_000_000  # shingles counted at a time in a task
+SMALL = 64  # members of a group that meet one another
 BITS = 1 << 26  # of the candidate bitmap: 8 MB at any corpus size
 _A = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,8 +91,9 @@ def shingle_sets(batch: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
-def digest(s: np.ndarray) -> bytes | None:
-    return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+def digest(s: np.ndarray) -> int | None:
+    """64-bit id of a set (signed), None for the empty set."""
+    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
 
 
 class FrequentTokens:
@@ -191,52 +195,73 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     frequent = frequent_tokens(docs, size)
 
     def index():
-        seen: set[bytes] = set()
+        seen: set[int] = set()
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
-            n, node, keys, at = [], [], [], []
+            n, node, keys, at, bits = [], [], [], [], []
             for s in shingle_sets(b.column("text"), size):
                 d = digest(s)
                 n.append(len(s)), node.append(d)
                 if d is None or d in seen:  # equal sets have equal keys: once a task is enough
-                    keys.append(None), at.append(None)
+                    keys.append(None), at.append(None), bits.append(None)
                 else:
                     seen.add(d)
                     k, p = index_keys(s, frequent, percent)
-                    keys.append(k.view(np.int64)), at.append(p)
+                    keys.append(k.view(np.int64)), at.append(p), bits.append(parity(s))
             return pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(at, pa.list_(pa.int32()))], ["id", "n", "node", "keys", "at"])
+                [b.column("id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(at, pa.list_(pa.int32())), pa.array(bits, pa.binary())], ["id", "n", "node", "keys", "at", "bits"])
         return one
 
     path = scratch_path(spark, f"ngram-{uuid.uuid4().hex[:12]}")
-    map_text(docs, index, f"id {kind}, n long, node binary, keys array<long>, at array<int>").write.parquet(f"{path}/index")
+    map_text(docs, index, f"id {kind}, n long, node long, keys array<long>, at array<int>, bits binary").write.parquet(f"{path}/index")
     stored = spark.read.parquet(f"{path}/index")
     nodes = stored.select("id", "n", "node")
 
-    # 1. every member of a key's group meets the pivot; groups of one go
-    rows = stored.select("node", "n", F.explode(F.arrays_zip("keys", "at")).alias("k")).select(
-        F.col("k.keys").alias("key"), "node", "n", F.col("k.at").alias("at"))
-    group = Window.partitionBy("key").orderBy("at", "n", "node")
-    first = F.first(F.struct("node", "n", "at")).over(group)
-    rows = rows.withColumns({"p": first, "next": F.lead("node").over(group)})
-    rows = rows.filter((F.col("node") != F.col("p.node")) | (F.col("node") != F.col("next")))  # the rest: groups of one, or repeats
-    rows.write.parquet(f"{path}/groups")
-    rows = spark.read.parquet(f"{path}/groups")
-
     def may_link(n1, at1, n2, at2):
-        fits = (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent)
+        fits = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
         return fits & (F.least(n1 - at1, n2 - at2) * (100 + percent) >= (n1 + n2) * percent)
 
-    col = F.col
-    pairs = (rows.filter((col("node") != col("p.node")) & may_link(col("n"), col("at"), col("p.n"), col("p.at")))
-             .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
-    pairs = cut(pairs)
-    links = cut(_verify(docs, nodes, pairs, size, percent))
+    # 1. in a small group every member meets those before it, in a large one the pivot
+    rows = stored.select("node", F.explode(F.arrays_zip("keys", "at")).alias("k"), "n").select(
+        F.col("k.keys").alias("key"), "node", F.struct(F.col("n").cast("int").alias("n"), F.col("k.at").alias("at")).alias("s"))
+    by_size = Window.partitionBy("key").orderBy("s.n", "node")
+    count = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    before = F.collect_list(F.struct("node", "s")).over(by_size.rowsBetween(-SMALL, -1))
+    rows = rows.withColumns({"size": count, "before": before}).filter("size > 1")
+    meets = F.filter("before", lambda o: (o["node"] != F.col("node")) & may_link(F.col("s.n"), F.col("s.at"), o["s"]["n"], o["s"]["at"]))
+    rows = rows.select("key", "node", "s.n", "s.at", (F.col("size") > SMALL).alias("large"),
+                       F.when(F.col("size") <= SMALL, F.transform(meets, lambda o: o["node"])).alias("meets"))
+    rows.filter("large or size(meets) > 0").write.parquet(f"{path}/groups")
+    rows = spark.read.parquet(f"{path}/groups")
+
+    def ordered(x, y):
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    # 2. what a group's components still leave apart
+    col = F.col
+    large = rows.filter("large").select("key", "node", "n", "at")
+    pivot = F.first(F.struct("node", "n", "at")).over(Window.partitionBy("key").orderBy("at", "n", "node"))
+    pairs = (rows.select("node", F.explode("meets").alias("o")).select(*ordered("node", "o"))
+             .unionByName(large.withColumn("p", pivot).filter((col("node") != col("p.node")) & may_link(
+                 col("n"), col("at"), col("p.n"), col("p.at"))).select(*ordered("node", "p.node"))).distinct())
+    marks = stored.filter(F.col("bits").isNotNull()).groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    pairs = cut(_may_overlap(pairs, marks, percent))
+    # first each node's likeliest pair; what that joins need not be tested again
+    sides = pairs.select(F.col("a").alias("x"), "far", F.col("b").alias("y")).unionByName(
+        pairs.select(F.col("b").alias("x"), "far", F.col("a").alias("y")))
+    likely = sides.groupBy("x").agg(F.min(F.struct("far", "y"))["y"].alias("y")).select(*ordered("x", "y")).distinct()
+    likely = cut(likely)
+    wanted = cut(_ends(likely))
+    _write_sets(docs, nodes, wanted, size, f"{path}/sets/1")
+    sets = spark.read.parquet(f"{path}/sets/1")
+    links = cut(_verify(sets, likely, percent))
+
+    # 2. the pairs that the components still leave apart, those of large groups with them
     comp = connected(links)
-    named = rows.select("key", "node", "n", "at").distinct().join(comp, "node", "left").select(
+    of_a, of_b = (comp.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "ab")
+    rest = (pairs.select("a", "b").join(of_a, "a", "left").join(of_b, "b", "left")
+            .filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
+    named = large.distinct().join(comp, "node", "left").select(
         "key", "node", "n", "at", F.coalesce("comp", "node").alias("comp"))
     named = cut(named)
     apart = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
@@ -247,13 +272,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     y = open_rows.select("key", "main", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "at", "comp")])
     more = (x.join(y, "key").filter((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
                                     & may_link(F.col("x_n"), F.col("x_at"), F.col("y_n"), F.col("y_at")))
-            .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
+            .select(*ordered("x_node", "y_node")).distinct())
+    more = rest.unionByName(_may_overlap(more, marks, percent).select("a", "b")).distinct().join(likely, ["a", "b"], "left_anti")
     more = cut(more)
     if more.isEmpty():
         final = comp
     else:
-        final = connected(links.unionByName(_verify(docs, nodes, more, size, percent)))
+        _write_sets(docs, nodes, cut(_ends(more).join(wanted, "node", "left_anti")), size, f"{path}/sets/2")
+        sets = sets.unionByName(spark.read.parquet(f"{path}/sets/2"))
+        final = connected(links.unionByName(_verify(sets, more, percent)))
 
     whole = nodes.join(final, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"))
     least = whole.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("id").alias("least"))
@@ -262,10 +289,44 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets link."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = cut(wanted)
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def parity(s: np.ndarray) -> bytes:
+    """For each of 256 to 131,072 bits, at least twice the set's size, whether an odd number of tokens falls on it."""
+    size = min(1 << 17, max(256, 1 << (2 * len(s) - 1).bit_length()))
+    odd = np.bincount((s % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def bits_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two parities differ; the longer one is folded to the shorter, which leaves it a parity."""
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _may_overlap(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(a, b, far) of the pairs that may link by their parity bits: every bit in which two sets differ takes
+    a token that only one of them has, so with ``far`` such bits they share (n1 + n2 - far) / 2 at most."""
+    def test(batches):
+        for b in batches:
+            far = np.array([bits_apart(np.frombuffer(x.as_buffer(), dtype=np.uint8), np.frombuffer(y.as_buffer(), dtype=np.uint8))
+                            for x, y in zip(b.column("bits_a"), b.column("bits_b"), strict=True)], dtype=np.int64)
+            total = b.column("n_a").to_numpy() + b.column("n_b").to_numpy()
+            keep = (total - far) * (100 + percent) >= 2 * percent * total
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(far)], ["a", "b", "far"]).filter(pa.array(keep))
+
+    x, y = (marks.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in "ab")
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return both.mapInArrow(test, "a long, b long, far long")
+
+
+def _write_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int, path: str) -> None:
+    """Writes (node, tokens) of the wanted nodes."""
     # a document of every wanted node; the ids of these set bits in a bitmap of fixed size
     owners = nodes.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id"))
     spot = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(BITS))
@@ -281,22 +342,25 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, perc
             b = b.filter(pa.array((bitmap[at >> 3] >> (at & 7) & 1).astype(bool)))
             sets = shingle_sets(b.column("text"), size)
             return pa.RecordBatch.from_arrays(
-                [pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "tokens"])
+                [pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["node", "tokens"])
         return one
 
-    sets = map_text(docs.select(spot.alias("spot"), "text"), task, "node binary, tokens binary").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    sets = cut(sets)
+    sets = map_text(docs.select(spot.alias("spot"), "text"), task, "node long, tokens binary")
+    sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]).write.parquet(path)
 
+
+def _verify(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets link."""
     def test(batches):
         for b in batches:
             keep = []
             for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                common = int(np.count_nonzero(t[at] == s))
+                s, t = np.frombuffer(x.as_buffer(), dtype="<u8"), np.frombuffer(y.as_buffer(), dtype="<u8")
+                common = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * common >= percent * (len(s) + len(t) - common))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y"))
-    return both.mapInArrow(test, "a binary, b binary")
+    x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
