@@ -14,7 +14,7 @@ from tessera.session import checkpoint_dir
 
 MASK64 = (1 << 64) - 1
 #: A Python stage cuts what Arrow hands it into pieces of about this many bytes of text.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

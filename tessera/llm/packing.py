@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import cut, map_text
 from tessera.llm.segments import Memo, distinct, lay_out, table
 
-MEMO = 800_000  # words that a worker keeps
+MEMO = 250_000  # words that a worker keeps
 MARKS = ".,!?;:*#%$&|"  # none starts a contraction
 # Latin letters whose lower case is one code point and that are their own composed form, then marks
 PLAIN = ("^(?P<word>[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)"

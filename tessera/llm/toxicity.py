@@ -30,7 +30,7 @@ from tessera.llm.common import cut, map_text, sample_by, texts
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
-MEMO = 400_000
+MEMO = 200_000  # tokens that a task keeps
 
 
 def word_features(token: str) -> tuple[str, ...]:
