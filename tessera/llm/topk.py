@@ -79,9 +79,9 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
             .filter(F.col("id").isNotNull() & F.col("v").isNotNull()))
     kind = rows.schema["id"].dataType.simpleString()
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    # classes of equal vectors with their k + 1 smallest ids: Spark keeps k + 1 a vector before the exchange
-    small = (rows.select("v", "id").withColumn("n", first).filter(F.col("n") <= k + 1).groupBy("v")
-             .agg(F.array_distinct(F.sort_array(F.collect_list("id"))).alias("ids"), F.min("id").alias("key")))
+    # classes of equal vectors with their k + 1 smallest distinct ids: Spark keeps k + 1 a vector before the exchange
+    small = (rows.select("v", "id").distinct().withColumn("n", first).filter(F.col("n") <= k + 1).groupBy("v")
+             .agg(F.sort_array(F.collect_list("id")).alias("ids"), F.min("id").alias("key")))
     classes = cut(small.select("key", "v", "ids"))
     asked = rows.filter("q").select("id", "v").distinct()
     queries = cut(asked.groupBy("v").agg(F.min("id").alias("key")).select("key", "v"))

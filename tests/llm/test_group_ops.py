@@ -48,6 +48,15 @@ def test_top_k_of_few_and_none(spark):
     assert topk.top_k(two.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_counts_repeated_rows_of_a_class_once(spark):
+    rows = [(i, [3, 1]) for i in range(1, 21) for _ in range(2)] + [(30, [2, 9])] * 15 + [(31, [2, 9]), (32, [2, 9])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id").isin(1, 30)).collect()}
+    want = {(1, r, i, s) for r, (i, s) in enumerate([(30, 15), (31, 15), (32, 15), *((i, 10) for i in range(2, 9))], 1)}
+    want |= {(30, r, i, s) for r, (i, s) in enumerate([(31, 85), (32, 85), *((i, 15) for i in range(1, 9))], 1)}
+    assert got == want
+
+
 # ---------------------------------------------------------------- op6
 def plain_verdict(url, rules):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
