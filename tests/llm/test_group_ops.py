@@ -161,6 +161,28 @@ def test_repeated_substrings_equal_brute_force():
         assert cover[i].tolist() == want
 
 
+def test_main_text_does_not_depend_on_shares(spark, monkeypatch):
+    rng = random.Random(12)
+    notices = [" ".join(f"n{k}x{i}" for i in range(rng.choice([7, 8, 9, 20]))) for k in range(12)]
+    rows = []
+    for i in range(40):  # each notice on a few of the pages, in the middle of a block or over two
+        own = [f"p{i}w{j}" for j in range(rng.randint(0, 25))]
+        cut = rng.randint(0, len(own))
+        some = " ".join(rng.sample(notices, 2) if i % 5 else [])
+        host = "big.com" if i < 34 else "small.com"
+        rows.append((i, f"http://{host}/{i}", f"<div>{' '.join(own[:cut])} {some}</div><p>{' '.join(own[cut:])}</p>"
+                     + ("<article>kept</article>" if i % 7 == 0 else "")))
+    rows += [(3, *rows[3][1:]), (None, "http://big.com/3", rows[4][2]), (50, "http://big.com/50", None), (51, None, notices[0])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    def texts_of(pages_in_a_share):
+        monkeypatch.setattr(html_text, "HOST_PAGES", pages_in_a_share)
+        return sorted(((r.page_id, r.url, r.text, r.n_chars) for r in html_text.extract_main_text(df).collect()), key=repr)
+
+    whole = texts_of(512)
+    assert len(whole) == len(rows) and texts_of(2) == whole and texts_of(1) == whole
+
+
 # ---------------------------------------------------------------- op10
 def test_packing_places_every_token_once(spark):
     from tokenizers import Tokenizer
