@@ -230,6 +230,22 @@ def test_sum_of_squares_follows_its_rule():
 
 
 # ---------------------------------------------------------------- pipeline
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+    rng = random.Random(3)
+    word = [f"w{i}" for i in range(100)]
+    near, far = list(word), list(word)
+    for i in (30, 60):  # 86 of 106 shingles of five words, 89 of 105 of four
+        near[i] = f"x{i}"
+    for i in (20, 50, 80):  # 81 of 111
+        far[i] = f"y{i}"
+    rows = [(1, " ".join(word)), (2, " ".join(near)), (3, " ".join(far)), (4, None)]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs(spark, rows), "").collect()) == [1, 3, 4]
+    many = near_copies(rng.randint(5, 9))
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs(spark, many), size=5, percent=80).collect()]
+    assert sorted(got, key=repr) == sorted(brute.jaccard_components(many, 5, 80), key=repr)
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     import corpus_pipeline
     rng = random.Random(8)
