@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut, map_text, mix64, text_chunks
@@ -189,8 +189,32 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links, its own included. Null and empty texts have an empty set and link with nothing, not even
     each other. Rows with a null id take part and have the smallest id of their component, null
     if it has none. Repeated rows come out as often as they came in."""
-    spark = df.sparkSession
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    whole = _components(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), size, percent)
+    least = whole.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("id").alias("least"))
+    return whole.join(least, "comp", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def text_mark(text: str = "text") -> Column:
+    """MD5 of a text; null for null."""
+    return F.unhex(F.md5(F.col(text)))
+
+
+def jaccard_representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
+    """(id, mark) of one row a component of ``jaccard_components``, the one with the smallest id (null last) and then the
+    smallest ``text_mark``, and of every distinct row with an empty set."""
+    whole = _components(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_mark(text_col).alias("mark")), size, percent)
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "mark")
+    return (whole.groupBy("comp", F.when(F.col("comp").isNull(), row).alias("alone")).agg(F.min(row).alias("r"))
+            .select(F.col("r.id").alias(id_col), "r.mark"))
+
+
+def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, n, comp) for every row of docs (id, text), with the mark if docs has one: comp is the smallest name of a set
+    reachable by links, null for an empty set."""
+    spark = docs.sparkSession
+    marked = [c for c in docs.columns if c == "mark"]
     kind = docs.schema["id"].dataType.simpleString()
     frequent = frequent_tokens(docs, size)
 
@@ -210,13 +234,14 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     keys.append(k.view(np.int64)), at.append(p), bits.append(parity(s))
             return pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(at, pa.list_(pa.int32())), pa.array(bits, pa.binary())], ["id", "n", "node", "keys", "at", "bits"])
+                 pa.array(at, pa.list_(pa.int32())), pa.array(bits, pa.binary()), *[b.column(c) for c in marked]],
+                ["id", "n", "node", "keys", "at", "bits", *marked])
         return one
 
     path = scratch_path(spark, f"ngram-{uuid.uuid4().hex[:12]}")
-    map_text(docs, index, f"id {kind}, n long, node long, keys array<long>, at array<int>, bits binary").write.parquet(f"{path}/index")
+    map_text(docs, index, f"id {kind}, n long, node long, keys array<long>, at array<int>, bits binary" + ", mark binary" * len(marked)).write.parquet(f"{path}/index")
     stored = spark.read.parquet(f"{path}/index")
-    nodes = stored.select("id", "n", "node")
+    nodes = stored.select("id", "n", "node", *marked)
 
     def may_link(n1, at1, n2, at2):
         fits = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
@@ -282,11 +307,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         sets = sets.unionByName(spark.read.parquet(f"{path}/sets/2"))
         final = connected(links.unionByName(_verify(sets, more, percent)))
 
-    whole = nodes.join(final, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"))
-    least = whole.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("id").alias("least"))
-    return whole.join(least, "comp", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    return nodes.join(final, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *marked)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

@@ -246,6 +246,16 @@ def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
     assert sorted(got, key=repr) == sorted(brute.jaccard_components(many, 5, 80), key=repr)
 
 
+def test_near_duplicate_stage_keeps_one_row_a_group(spark):
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(None, a), (None, b), (1, b), (2, c), (3, b), (3, c + " end"), (None, a + " end"), (4, "d d"), (4, "d  d"), (None, None), (None, ""), (5, None), (5, None)]
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs(spark, rows), "").collect()]
+    group = sorted("end" if t == a + " end" else "a" if t == a else "d" if t and t[0] == "d" else repr((d, t)) for d, t in out)
+    assert len(out) == 7 and (1, b) in out and (2, c) in out and sorted(out.count(x) for x in [(None, None), (None, ""), (5, None)]) == [1, 1, 1]
+    assert group.count("d") == 1 and group.count("a") + group.count("end") == 1
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     import corpus_pipeline
     rng = random.Random(8)
