@@ -8,17 +8,20 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import held_out, read
 from tessera.llm.fingerprints import edited_fingerprints
 from tessera.llm.html_text import extract_main_text
+from tessera.llm.infill import fill_in_middle, restored
 from tessera.llm.langid import LanguageFilter, fit_language_filter, identify_language
 from tessera.llm.licenses import NOTICES, scan_licenses
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack_pieces, tokenize_pieces
+from tessera.llm.periods import find_runs, run_list, with_repeats
 from tessera.llm.pieces import encode_pieces
+from tessera.llm.quality import QualityModel, fit_quality, score_quality
 from tessera.llm.topk import scaled, top_k
 from tessera.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
 from tessera.llm.urls import UrlRule, filter_urls
@@ -97,6 +100,38 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(pieces)
 
 
+def quality_held_out(doc_id: str = "doc_id") -> Column:
+    """True where crc32(doc_id as text) mod 5 is 0 (a null id is never held out)."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def quality_model(documents: DataFrame, labels: DataFrame) -> QualityModel:
+    good = labels.filter(~quality_held_out() & (F.col("quality") == 1)).select("doc_id")
+    return fit_quality(documents.filter(~quality_held_out()), good)
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))  # null without an id: the text stays
+    out = find_runs(docs.select("doc_id", with_repeats(F.col("text"), draw).alias("text")))
+    best = F.col("best")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+                      best["period"].alias("period"), F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+                      F.sha2(run_list(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = score_quality(docs, quality_model(docs, read(spark, sf_dir, "labels")))
+    return out.select("doc_id", quality_held_out().alias("held_out"), "score", "predicted")
+
+
 def with_package(query: Query) -> Query:
     """The query, with this package's folder on the path of Python workers that Spark starts where the
     driver runs (on a cluster the package is shipped with the job, e.g. by --py-files)."""
@@ -110,7 +145,8 @@ def with_package(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_license_scan, op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op8_html_extraction, op9_toxicity, op10_best_fit_packing)
+    every = (op1_license_scan, op2_language_id, op3_fingerprints, op4_sentencepiece, op5_exact_topk, op6_url_filters, op7_ngram_join, op8_html_extraction, op9_toxicity, op10_best_fit_packing,
+             op11_fill_in_middle, op12_periodic_runs, op13_quality)
     return {f.__name__: with_package(f) for f in every}
 
 
@@ -157,5 +193,21 @@ SELECT doc_id, license, CAST(found AS DOUBLE) / n AS containment, found, n AS "o
 """
 
 
+OP11_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d,
+                  regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+h AS (SELECT *, len(w) AS n, CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2,
+             CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4 FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS z,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(w[1:a], '') AS pre, array_to_string(w[a + 1:z], '') AS mid, array_to_string(w[z + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": OP1_SQL, "op5_exact_topk": OP5_SQL, "op6_url_filters": OP6_SQL}
+    return {"op1_license_scan": OP1_SQL, "op5_exact_topk": OP5_SQL, "op6_url_filters": OP6_SQL, "op11_fill_in_middle": OP11_SQL}

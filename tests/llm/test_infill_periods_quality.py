@@ -1,0 +1,303 @@
+"""op11, op12, op13 against plain versions: nulls, empty and long texts, ties, repeats, empty tables, clashing columns."""
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from tessera.llm import infill, periods, quality
+from tessera.llm.queries import quality_held_out
+
+DOC = "doc_id long, text string, id string, n long, runs string, draw string, score string, y int"
+
+
+def docs(spark, rows):
+    """(doc_id, text) with extra columns whose names clash with inner ones."""
+    return spark.createDataFrame([(d, t, "x", 1, "r", "d", "s", 1) for d, t in rows], DOC)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# ---------------------------------------------------------------- op11
+def plain_infill(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    d = sha(f"1:{'' if doc_id is None else doc_id}")
+    h1, h2, h3, h4 = (int(d[i:i + 8], 16) for i in range(0, 32, 8))
+    n = len(units)
+    if text == "" or "<P>" in text or "<S>" in text or "<M>" in text or h3 % 100 >= 90:
+        return (doc_id, n, "plain", None, None, text)
+    a, z = min(h1 % (n + 1), h2 % (n + 1)), max(h1 % (n + 1), h2 % (n + 1))
+    pre, mid, suf = "".join(units[:a]), "".join(units[a:z]), "".join(units[z:])
+    if h4 % 100 < 20:
+        return (doc_id, n, "spm", len(pre), len(mid), f"<S>{suf}<P>{pre}<M>{mid}")
+    return (doc_id, n, "psm", len(pre), len(mid), f"<P>{pre}<S>{suf}<M>{mid}")
+
+
+def infill_rows():
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice(["ab", "Z", "<", "<S", "<P", "M>", " ", "\n", "é", "😀", "7", "\u0000", "ſ"]) for _ in range(rng.randint(0, 40))))
+            for i in range(300)]
+    return rows + [(None, "no id here"), (None, None), (5, None), (6, ""), (7, "x"), (8, "has <P> in it"), (9, "has <M>"), (9, "has <M>"), ((1 << 60) + 1, "a b c d"),
+                   (10, "word " * 4000)]
+
+
+@pytest.mark.parametrize("stretch", [1 << 20, 7, 1])
+def test_infill_equals_plain_version_and_turns_back(spark, monkeypatch, stretch):
+    monkeypatch.setattr(infill, "STRETCH", stretch)
+    rows = infill_rows()
+    out = infill.fill_in_middle(docs(spark, rows)).withColumn("back", infill.restored()).collect()
+    assert sorted(((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in out), key=repr) == sorted(
+        (plain_infill(*r) for r in rows), key=repr)
+    texts = {}
+    for d, t in rows:
+        texts.setdefault(d, set()).add(t or "")
+    assert all(r.back in texts[r.doc_id] for r in out)
+    assert {r.form for r in out} == {"plain", "psm", "spm"}
+
+
+def test_unit_ends_over_stretches(monkeypatch):
+    units = regex.compile(r"(?:([A-Za-z]+|[^A-Za-z]))*+")
+    text = "a" * 50 + " " * 9 + "bc,de" + "f" * 33
+    whole = infill.unit_ends(units, text).tolist()
+    assert whole == [m.end() for m in re.finditer(r"[A-Za-z]+|[^A-Za-z]", text)]
+    for stretch in range(1, 20):
+        monkeypatch.setattr(infill, "STRETCH", stretch)
+        assert infill.unit_ends(units, text).tolist() == whole
+    with pytest.raises(ValueError, match="units"):
+        infill.unit_ends(regex.compile(r"(?:([a-z]))*+"), "abC")
+
+
+def test_infill_other_rules_and_empty_table(spark):
+    rules = infill.Infill(unit=r"\S+|\s", prefix="[pre]", suffix="[suf]", middle="[mid]", seed="2", plain_percent=0, spm_percent=100)
+    rows = [(i, f"one two  three {i}") for i in range(20)]
+    out = infill.fill_in_middle(docs(spark, rows), rules=rules).withColumn("back", infill.restored(rules=rules)).collect()
+    assert {r.form for r in out} == {"spm"} and sorted((r.doc_id, r.back) for r in out) == rows
+    assert all(r.output.startswith("[suf]") and r.n == 8 for r in out)
+    assert infill.fill_in_middle(docs(spark, [])).count() == 0
+
+
+# ---------------------------------------------------------------- op12
+def plain_runs(words, least=24, repeats=3):
+    n, out = len(words), []
+    for q in range(1, n // repeats + 1):
+        i = 0
+        while i + q < n:
+            if words[i] == words[i + q]:
+                j = i
+                while j + q < n and words[j] == words[j + q]:
+                    j += 1
+                size = j - i + q
+                smaller = any(all(words[x] == words[x + d] for x in range(i, i + size - d)) for d in range(1, q))
+                if size >= max(least, repeats * q) and not smaller:
+                    out.append((i, size, q))
+                i = j
+            i += 1
+    return sorted(out)
+
+
+def longest_lyndon(t, i):
+    j = i + 1
+    while j < len(t) and t[j:] > t[i:]:
+        j += 1
+    return j - i
+
+
+def test_lyndon_lengths_equal_next_smaller_suffixes_under_both_orders():
+    rng = random.Random(8)
+    for _ in range(400):
+        k = rng.randint(1, 4)
+        texts = [[rng.randint(1, k) for _ in range(rng.randint(1, 16))] for _ in range(rng.randint(1, 3))]
+        for flip in (False, True):
+            some = [[k + 1 - x for x in t] if flip else t for t in texts]
+            joined = [x for t in some for x in [0, *t]]
+            got, at = periods.lyndon_lengths(joined), 0
+            for t in some:
+                assert got[at + 1:at + 1 + len(t)] == [longest_lyndon(t, i) for i in range(len(t))]
+                at += len(t) + 1
+
+
+@pytest.mark.parametrize("least,repeats", [(24, 3), (6, 3), (3, 3), (10, 4), (2, 2), (4, 2)])
+def test_runs_equal_brute_force(least, repeats):
+    rng = random.Random(least * 10 + repeats)
+    for _ in range(150):
+        texts = []
+        for _ in range(rng.randint(1, 4)):
+            k = rng.choice([1, 2, 3, 8])
+            w = [rng.randint(1, k) for _ in range(rng.randint(0, 80))]
+            if w and rng.random() < 0.7:
+                a = rng.randrange(len(w))
+                p = 1 + (len(w) - a) // rng.randint(2, 9)
+                w = [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+            texts.append(w)
+        first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        owner, runs = periods.text_runs(np.array([x for t in texts for x in t], dtype=np.int64), first, least, repeats)
+        assert [(int(o), *map(int, r)) for o, r in zip(owner, runs, strict=True)] == [
+            (i, *r) for i, t in enumerate(texts) for r in plain_runs(t, least, repeats)]
+
+
+def test_thue_morse_words_have_no_cube():
+    t = np.array([bin(i).count("1") % 2 for i in range(4096)], dtype=np.int64)  # defeats polynomial hashes; no hash decides here
+    owner, runs = periods.text_runs(t, np.array([0, len(t)]), 24, 3)
+    assert not len(owner) and not len(runs)
+
+
+BREAK = re.compile("[ \t-\r]+")
+
+
+def plain_row(doc_id, text):
+    w = [x for x in BREAK.split(text or "") if x]
+    n, h = len(w), zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(w)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else None
+    kept = [x for i, x in enumerate(w) if not any(s + q <= i < s + size for s, size, q in runs)]
+    return (doc_id, runs, best, " ".join(kept))
+
+
+def test_find_runs_equals_plain_version_in_spark(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        w = [rng.choice("abcdefgh") + rng.choice(["", "x", "Ä"]) for _ in range(rng.randint(0, 120))]
+        if i % 3 == 0:
+            line = [rng.choice("pqr") for _ in range(rng.randint(1, 12))]
+            w[len(w) // 2:len(w) // 2] = line * rng.randint(1, 9)
+        rows.append((i, rng.choice([" ", "\n", " \t", "\u000b\f", "  "]).join(w)))
+    rows += [(None, "a " * 60), (None, None), (1000, None), (1001, ""), (1002, " \n "), (rows[0][0], rows[0][1]), ((1 << 60) + 1, "la " * 30), (1003, "go on " * 3000)]
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    edited = docs(spark, rows).withColumn("text", periods.with_repeats(F.col("text"), draw))
+    out = periods.find_runs(edited).withColumn("list", periods.run_list()).collect()
+    want = sorted((plain_row(*r) for r in rows), key=repr)
+    got = sorted(((r.doc_id, [tuple(x) for x in r.runs], tuple(r.best) if r.best else None, r.collapsed) for r in out), key=repr)
+    assert [(a, b, c) for a, b, c, _ in got] == [(a, b, c) for a, b, c, _ in want]
+    assert [re.sub(BREAK, " ", d) for *_, d in got] == [d for *_, d in want]
+    assert sum(bool(r) for _, r, _, _ in want) > 60
+    assert all(r.list == "".join(f"{a},{b},{c}\n" for a, b, c in r.runs) for r in out)
+    assert periods.find_runs(docs(spark, [])).count() == 0
+
+
+def test_exact_ties_of_the_strongest_run():
+    assert periods.strongest([[9, 30, 10], [3, 24, 8], [3, 27, 9]]) == [3, 24, 8]
+    assert periods.strongest([]) is None
+
+
+# ---------------------------------------------------------------- op13
+def test_features_equal_plain_counts():
+    texts = ["The cat sat. THE CAT!! 12 a | b", "", None, "x", "Ämter Über ß. ß. ß.\n der der der!", "aa aa aa bb aa aa aa bb"]
+    x = quality.text_features(pa.array(texts))
+    for row, t in zip(x, texts, strict=True):
+        w = (t or "").split()
+        n, chars = max(1, len(w)), max(1, sum(map(len, w)))
+        pairs, triples = list(zip(w, w[1:])), list(zip(w, w[1:], w[2:]))
+        kind = {f: row[i] for i, f in enumerate(quality.FEATURES)}
+        letters = sum(c.isalpha() for v in w for c in v)
+        assert kind["words"] == pytest.approx(np.log1p(len(w)))
+        assert kind["upper letters"] == pytest.approx(sum(c.isupper() for v in w for c in v) / max(1, letters))
+        assert kind["digits"] == pytest.approx(sum(c.isdigit() for v in w for c in v) / chars)
+        assert kind["words without letters or digits"] == pytest.approx(sum(not any(c.isalnum() for c in v) for v in w) / n)
+        assert kind["distinct words"] == pytest.approx(len(set(w)) / n if w else 1)
+        assert kind["distinct pairs"] == pytest.approx(len(set(pairs)) / len(pairs) if pairs else 1)
+        assert kind["distinct triples"] == pytest.approx(len(set(triples)) / len(triples) if triples else 1)
+        assert kind["equal neighbours"] == pytest.approx(sum(a == b for a, b in pairs) / n)
+        assert kind["most frequent word"] == pytest.approx(max((w.count(v) for v in w), default=0) / n)
+        assert kind["words ending a sentence"] == pytest.approx(sum(v[-1] in ".!?" and not (len(v) > 1 and v[-2] in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for v in w) / n)
+
+
+@pytest.mark.parametrize("prior,flip", [(0.8, False), (0.98, True)])
+def test_risk_gradient_equals_differences(prior, flip):
+    rng = np.random.default_rng(3)
+    P, U = rng.integers(0, 12, (30, 3)), rng.integers(0, 12, (50, 3))
+    w, b = rng.normal(size=12), 0.3
+    if flip:  # the part of the bad texts below zero
+        b = 30.0
+        P[:], U[:] = 1, 0
+        w[0], w[1] = -8.0, 9.0
+    good, bad = quality.nn_risk(w, b, P, U, prior)
+    assert (bad < 0) == flip
+
+    def target(w, b):
+        g, h = quality.nn_risk(w, b, P, U, prior)
+        return -h if flip else g + h
+
+    # the risk itself, text by text
+    z = [b + sum(w[i] for i in row) for row in U]
+    zp = [b + sum(w[i] for i in row) for row in P]
+    assert good == pytest.approx(prior * np.mean([np.log1p(np.exp(-v)) for v in zp]))
+    assert bad == pytest.approx(np.mean([np.logaddexp(0, v) for v in z]) - prior * np.mean([np.logaddexp(0, v) for v in zp]))
+    gw, gb = quality.nn_gradient(w, b, P, U, prior)
+    for i in range(len(w)):
+        d = np.zeros(12)
+        d[i] = 1e-5
+        assert gw[i] == pytest.approx((target(w + d, b) - target(w - d, b)) / 2e-5, abs=1e-6)
+    assert gb == pytest.approx((target(w, b + 1e-5) - target(w, b - 1e-5)) / 2e-5, abs=1e-6)
+
+
+def test_prior_of_a_known_mixture():
+    rng = np.random.default_rng(1)
+    for true in (0.3, 0.6, 0.9):
+        p = rng.normal(2, 1, 4000)
+        u = np.where(rng.random(8000) < true, rng.normal(2, 1, 8000), rng.normal(-4, 1, 8000))
+        assert quality.estimate_prior(p, u) == pytest.approx(true, abs=0.05)
+
+
+def corpus(n, seed):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    rows = []
+    for i in range(n):
+        w = [rng.choice(vocabulary) for _ in range(rng.randint(20, 200))]
+        text = " ".join(w).capitalize() + "."
+        good = rng.random() < 0.8
+        if not good:
+            text = rng.choice([text.upper().replace(" ", "!! "), " | ".join(w), " ".join([w[0]] * len(w)), "%%% ".join(w)])
+        rows.append((i, text, int(good)))
+    return rows
+
+
+@pytest.mark.parametrize("n", [5, 60, 600])
+def test_quality_on_label_tables_of_any_size(spark, n):
+    rows = corpus(n, n)
+    table = docs(spark, [(d, t) for d, t, _ in rows] + [(None, None), (10 ** 6, ""), (10 ** 6 + 1, "x"), (0, rows[0][1])])
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, quality int")
+    learn = ~quality_held_out()
+    model = quality.fit_quality(table.filter(learn), labels.filter(learn & (F.col("quality") == 1)).select("doc_id"))
+    got = quality.score_quality(table, model).collect()
+    assert len(got) == n + 4 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    score = {r.doc_id: r.predicted for r in got}
+    kept = np.mean([score[d] for d, _, y in rows if y])
+    assert kept >= (0.95 if n == 600 else 0.8)
+    if n == 600:
+        held = {d for d, _, _ in rows if zlib.crc32(str(d).encode()) % 5 == 0}
+        value = {r.doc_id: r.score for r in got}
+        good, bad = ([value[d] for d, _, y in rows if d in held and y == k] for k in (1, 0))
+        assert np.mean([g > b for g in good for b in bad]) >= 0.97  # the area under the curve, held out
+        assert abs(model.prior - 0.8) < 0.1
+
+
+def test_quality_without_labels_and_on_an_empty_table(spark):
+    none = spark.createDataFrame([], "doc_id long")
+    model = quality.fit_quality(docs(spark, [(1, "a b c")]), none)
+    assert [(r.doc_id, r.score, r.predicted) for r in quality.score_quality(docs(spark, [(1, "a b c"), (2, None)]), model).collect()] == [(1, 0.5, 1), (2, 0.5, 1)]
+    assert quality.score_quality(docs(spark, []), model).count() == 0
+
+
+def test_quality_sample_is_bounded_when_one_id_holds_a_third(spark):
+    rows = corpus(300, 9)
+    table = docs(spark, [(d, t) for d, t, _ in rows] + [(3, rows[3][1])] * 150)
+    good = spark.createDataFrame([(d,) for d, _, y in rows if y], "doc_id long")
+    model = quality.fit_quality(table, good, positives=40, unlabelled=60)
+    assert quality.score_quality(table, model).count() == 450
