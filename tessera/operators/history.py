@@ -19,7 +19,7 @@ from tessera.operators.conform import join_null_safe
 
 
 def scd2(df: DataFrame, key: str, ts: str, tie: str, attr: str, slice_by: str = "month") -> DataFrame:
-    """(key, version, attr, valid_from, valid_to, is_current, events).
+    """(key, version, attr, valid_from, valid_to, is_current, events, opened_by: ``tie`` of the first event).
 
     Events are ordered by time (NULL first), then ``tie``, then ``attr``. NULL keys are
     one key. ``slice_by`` is the calendar unit of a slice (finer for denser histories)."""
@@ -39,12 +39,14 @@ def scd2(df: DataFrame, key: str, ts: str, tie: str, attr: str, slice_by: str =
     changes = flagged.groupBy(key, "_slice").agg(F.sum("_change").alias("_n"))
     before = F.coalesce(F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     changes = changes.select(key, "_slice", before.alias("_before"))
-    upto = F.sum("_change").over(local.rowsBetween(Window.unboundedPreceding, 0))
+    in_place = Window.partitionBy(key, "_slice").orderBy(ts, tie, attr, "_rn")  # equal events keep the places they had
+    upto = F.sum("_change").over(in_place.rowsBetween(Window.unboundedPreceding, 0))
     numbered = join_null_safe(flagged.withColumn("_upto", upto), changes, [key, "_slice"])
     versions = (numbered.withColumn("version", F.col("_before") + F.col("_upto")).groupBy(key, "version")
-                .agg(F.min_by(attr, order).alias(attr), F.min(ts).alias("valid_from"), F.count(F.lit(1)).alias("events")))
+                .agg(F.min_by(attr, order).alias(attr), F.min(order)[ts].alias("valid_from"), F.count(F.lit(1)).alias("events"),
+                     F.min(order)[tie].alias("opened_by")))
     after = versions.select(key, (F.col("version") - 1).alias("version"), F.col("valid_from").alias("valid_to"),
                             F.lit(True).alias("_ended"))
     return (join_null_safe(versions, after, [key, "version"], "left")
             .select(key, F.col("version").cast("int").alias("version"), attr, "valid_from", "valid_to",
-                    F.col("_ended").isNull().alias("is_current"), "events"))
+                    F.col("_ended").isNull().alias("is_current"), "events", "opened_by"))

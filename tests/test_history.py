@@ -33,3 +33,12 @@ def test_scd2_matches_brute_force_with_a_hot_key(spark, reuse):
             want[(k, v)] = (z, t, nxt, nxt is None, n)
     assert got == want
     spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_equal_events_stay_in_one_version(spark):
+    t = dt.datetime(2001, 1, 1)
+    rows = [("k", t, "a", None)] + [("k", t + dt.timedelta(1), "b", "A")] * 5 + [("k", None, "c", "Z")]
+    for n in (1, 3):
+        got = scd2(spark.createDataFrame(rows, "k string, t timestamp, o string, z string").repartition(n), "k", "t", "o", "z").orderBy("version")
+        assert [(r.z, r.valid_from, r.events, r.opened_by) for r in got.collect()] == [
+            ("Z", None, 1, "c"), (None, t, 1, "a"), ("A", t + dt.timedelta(1), 5, "b")]
