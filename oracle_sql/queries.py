@@ -36,10 +36,16 @@ CORE = {
 }
 
 
+#: Incremental forms end where the full builds do.
+INCREMENTAL = {"x5_fact_order": "g_fact_order", "x5_dim_customer": "g_dim_customer", "x6_upsert_orders": "s_orders",
+               "x7_history_merge": "g_dim_customer_history"}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(CORE)
     out.update({q: with_ctes(f"SELECT * FROM {cte}") for q, cte in SILVER.items()})
     out.update({t: with_ctes(f"SELECT * FROM g_{t}") for t in GOLD})
+    out.update({q: with_ctes(f"SELECT * FROM {cte}") for q, cte in INCREMENTAL.items()})
     out.update(analytics_sql())
     out.update(bronze_sql())
     out.update(constraint_sql())

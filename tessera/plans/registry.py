@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessera.operators.quality import reconcile_layers, reconcile_rows
 from tessera.plans import analytics as A
 from tessera.plans import core as C
+from tessera.plans import incremental as I
 from tessera.plans import profiling as P
 from tessera.plans.tables import GOLD_INPUTS, SILVER_INPUTS, RetailTables
 
@@ -84,4 +85,5 @@ def queries() -> dict[str, Query]:
         t = RetailTables(spark, sf)
         return reconcile_rows(t.all_silver(), t.all_gold())
     out["reconcile_rows"] = _named("reconcile_rows", recon_rows)
+    out |= I.QUERIES
     return out
