@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.percentile import exact_percentile
+from tessera.operators.percentile import DIGITS, exact_percentile, ordered_bits
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +58,26 @@ def test_extreme_values(spark):
         df = spark.createDataFrame([(x,) for x in vals], "v double")
         for p in (0.0, 0.4, 1.0):
             assert repr(exact_percentile(df, "v", p).first()[0]) == repr(df.agg(F.percentile("v", p)).first()[0]), (vals, p)
+
+
+def test_ordered_bits_order_as_the_values_do(spark):
+    vals = sorted([0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1e300, -1e300, 1.5, 1.25, -1.25, float("inf"), float("-inf"), 3.0])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*vals, float("nan")])], "i int, v double")
+    rows = sorted((r.u % (1 << 64), r.i) for r in df.select("i", ordered_bits(F.col("v")).alias("u")).collect())
+    assert [i for _, i in rows] == list(range(len(vals) + 1))
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_a_far_outlier_changes_nothing(spark, reuse):
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        near = spark.range(200_000, numPartitions=5).select((F.col("id") * 7919 % 200_000 / 1000.0).alias("v"))
+        df = near.unionByName(spark.createDataFrame([(1e300,), (-1e300,)], "v double"))
+        # what the second round orders is a small part of the values, though nearly all lie in 200 of 2e300
+        top = near.select(F.shiftrightunsigned(ordered_bits(F.col("v")), 64 - DIGITS[0]).alias("d")).groupBy("d").count().agg(F.max("count")).first()[0]
+        assert top < 200_000 / 100
+        for p in (0.0, 0.5, 0.99, 1.0):
+            assert exact_percentile(df, "v", p).first()[0] == df.agg(F.percentile("v", p)).first()[0]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
