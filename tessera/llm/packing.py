@@ -6,7 +6,7 @@ go to the smaller gap. Pieces are taken longest first, so the many short ones fi
 
 Distribution: tokenising is one narrow pass that yields a small row per piece (no
 tokens are shuffled); it is written once to the checkpoint folder. The pieces are
-then dealt by a hash of (doc_id, piece, start) to shards of about ``shard_rows`` and
+then dealt by a hash of all they hold and of their place to shards of about ``shard_rows`` and
 each shard is packed by itself, in bounded memory. A shard leaves a few open bins, so
 its cost against one global packing is a few sequences in ``shard_rows`` pieces.
 """
@@ -16,7 +16,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -168,19 +167,21 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
 
 def pack_pieces(pieces: DataFrame, id_col: str = "doc_id", size: int = 2048, shard_rows: int = 40_000) -> DataFrame:
     """The pieces with sequence_id long and offset long. Sequences hold at most ``size`` tokens,
-    without gaps from offset 0. Every row is placed, repeated rows too; an empty table stays empty."""
+    without gaps from offset 0. Every row is placed, repeated rows too, whatever their ids (null among them); an empty table
+    stays empty. Rows are dealt to shards of about ``shard_rows`` by all they hold and their place in the materialised table, so that
+    copies of one row do not fill one shard; each shard is packed by itself."""
     pieces = cut(pieces)
     shards = max(1, -(-pieces.count() // shard_rows))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(shards)))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)))
     kind = pieces.schema[id_col].dataType.simpleString()
+    names = [id_col, "piece", "start", "length", "ids_crc32"]
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", id_col, "piece", "start", "ids_crc32"], ascending=[False, True, True, True, True],
-                              kind="stable", ignore_index=True)
-        bins, offsets, _ = sum_of_squares(pdf["length"].to_numpy(), size)
-        pdf["sequence_id"] = int(pdf["shard"].iloc[0]) * SHARD_STEP + bins
-        pdf["offset"] = offsets
-        return pdf[[id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+    def place(rows: pa.Table) -> pa.Table:
+        order = [("length", "descending"), *((c, "ascending") for c in (id_col, "piece", "start", "ids_crc32"))]
+        rows = rows.combine_chunks().sort_by(order)
+        bins, offsets, _ = sum_of_squares(rows.column("length").to_numpy(), size)
+        first = rows.column("shard")[0].as_py() * SHARD_STEP
+        return rows.select(names).append_column("sequence_id", pa.array(first + bins, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
     schema = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return dealt.groupBy("shard").applyInPandas(place, schema)
+    return dealt.select(*names, "shard").groupBy("shard").applyInArrow(place, schema)
