@@ -7,7 +7,7 @@ only; no text is taken as confirmed clean. With the class prior pi the risk is
     pi * E_P[l(f, +)] + max(0, E_U[l(f, -)] - pi * E_P[l(f, -)])
 
 whose second part estimates the risk on clean texts; when it falls below zero
-(over-fitting) a step is taken that raises it again.
+(over-fitting) a step is taken that raises it again. The bias is held to pi: a text without features scores pi at most.
 
 Bounds: about ``positives`` toxic and ``unlabelled`` unlabelled rows are used for the
 fit, chosen by a hash of doc_id, and ``features`` features are kept; so the fit has a
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, map_text, sample_by, texts
+from tessera.llm.common import CHUNK_BYTES, cut, map_text, sample_by, texts
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
@@ -192,12 +192,14 @@ def fit_toxicity(docs: DataFrame, toxic: DataFrame, prior: float, id_col: str =
 
     data = sample.mapInArrow(index, "y int, at array<int>").collect()  # positives + unlabelled rows, `features` indices at most
     data = sorted((r.y, list(r["at"])) for r in data)
-    model.weights, model.bias = nnpu_fit([a for y, a in data if y], [a for y, a in data if not y], len(names), prior)
+    model.weights, bias = nnpu_fit([a for y, a in data if y], [a for y, a in data if not y], len(names), prior)
+    # however few the labels, a text without features is no likelier toxic than texts are
+    model.bias = min(bias, float(np.log(prior / (1 - prior))))
     return model
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, id_cols: list[str], text_col: str = "text",
-                   threshold: float = 0.3) -> DataFrame:
+                   threshold: float = 0.3, slice_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``id_cols`` plus score double (0 to 1, higher: likelier toxic) and predicted int (1 if
     score >= threshold) for every row. A null text counts as empty and gets the score of a
     text without features. Repeated rows are judged one by one; other columns are ignored."""
@@ -213,6 +215,6 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_cols: list[str], text
             return pa.RecordBatch.from_arrays([b.column(x) for x in names] + [pa.array(s, pa.float64())], [*names, "score"])
         return one
 
-    out = map_text(rows, task, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", score double")
+    out = map_text(rows, task, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", score double", size=slice_bytes)
     return out.select(*[F.col(n).alias(c) for c, n in zip(id_cols, names, strict=True)], "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
