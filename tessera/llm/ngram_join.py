@@ -45,7 +45,9 @@ from tessera.session import scratch_path
 
 LONG = 400
 FREQUENT = 0.002
-BLOCK = 4_000_000  # shingles counted at a time in a task
+BLOCK = 500_000  # shingles counted at a time in a task
+SLICE = 1 << 20  # bytes of text that a task turns into sets at a time
+SEEN = 1_000_000  # set names a task keeps
 SMALL = 64  # members of a group that meet one another
 BITS = 1 << 26  # of the candidate bitmap: 8 MB at any corpus size
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -140,23 +142,32 @@ def frequent_tokens(docs: DataFrame, size: int) -> FrequentTokens:
     """Tokens in about FREQUENT of all documents. A task gives those frequent among its own documents;
     what is frequent over all is frequent in some task."""
     def run(batches):
-        held, n_docs, n = [], 0, 0
+        buffer, n, n_docs = np.empty(BLOCK, dtype=np.uint64), 0, 0
 
         def flush():
-            u, c = np.unique(np.concatenate(held), return_counts=True)
+            held = buffer[:n]
+            held.sort()
+            starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if n else np.zeros(0, np.int64)
+            c = np.diff(np.append(starts, n))
             often = c >= max(3, FREQUENT * n_docs)
-            yield pa.RecordBatch.from_arrays([pa.array(u[often].view(np.int64)), pa.array(c[often].astype(np.int64))], ["token", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(held[starts[often]].view(np.int64)), pa.array(c[often].astype(np.int64))], ["token", "n"])
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n_docs], pa.int64())], ["token", "n"])
 
-        for b in text_chunks(batches):
-            sets = shingle_sets(b.column("text"), size)
-            held += sets
-            n_docs += len(sets)
-            n += sum(map(len, sets))
-            if n >= BLOCK:
-                yield from flush()
-                held, n_docs, n = [], 0, 0
-        if held:
+        for b in text_chunks(batches, size=SLICE):
+            for s in shingle_sets(b.column("text"), size):
+                if n and n + len(s) > BLOCK:
+                    yield from flush()
+                    n, n_docs = 0, 0
+                n_docs += 1
+                if len(s) > BLOCK:  # one very long text; its tokens are distinct, each counts once
+                    buffer = s.copy()
+                    n = len(s)
+                    yield from flush()
+                    buffer, n, n_docs = np.empty(BLOCK, dtype=np.uint64), 0, 0
+                    continue
+                buffer[n:n + len(s)] = s
+                n += len(s)
+        if n_docs:
             yield from flush()
 
     sums = cut(docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
@@ -229,6 +240,8 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 if d is None or d in seen:  # equal sets have equal keys: once a task is enough
                     keys.append(None), at.append(None), bits.append(None)
                 else:
+                    if len(seen) >= SEEN:
+                        seen.clear()
                     seen.add(d)
                     k, p = index_keys(s, frequent, percent)
                     keys.append(k.view(np.int64)), at.append(p), bits.append(parity(s))
@@ -239,7 +252,7 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         return one
 
     path = scratch_path(spark, f"ngram-{uuid.uuid4().hex[:12]}")
-    map_text(docs, index, f"id {kind}, n long, node long, keys array<long>, at array<int>, bits binary" + ", mark binary" * len(marked)).write.parquet(f"{path}/index")
+    map_text(docs, index, f"id {kind}, n long, node long, keys array<long>, at array<int>, bits binary" + ", mark binary" * len(marked), size=SLICE).write.parquet(f"{path}/index")
     stored = spark.read.parquet(f"{path}/index")
     nodes = stored.select("id", "n", "node", *marked)
 
@@ -292,11 +305,12 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     apart = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
         F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "main")
     open_rows = named.join(apart, "key")
+    open_rows = open_rows.join(_short_marks(marks, open_rows.select("node").distinct()), "node")
     # of two nodes in different components of a group at least one is outside the largest
-    x = open_rows.filter("comp <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "at", "comp")])
-    y = open_rows.select("key", "main", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "at", "comp")])
+    x = open_rows.filter("comp <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in OPEN])
+    y = open_rows.select("key", "main", *[F.col(c).alias(f"y_{c}") for c in OPEN])
     more = (x.join(y, "key").filter((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
-                                    & may_link(F.col("x_n"), F.col("x_at"), F.col("y_n"), F.col("y_at")))
+                                    & may_link(F.col("x_n"), F.col("x_at"), F.col("y_n"), F.col("y_at")) & _short_may_overlap(percent))
             .select(*ordered("x_node", "y_node")).distinct())
     more = rest.unionByName(_may_overlap(more, marks, percent).select("a", "b")).distinct().join(likely, ["a", "b"], "left_anti")
     more = cut(more)
@@ -310,6 +324,36 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return nodes.join(final, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *marked)
 
 
+OPEN = ("node", "n", "at", "comp", "short", "shortest")  # what a node brings to its large groups
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """A parity folded to ``size`` bytes, which leaves it a parity."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
+
+
+def _short_marks(marks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, short, shortest): the parity bits of the wanted nodes as 16 (null for small sets) and 4 LONGs."""
+    def run(batches):
+        for b in batches:
+            bits = [np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in b.column("bits")]
+            short, shortest = ([folded(x, size).view("<i8") if len(x) >= size else None for x in bits] for size in (128, 32))
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(short, kind), pa.array(shortest, kind)], ["node", "short", "shortest"])
+
+    return marks.join(wanted, "node", "left_semi").select("node", "bits").mapInArrow(run, "node long, short array<long>, shortest array<long>")
+
+
+def _short_may_overlap(percent: int) -> Column:
+    """As ``_may_overlap``, by the short parities, so that most pairs of a large group that cannot link are never made."""
+    def far(c: str) -> Column:
+        apart = F.zip_with(f"x_{c}", f"y_{c}", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        return F.aggregate(apart, F.lit(0), lambda s, k: s + k)
+
+    total = F.col("x_n") + F.col("y_n")
+    return (total - F.coalesce(far("short"), far("shortest"))) * (100 + percent) >= total * (2 * percent)
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
@@ -367,7 +411,7 @@ def _write_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int,
                 ["node", "tokens"])
         return one
 
-    sets = map_text(docs.select(spot.alias("spot"), "text"), task, "node long, tokens binary")
+    sets = map_text(docs.select(spot.alias("spot"), "text"), task, "node long, tokens binary", size=SLICE)
     sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]).write.parquet(path)
 
 
