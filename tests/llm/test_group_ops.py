@@ -269,3 +269,75 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     assert set(out["doc_id"]) == {d for d, t in rows[:300] if "vile" not in t}
     assert len(out) == out["doc_id"].nunique() and [s for s, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "ngram_join", "packing"]
+
+
+# ---------------------------------------------------------------- ids, copies and columns that clash
+BIG = [(1 << 60) + 1, None, (1 << 60) + 3, (1 << 60) + 2]
+
+
+def test_packing_keeps_large_and_null_ids_and_splits_copies(spark):
+    rows = [(d, f"some words of {i}") for i, d in enumerate(BIG)] + [(7, "a copy")] * 40
+    pieces = packing.tokenize_pieces(docs(spark, rows), tokenizer_file("word_bpe_49k.json"), size=16)
+    got = packing.pack_pieces(pieces, size=16, shard_rows=9).collect()
+    assert sorted((r.doc_id for r in got), key=repr) == sorted((d for d, _ in rows), key=repr)
+    fill = {}
+    for r in got:
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in fill.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 16
+    copies = {r.sequence_id >> 32 for r in got if r.doc_id == 7}
+    assert len(copies) > 1  # the copies lie in several shards
+
+
+def test_pages_with_large_ids_and_equal_ids_but_other_html(spark):
+    def page(words):
+        return f"<html><body><p>{words}</p></body></html>"
+    rows = [(d, "http://h.example/a", page(f"this page alone says number {i} and nothing else")) for i, d in enumerate(BIG)]
+    rows += [(5, "http://h.example/b", page("one version of the page")), (5, "http://h.example/b", page("another version of the page"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(((r.page_id, r.text) for r in html_text.extract_main_text(df).collect()), key=repr)
+    assert got == sorted(((d, h[15:-18]) for d, _, h in rows), key=repr)
+
+
+def test_pipeline_stages_with_columns_named_like_their_own(spark, tmp_path):
+    import corpus_pipeline as P
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) + rng.choice("abc") for _ in range(30)) for _ in range(12)]
+    rows = [(i, t, "en", "lp", 0.5, 1, 9, "d") for i, t in enumerate(texts)] + [(None, None, None, "lp", 0.5, 1, 9, "d"), (50, "", "en", "lp", 0.5, 1, 9, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double, predicted int, n_grams int, _doc0 string")
+    spark.createDataFrame([(i, 0) for i in range(12)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = P.language_stage(spark, df, str(tmp_path))
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == list(range(12))
+    assert {(r.lang_pred, r.score, r["_doc0"]) for r in kept.collect()} == {("lp", 0.5, "d")}
+    clean = P.toxicity_stage(spark, df, str(tmp_path))
+    assert clean.columns == df.columns and clean.count() == 14
+
+
+def test_large_groups_of_texts_that_do_not_link(spark, monkeypatch):
+    """Variants of one text, most pairs of which stay below the bound, in groups above SMALL."""
+    monkeypatch.setattr(ngram_join, "SMALL", 3)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(140)]
+    rows = []
+    for i in range(60):
+        w = [x if rng.random() > 0.02 * (i % 4) else f"x{rng.randint(0, 999)}" for x in base]
+        rows.append((i, " ".join(w)))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs(spark, rows)).collect())
+    assert got == sorted(brute.jaccard_components(rows))
+    assert 1 < len({c for _, _, c in got}) < 60
+
+
+def test_short_parities_never_rule_out_a_link():
+    rng = np.random.default_rng(0)
+    for n in (3, 40, 200, 300, 2000):
+        s = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        t = np.concatenate([s[: n - n // 20], rng.integers(0, 1 << 63, n // 20).astype(np.uint64)])
+        apart = len(np.setxor1d(s, t))
+        x, y = (np.frombuffer(ngram_join.parity(np.unique(v)), dtype=np.uint8) for v in (s, t))
+        for size in (32, 128):
+            if len(x) >= size and len(y) >= size:
+                assert int(np.bitwise_count(ngram_join.folded(x, size) ^ ngram_join.folded(y, size)).sum()) <= apart

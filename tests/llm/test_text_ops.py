@@ -240,3 +240,38 @@ def test_toxicity_end_to_end_and_edges(spark):
     empty = toxicity.fit_toxicity(docs(spark, []), d.limit(0).select("doc_id"), 0.1)
     assert [r.predicted for r in toxicity.score_toxicity(docs(spark, test[:1]), empty, ["doc_id"]).collect()] == [0]
     assert toxicity.score_toxicity(docs(spark, []), model, ["doc_id"]).count() == 0
+
+
+def test_toxicity_on_small_label_tables_leaves_clean_texts_alone(spark):
+    for n in (5, 50, 500):
+        rng = random.Random(n)
+        rows = []
+        for i in range(n):
+            w = [f"word{rng.randint(0, 60)}" for _ in range(rng.randint(5, 40))]
+            toxic = rng.random() < 0.1
+            rows.append((i, " ".join(w + ["vilest", "slurxyz"] * 2 if toxic else w), int(toxic)))
+        table = docs(spark, [(d, t) for d, t, _ in rows] + [(10 ** 6, None), (10 ** 6 + 1, "")])
+        labels = spark.createDataFrame([(d,) for d, _, y in rows if y], "doc_id long")
+        prior = min(0.5, max(0.001, sum(y for *_, y in rows) / n))
+        model = toxicity.fit_toxicity(table, labels, prior)
+        got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score_toxicity(table, model, ["doc_id"]).collect()}
+        assert got[10 ** 6][0] <= prior + 1e-9 and got[10 ** 6 + 1] == got[10 ** 6]
+        clean = [got[d][1] for d, _, y in rows if not y]
+        assert sum(clean) <= len(clean) * 0.2
+
+
+def test_toxicity_gradient_step_lowers_the_risk():
+    """The fit against the risk worked out text by text."""
+    rng = random.Random(2)
+    pos = [sorted({0, rng.randint(2, 5)}) for _ in range(30)]
+    unl = [sorted({rng.choice([0, 1, 1, 1]), rng.randint(2, 5)}) for _ in range(80)]
+
+    def risk(w, b, prior):
+        def mean(rows, sign):
+            return sum(np.logaddexp(0, -sign * (b + sum(w[i] for i in r))) for r in rows) / len(rows)
+        return prior * mean(pos, 1) + max(0.0, mean(unl, -1) - prior * mean(pos, -1))
+
+    w, b = toxicity.nnpu_fit(pos, unl, 6, 0.25, epochs=300)
+    start = risk(np.zeros(6), np.log(0.25 / 0.75), 0.25)
+    best = risk(w, b, 0.25)
+    assert best < 0.6 * start and w[0] > 0 > w[1]
