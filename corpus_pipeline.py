@@ -24,17 +24,34 @@ from tessera.session import scratch_path
 LEAST_LANGUAGE_SCORE = 0.05
 
 
+#: Bytes of text that a stage between two others works on at a time: its workers share an executor with its Parquet writers.
+SLICE_BYTES = 1 << 20
+
+
+def _hidden(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns ``_doc0`` on and the text as ``text``: names that no operator adds."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"_doc{i}") for i, c in enumerate(docs.columns)], F.col("text"))
+
+
+def _shown(judged: DataFrame, docs: DataFrame) -> DataFrame:
+    return judged.select(*[F.col(f"_doc{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents in a learned language; null, empty and letterless texts go. Learned
-    from the rows of ``docs`` with a language that are not held out; predicted for all."""
-    judged = identify_language(docs, language_model(docs), docs.columns)
-    return judged.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    from the rows of ``docs`` with a language that are not held out; predicted for all. Repeated rows are judged one by one; columns of
+    any other name come through."""
+    judged = identify_language(_hidden(docs), language_model(docs), [f"_doc{i}" for i in range(len(docs.columns))])
+    return _shown(judged.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents predicted not toxic. Learned from this stage's docs and the labels that are not held out."""
+    """Keeps the documents predicted not toxic. Learned from this stage's docs and the labels that are not held out.
+    Null and empty texts are no likelier toxic than texts are; repeated rows are judged one by one; a null id has no label. Columns of any
+    other name come through."""
     model = toxicity_model(docs, read(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model, docs.columns).filter("predicted = 0").select(*docs.columns)
+    judged = score_toxicity(_hidden(docs), model, [f"_doc{i}" for i in range(len(docs.columns))], slice_bytes=SLICE_BYTES)
+    return _shown(judged.filter("predicted = 0"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +65,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents into sequences of at most 2048 tokens: a row per piece."""
+    """Packs all documents into sequences of at most 2048 tokens: a row per piece. A null or empty text is one piece, its end id; every
+    repeated row has its own pieces; a null id is kept."""
     return pack_pieces(tokenize_pieces(docs, tokenizer_file("word_bpe_49k.json")))
 
 
