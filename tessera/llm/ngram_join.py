@@ -21,8 +21,11 @@ Candidates are not expanded into all pairs of a large group of a key:
    positional filters; in a larger one each member meets the pivot, the member with the fewest
    rarer tokens before the key. Parity bits of the sets rule out pairs that differ in too many
    bits. Of what is left the likeliest pair of every node is verified, which gives components;
-2. all other pairs whose components still differ, in large groups too, are verified; pairs
-   within a component need no test. The filters only leave out what cannot link.
+2. of the others those whose components still differ are verified; pairs within a component need no test;
+3. in large groups of several components each node meets the one before it, and then every node all those of other components. Short
+   parities, 1024 or 256 bits, are part of this last join, so that it makes few pairs that cannot link.
+
+The filters only leave out what cannot link.
 
 Verification is exact on the whole sets, which are made again from the texts of
 candidate documents only; a bitmap of fixed size tells which documents may be candidates.
@@ -46,7 +49,7 @@ from tessera.session import scratch_path
 LONG = 400
 FREQUENT = 0.002
 BLOCK = 500_000  # shingles counted at a time in a task
-SLICE = 1 << 20  # bytes of text that a task turns into sets at a time
+SLICE = 2 << 20  # bytes of text that a task turns into sets at a time
 SEEN = 1_000_000  # set names a task keeps
 SMALL = 64  # members of a group that meet one another
 BITS = 1 << 26  # of the candidate bitmap: 8 MB at any corpus size
@@ -289,39 +292,47 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         pairs.select(F.col("b").alias("x"), "far", F.col("a").alias("y")))
     likely = sides.groupBy("x").agg(F.min(F.struct("far", "y"))["y"].alias("y")).select(*ordered("x", "y")).distinct()
     likely = cut(likely)
-    wanted = cut(_ends(likely))
-    _write_sets(docs, nodes, wanted, size, f"{path}/sets/1")
-    sets = spark.read.parquet(f"{path}/sets/1")
-    links = cut(_verify(sets, likely, percent))
+    tested = _Tests(docs, nodes, size, percent, f"{path}/sets")
+    links = tested.links(likely)
 
-    # 2. the pairs that the components still leave apart, those of large groups with them
+    # 2. the pairs found so far that the components still leave apart
     comp = connected(links)
     of_a, of_b = (comp.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "ab")
-    rest = (pairs.select("a", "b").join(of_a, "a", "left").join(of_b, "b", "left")
-            .filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
-    named = large.distinct().join(comp, "node", "left").select(
-        "key", "node", "n", "at", F.coalesce("comp", "node").alias("comp"))
-    named = cut(named)
-    apart = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-        F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "main")
-    open_rows = named.join(apart, "key")
-    open_rows = open_rows.join(_short_marks(marks, open_rows.select("node").distinct()), "node")
-    # of two nodes in different components of a group at least one is outside the largest
-    x = open_rows.filter("comp <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in OPEN])
-    y = open_rows.select("key", "main", *[F.col(c).alias(f"y_{c}") for c in OPEN])
-    more = (x.join(y, "key").filter((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
-                                    & may_link(F.col("x_n"), F.col("x_at"), F.col("y_n"), F.col("y_at")) & _short_may_overlap(percent))
-            .select(*ordered("x_node", "y_node")).distinct())
-    more = rest.unionByName(_may_overlap(more, marks, percent).select("a", "b")).distinct().join(likely, ["a", "b"], "left_anti")
-    more = cut(more)
-    if more.isEmpty():
-        final = comp
-    else:
-        _write_sets(docs, nodes, cut(_ends(more).join(wanted, "node", "left_anti")), size, f"{path}/sets/2")
-        sets = sets.unionByName(spark.read.parquet(f"{path}/sets/2"))
-        final = connected(links.unionByName(_verify(sets, more, percent)))
-
-    return nodes.join(final, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *marked)
+    rest = cut(pairs.select("a", "b").join(of_a, "a", "left").join(of_b, "b", "left")
+               .filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
+    if not rest.isEmpty():
+        links = cut(links.unionByName(tested.links(rest)))
+        comp = connected(links)
+
+    # 3. in large groups of several components first each node and the one before it, then all that are still apart
+    large = cut(large.distinct())
+    for step in ("next", "all"):
+        named = cut(large.join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp")))
+        apart = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+            F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "main")
+        open_rows = named.join(apart, "key")
+        if step == "next":
+            last = F.lag(F.struct("node", "n", "at", "comp")).over(Window.partitionBy("key").orderBy("n", "node"))
+            more = (open_rows.withColumn("p", last).filter((col("comp") != col("p.comp")) & may_link(col("n"), col("at"), col("p.n"), col("p.at")))
+                    .select(*ordered("node", "p.node")).distinct())
+        else:
+            # of two nodes in different components of a group at least one is outside the largest
+            open_rows = open_rows.join(_short_marks(marks, open_rows.select("node").distinct()), "node")
+            x = open_rows.filter("comp <> main").select("key", *[col(c).alias(f"x_{c}") for c in OPEN])
+            y = open_rows.select("key", "main", *[col(c).alias(f"y_{c}") for c in OPEN])
+            more = (x.join(y, "key").filter((col("x_comp") != col("y_comp")) & ((col("y_comp") == col("main")) | (col("x_node") < col("y_node")))
+                                            & may_link(col("x_n"), col("x_at"), col("y_n"), col("y_at")) & _short_may_overlap(percent))
+                    .select(*ordered("x_node", "y_node")).distinct())
+        more = _may_overlap(more, marks, percent).select("a", "b")
+        for old in (likely, rest, *tested.later):
+            more = more.join(old, ["a", "b"], "left_anti")
+        more = cut(more)
+        if not more.isEmpty():
+            links = cut(links.unionByName(tested.links(more)))
+            tested.later.append(more)
+            comp = connected(links)
+
+    return nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *marked)
 
 
 OPEN = ("node", "n", "at", "comp", "short", "shortest")  # what a node brings to its large groups
@@ -354,6 +365,30 @@ def _short_may_overlap(percent: int) -> Column:
     return (total - F.coalesce(far("short"), far("shortest"))) * (100 + percent) >= total * (2 * percent)
 
 
+class _Tests:
+    """Exact tests of pairs of nodes; the sets that earlier tests made from the texts are kept."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, percent: int, path: str):
+        self.docs, self.nodes, self.size, self.percent, self.path = docs, nodes, size, percent, path
+        self.sets: DataFrame | None = None
+        self.have: DataFrame | None = None
+        self.rounds = 0
+        self.later: list[DataFrame] = []
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that link."""
+        wanted = _ends(pairs)
+        if self.have is not None:
+            wanted = wanted.join(self.have, "node", "left_anti")
+        wanted = cut(wanted)
+        self.rounds += 1
+        _write_sets(self.docs, self.nodes, wanted, self.size, f"{self.path}/{self.rounds}")
+        made = self.docs.sparkSession.read.schema("node long, tokens binary").parquet(f"{self.path}/{self.rounds}")
+        self.sets = made if self.sets is None else self.sets.unionByName(made)
+        self.have = wanted if self.have is None else self.have.unionByName(wanted)
+        return cut(_verify(self.sets, pairs, self.percent))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
