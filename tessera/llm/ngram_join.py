@@ -22,7 +22,7 @@ Candidates are not expanded into all pairs of a large group of a key:
    rarer tokens before the key. Parity bits of the sets rule out pairs that differ in too many
    bits. Of what is left the likeliest pair of every node is verified, which gives components;
 2. of the others those whose components still differ are verified; pairs within a component need no test;
-3. in large groups of several components each node meets the one before it, and then every node all those of other components. Short
+3. in large groups of several components each node meets those of other components. Short
    parities, 1024 or 256 bits, are part of this last join, so that it makes few pairs that cannot link.
 
 The filters only leave out what cannot link.
@@ -304,33 +304,22 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         links = cut(links.unionByName(tested.links(rest)))
         comp = connected(links)
 
-    # 3. in large groups of several components first each node and the one before it, then all that are still apart
-    large = cut(large.distinct())
-    for step in ("next", "all"):
-        named = cut(large.join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp")))
-        apart = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-            F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "main")
-        open_rows = named.join(apart, "key")
-        if step == "next":
-            last = F.lag(F.struct("node", "n", "at", "comp")).over(Window.partitionBy("key").orderBy("n", "node"))
-            more = (open_rows.withColumn("p", last).filter((col("comp") != col("p.comp")) & may_link(col("n"), col("at"), col("p.n"), col("p.at")))
-                    .select(*ordered("node", "p.node")).distinct())
-        else:
-            # of two nodes in different components of a group at least one is outside the largest
-            open_rows = open_rows.join(_short_marks(marks, open_rows.select("node").distinct()), "node")
-            x = open_rows.filter("comp <> main").select("key", *[col(c).alias(f"x_{c}") for c in OPEN])
-            y = open_rows.select("key", "main", *[col(c).alias(f"y_{c}") for c in OPEN])
-            more = (x.join(y, "key").filter((col("x_comp") != col("y_comp")) & ((col("y_comp") == col("main")) | (col("x_node") < col("y_node")))
-                                            & may_link(col("x_n"), col("x_at"), col("y_n"), col("y_at")) & _short_may_overlap(percent))
-                    .select(*ordered("x_node", "y_node")).distinct())
-        more = _may_overlap(more, marks, percent).select("a", "b")
-        for old in (likely, rest, *tested.later):
-            more = more.join(old, ["a", "b"], "left_anti")
-        more = cut(more)
-        if not more.isEmpty():
-            links = cut(links.unionByName(tested.links(more)))
-            tested.later.append(more)
-            comp = connected(links)
+    # 3. in large groups of several components all nodes that are still apart
+    named = cut(large.distinct().join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp")))
+    apart = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+        F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "main")
+    open_rows = named.join(apart, "key")
+    open_rows = open_rows.join(_short_marks(marks, open_rows.select("node").distinct()), "node")
+    # of two nodes in different components of a group at least one is outside the largest
+    x = open_rows.filter("comp <> main").select("key", *[col(c).alias(f"x_{c}") for c in OPEN])
+    y = open_rows.select("key", "main", *[col(c).alias(f"y_{c}") for c in OPEN])
+    more = (x.join(y, "key").filter((col("x_comp") != col("y_comp")) & ((col("y_comp") == col("main")) | (col("x_node") < col("y_node")))
+                                    & may_link(col("x_n"), col("x_at"), col("y_n"), col("y_at")) & _short_may_overlap(percent))
+            .select(*ordered("x_node", "y_node")).distinct())
+    more = _may_overlap(more, marks, percent).select("a", "b").join(likely.unionByName(rest), ["a", "b"], "left_anti")
+    more = cut(more)
+    if not more.isEmpty():
+        comp = connected(links.unionByName(tested.links(more)))
 
     return nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *marked)
 
@@ -373,7 +362,6 @@ class _Tests:
         self.sets: DataFrame | None = None
         self.have: DataFrame | None = None
         self.rounds = 0
-        self.later: list[DataFrame] = []
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs that link."""
