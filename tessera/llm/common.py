@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -56,9 +58,20 @@ def map_text(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.Recor
         one = fn()
         for piece in text_chunks(batches, column, size):
             yield one(piece)
+        del one
+        give_back()
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the system: Spark keeps workers, and the next task may need other sizes."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def texts(column: pa.Array) -> list[str]:
     """Python strings, null as empty."""
     return [t or "" for t in column.to_pylist()]

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, map_text, mix64, text_chunks
+from tessera.llm.common import cut, give_back, map_text, mix64, text_chunks
 from tessera.llm.segments import distinct
 from tessera.session import scratch_path
 
@@ -172,6 +172,8 @@ def frequent_tokens(docs: DataFrame, size: int) -> FrequentTokens:
                 n += len(s)
         if n_docs:
             yield from flush()
+        del buffer
+        give_back()
 
     sums = cut(docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
     total = sums.filter("token IS NULL").agg(F.sum("n")).first()[0] or 0
