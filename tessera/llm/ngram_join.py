@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, give_back, map_text, mix64, text_chunks
+from tessera.llm.common import cut, give_back, map_text, mix64, shuffles_freed, text_chunks
 from tessera.llm.segments import distinct
 from tessera.session import scratch_path
 
@@ -229,6 +229,14 @@ def jaccard_representatives(df: DataFrame, id_col: str = "doc_id", text_col: str
 def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, n, comp) for every row of docs (id, text), with the mark if docs has one: comp is the smallest name of a set
     reachable by links, null for an empty set."""
+    marked = [c for c in docs.columns if c == "mark"]
+    with shuffles_freed(docs.sparkSession):
+        nodes, comp = _linked(docs, size, percent)
+    return nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *marked)
+
+
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, n, node), with the mark if docs has one, and the components (node, comp) of the nodes that have links."""
     spark = docs.sparkSession
     marked = [c for c in docs.columns if c == "mark"]
     kind = docs.schema["id"].dataType.simpleString()
@@ -323,7 +331,7 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     if not more.isEmpty():
         comp = connected(links.unionByName(tested.links(more)))
 
-    return nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *marked)
+    return nodes, comp
 
 
 OPEN = ("node", "n", "at", "comp", "short", "shortest")  # what a node brings to its large groups
