@@ -274,14 +274,23 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
         return fits & (F.least(n1 - at1, n2 - at2) * (100 + percent) >= (n1 + n2) * percent)
 
     # 1. in a small group every member meets those before it, in a large one the pivot
+    # a row carries its size and position as one number: most rows are alone under their key, and all are shuffled
+    mark = F.shiftleft(F.col("n"), 32) + F.col("k.at").cast("long")
+
+    def n_of(m):
+        return F.shiftright(m, 32)
+
+    def at_of(m):
+        return m.bitwiseAND(F.lit((1 << 32) - 1))
+
     rows = stored.select("node", F.explode(F.arrays_zip("keys", "at")).alias("k"), "n").select(
-        F.col("k.keys").alias("key"), "node", F.struct(F.col("n").cast("int").alias("n"), F.col("k.at").alias("at")).alias("s"))
-    by_size = Window.partitionBy("key").orderBy("s.n", "node")
-    count = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    before = F.collect_list(F.struct("node", "s")).over(by_size.rowsBetween(-SMALL, -1))
-    rows = rows.withColumns({"size": count, "before": before}).filter("size > 1")
-    meets = F.filter("before", lambda o: (o["node"] != F.col("node")) & may_link(F.col("s.n"), F.col("s.at"), o["s"]["n"], o["s"]["at"]))
-    rows = rows.select("key", "node", "s.n", "s.at", (F.col("size") > SMALL).alias("large"),
+        F.col("k.keys").alias("key"), "node", mark.alias("m"))
+    by_mark = Window.partitionBy("key").orderBy("m", "node")
+    rows = rows.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    other = F.when(F.col("size") <= SMALL, F.struct("node", "m"))  # large groups gather nothing
+    rows = rows.withColumn("before", F.collect_list(other).over(by_mark.rowsBetween(-SMALL, -1))).filter("size > 1")
+    meets = F.filter("before", lambda o: (o["node"] != F.col("node")) & may_link(n_of(F.col("m")), at_of(F.col("m")), n_of(o["m"]), at_of(o["m"])))
+    rows = rows.select("key", "node", n_of(F.col("m")).alias("n"), at_of(F.col("m")).alias("at"), (F.col("size") > SMALL).alias("large"),
                        F.when(F.col("size") <= SMALL, F.transform(meets, lambda o: o["node"])).alias("meets"))
     rows.filter("large or size(meets) > 0").write.parquet(f"{path}/groups")
     rows = spark.read.parquet(f"{path}/groups")
