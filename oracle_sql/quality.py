@@ -321,4 +321,18 @@ def constraint_sql() -> dict[str, str]:
     q["reconcile_rows"] = "SELECT *, silver_keys = gold_rows AS ok FROM (" + " UNION ALL ".join(
         f"""SELECT '{g} rows vs {s} keys' AS "check", (SELECT count(*) FROM (SELECT DISTINCT {k} FROM s_{s})) AS silver_keys,
                    (SELECT count(*) FROM g_{g}) AS gold_rows""" for s, g, k in pairs) + ")"
+    q["row_differences"] = _row_differences()
     return {k: with_ctes(v) for k, v in q.items()}
+
+
+def _row_differences() -> str:
+    """Every key whose rows differ between two layers, from the values themselves. A key has one row a side in both pairs."""
+    items = "SELECT order_id AS k, CAST(sum(price + freight_value) AS DECIMAL(12,2)) AS v FROM s_order_items GROUP BY 1"
+    paid = "SELECT order_id AS k, CAST(sum(payment_value) AS DECIMAL(12,2)) AS v FROM s_order_payments GROUP BY 1"
+    row = "SELECT order_id AS k, order_status || CAST(purchased_at AS VARCHAR) AS v FROM "
+    return " UNION ALL ".join(f"""
+        SELECT '{name}' AS pair, coalesce(a.k, b.k) AS key, {_big('CASE WHEN a.k IS NULL THEN 0 ELSE 1 END')} AS left_rows,
+               {_big('CASE WHEN b.k IS NULL THEN 0 ELSE 1 END')} AS right_rows,
+               CASE WHEN b.k IS NULL THEN 'missing' WHEN a.k IS NULL THEN 'added' ELSE 'changed' END AS difference
+        FROM ({left}) a FULL OUTER JOIN ({right}) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v IS DISTINCT FROM b.v"""
+        for name, left, right in (("items and payments", items, paid), ("orders and fact_order", row + "s_orders", row + "g_fact_order")))

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.quality import reconcile_layers, reconcile_rows
+from tessera.operators.differences import row_differences
+from tessera.operators.quality import reconcile_layers, reconcile_rows, union_all
 from tessera.plans import analytics as A
 from tessera.plans import core as C
 from tessera.plans import incremental as I
@@ -85,5 +86,16 @@ def queries() -> dict[str, Query]:
         t = RetailTables(spark, sf)
         return reconcile_rows(t.all_silver(), t.all_gold())
     out["reconcile_rows"] = _named("reconcile_rows", recon_rows)
+
+    def differing(spark, sf):
+        t = RetailTables(spark, sf)
+        owed = t.silver("order_items").groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight_value")).cast("decimal(12,2)").alias("total"))
+        paid = t.silver("order_payments").groupBy("order_id").agg(F.sum("payment_value").cast("decimal(12,2)").alias("total"))
+        head = ["order_id", "order_status", "purchased_at"]
+        pairs = {"items and payments": (owed, paid),
+                 "orders and fact_order": (t.silver("orders").select(*head), t.gold("fact_order").select(*head))}
+        return union_all([row_differences(a, b, ["order_id"]).select(F.lit(name).alias("pair"), F.col("order_id").alias("key"), "left_rows",
+                                                                     "right_rows", "difference") for name, (a, b) in pairs.items()])
+    out["row_differences"] = _named("row_differences", differing)
     out |= I.QUERIES
     return out
