@@ -2,6 +2,7 @@
 
 from oracle_sql.analytics import analytics_sql
 from oracle_sql.quality import bronze_sql, constraint_sql
+from oracle_sql.stored import stored_sql
 from oracle_sql.views import with_ctes
 
 SILVER = {
@@ -49,4 +50,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(analytics_sql())
     out.update(bronze_sql())
     out.update(constraint_sql())
+    out.update(stored_sql())
     return out

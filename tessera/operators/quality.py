@@ -82,14 +82,23 @@ def enforce(df: DataFrame, table: str, schema: StructType | None = None) -> Data
     return df.withColumn(first, guarded)
 
 
+def count_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rows): one row a key, counted map-side first."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def pk_check(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """(table, key, rows, distinct_keys, duplicate_key_rows, null_key_rows).
     Two partial aggregations; hot keys combine map-side."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+    return pk_report(count_rows(df, keys), table, keys)
+
+
+def pk_report(counts: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """The row of ``pk_check`` from a table's ``count_rows``."""
+    return counts.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("distinct_keys"),
-        F.coalesce(F.sum(F.when(any_null(keys), F.col("n"))), F.lit(0)).alias("null_key_rows"),
+        F.coalesce(F.sum(F.when(any_null(keys), F.col("rows"))), F.lit(0)).alias("null_key_rows"),
     ).select(F.lit(table).alias("table"), F.lit(", ".join(keys)).alias("key"), "rows", "distinct_keys",
              (F.col("rows") - F.col("distinct_keys")).alias("duplicate_key_rows"), "null_key_rows")
 
@@ -102,17 +111,22 @@ def fk_check(child: DataFrame, child_col: str, parent: DataFrame, parent_col: st
     (value, rows) before meeting the parent's distinct values, so the join
     is between two duplicate-free sets.
     """
-    c = (child.select(F.col(child_col).alias("k")).filter(F.col("k").isNotNull())
-              .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
-    p = parent.select(F.col(parent_col).alias("k")).distinct().withColumn("_hit", F.lit(True))
-    j = c.join(p, "k", "left")
+    present = child.filter(F.col(child_col).isNotNull())
+    return fk_report(count_rows(present, [child_col]), child_col, parent.select(parent_col).distinct(), parent_col,
+                     child_name or "child", parent_name or "parent")
+
+
+def fk_report(child_counts: DataFrame, child_col: str, parent_keys: DataFrame, parent_col: str,
+              child_name: str, parent_name: str) -> DataFrame:
+    """The row of ``fk_check`` from the child's ``count_rows`` and the parent's distinct keys."""
+    c = child_counts.select(F.col(child_col).alias("k"), "rows").filter(F.col("k").isNotNull())
+    p = parent_keys.select(F.col(parent_col).alias("k")).withColumn("_hit", F.lit(True))
     orphan = F.col("_hit").isNull()
-    return j.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("child_rows"),
-        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("orphan_rows"),
+    return c.join(p, "k", "left").agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("child_rows"),
+        F.coalesce(F.sum(F.when(orphan, F.col("rows"))), F.lit(0)).alias("orphan_rows"),
         F.count_if(orphan).alias("distinct_orphan_values"),
-    ).select(F.lit(f"{child_name or 'child'}.{child_col}").alias("child"),
-             F.lit(f"{parent_name or 'parent'}.{parent_col}").alias("parent"),
+    ).select(F.lit(f"{child_name}.{child_col}").alias("child"), F.lit(f"{parent_name}.{parent_col}").alias("parent"),
              "child_rows", "orphan_rows", "distinct_orphan_values")
 
 
@@ -168,6 +182,14 @@ def stale(report: DataFrame, max_days: int) -> DataFrame:
     return report.withColumn("alert", F.coalesce(F.col("days_behind") > max_days, F.lit(True)))
 
 
+def stale_files(report: DataFrame, max_hours: float, now: Column | None = None) -> DataFrame:
+    """X3 (files): a ``file_freshness`` report with ``hours_old`` and ``alert``: the newest file is older than ``max_hours`` at ``now``
+    (the time of the query), or there is none."""
+    age = F.unix_micros(now if now is not None else F.current_timestamp()) - F.unix_micros("newest_file_at")
+    hours = F.floor(age / 3_600_000_000)
+    return report.withColumn("hours_old", hours).withColumn("alert", F.coalesce(age > max_hours * 3_600_000_000, F.lit(True)))
+
+
 def drifted(report: DataFrame, max_volume_pct: float, max_null_change: float) -> DataFrame:
     """A drift report with ``alert``: the month's rows or NULL rate moved by more than allowed."""
     moved = (F.abs("volume_drift_pct") > max_volume_pct) | (F.abs("null_rate_change") > max_null_change)
@@ -384,15 +406,22 @@ def group_size_stats(df: DataFrame, key: str, keys_name: str, approx: bool = Tru
 
 def domain_check(df: DataFrame, lat: str, lng: str, box: tuple[float, float, float, float],
                  city: str, state: str) -> DataFrame:
-    """Points outside a (lat_min, lat_max, lng_min, lng_max) box, and
-    raw vs. normalised spellings."""
+    """Points outside a (lat_min, lat_max, lng_min, lng_max) box, and raw vs. normalised spellings.
+
+    The points are first brought to one row per (city, state), which is partly done before the shuffle; only those few
+    rows are then spread over the three distinct counts."""
     la, lo = F.col(lat).try_cast("double"), F.col(lng).try_cast("double")
     lat_min, lat_max, lng_min, lng_max = box
-    return df.agg(
-        F.count_if((la < lat_min) | (la > lat_max) | (lo < lng_min) | (lo > lng_max)).alias("outside_box"),
-        F.count_distinct(city).alias("distinct_city_raw"),
-        F.count_distinct(F.lower(F.trim(city))).alias("distinct_city_normalised"),
-        F.count_distinct(state).alias("distinct_states"))
+    outside = (la < lat_min) | (la > lat_max) | (lo < lng_min) | (lo > lng_max)
+    places = df.groupBy(F.col(city).alias("_city"), F.col(state).alias("_state")).agg(F.count_if(outside).alias("_out"))
+    spellings = F.array(F.col("_city"), F.lower(F.trim("_city")), F.col("_state"))
+    values = places.select("_out", F.posexplode(spellings).alias("_i", "_v")).groupBy("_i", "_v").agg(F.sum("_out").alias("_out"))
+
+    def distinct(i: int) -> Column:
+        return F.count_if((F.col("_i") == i) & F.col("_v").isNotNull())
+    return values.agg(
+        F.coalesce(F.sum(F.when(F.col("_i") == 2, F.col("_out"))), F.lit(0)).alias("outside_box"),
+        distinct(0).alias("distinct_city_raw"), distinct(1).alias("distinct_city_normalised"), distinct(2).alias("distinct_states"))
 
 
 def lookup_gaps(items: DataFrame, lookup: DataFrame, key: str, value: str) -> DataFrame:

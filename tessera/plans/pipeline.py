@@ -13,7 +13,7 @@ from tessera.operators.quality import assert_keys, assert_reconciled, reconcile_
 from tessera.plans.profiling import CONSTRAINT_REPORTS
 from tessera.plans.tables import SILVER_INPUTS
 from tessera.sources.schemas import GOLD_ORDER, SCHEMAS, SILVER_ORDER
-from tessera.sources.sinks import publish, register_tables, stage_table, write_table
+from tessera.sources.sinks import publish_run, register_tables, stage_table, write_table
 
 # fact tables are clustered on the purchase date (pruning for date filters)
 SORT_BY = {"fact_order": ["purchase_date_key"], "fact_order_item": ["purchase_date_key"],
@@ -78,8 +78,8 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str, staged: dict[str,
 def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True, check_keys: bool = True,
                  register: bool = False,
                  timings: dict[str, float] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Write new versions of silver and gold under ``base``, check them, then publish them all,
-    parents first. The run fails, and readers keep the versions they had, if the layers disagree
+    """Write new versions of silver and gold under ``base``, check them, then publish them all
+    by one row group of the log of runs: readers see all of the new versions or none. The run fails, and readers keep the versions they had, if the layers disagree
     (item value and revenue totals), or, with ``check_keys``, if any of the
     primary keys is duplicated/NULL or any of the foreign keys has
     orphans. ``register`` exposes the
@@ -97,8 +97,7 @@ def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True
         assert_keys(CONSTRAINT_REPORTS["dq_pk_violations"](both), CONSTRAINT_REPORTS["dq_fk_violations"](both))
     if timings is not None:
         timings["checks"] = time.time() - t0
-    for path, version in staged.items():
-        publish(spark, path, version)
+    publish_run(spark, base, staged)
     if register:  # silver.<table> and gold.<table> in the session catalog
         register_tables(spark, "silver", {n: f"{base}/silver/{n}" for n in silver})
         register_tables(spark, "gold", {n: f"{base}/gold/{n}" for n in gold})

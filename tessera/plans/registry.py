@@ -17,6 +17,7 @@ from tessera.plans import analytics as A
 from tessera.plans import core as C
 from tessera.plans import incremental as I
 from tessera.plans import profiling as P
+from tessera.plans import stored as T
 from tessera.plans.tables import GOLD_INPUTS, SILVER_INPUTS, RetailTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,5 +98,5 @@ def queries() -> dict[str, Query]:
         return union_all([row_differences(a, b, ["order_id"]).select(F.lit(name).alias("pair"), F.col("order_id").alias("key"), "left_rows",
                                                                      "right_rows", "difference") for name, (a, b) in pairs.items()])
     out["row_differences"] = _named("row_differences", differing)
-    out |= I.QUERIES
+    out |= I.QUERIES | T.QUERIES
     return out

@@ -40,16 +40,42 @@ def _absent(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND"
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the version that readers of the table at ``path`` see; None before the first one.
-    Any other failure to read (a permission, a broken file) is an error, not 'no table'."""
+RUN_LOG = "table string, version string, published_at timestamp"
+
+
+def _log(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A publication log; None where there is none.
+    Any other failure to read (a permission, a broken file) is an error, not 'no log'."""
     try:
-        log = spark.read.schema("version string, published_at timestamp").parquet(f"{path}/published")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if _absent(e):
             return None
         raise
-    newest = log.orderBy(F.desc("published_at"), F.desc("version")).first()
+
+
+def _split(path: str) -> tuple[str, str]:
+    """('<base>', '<layer>/<table>') of a table's path."""
+    base, _, name = path.rpartition("/")
+    base, _, layer = base.rpartition("/")
+    return base, f"{layer}/{name}"
+
+
+def published_versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """(version, published_at) of the table at ``path``: published on its own, or by a run over the folder it is in. None before the first one."""
+    base, table = _split(path)
+    own = _log(spark, f"{path}/published", "version string, published_at timestamp")
+    runs = _log(spark, f"{base}/runs", RUN_LOG)
+    of_runs = None if runs is None else runs.filter(F.col("table") == table).select("version", "published_at")
+    if own is None or of_runs is None:
+        return of_runs if own is None else own
+    return own.unionByName(of_runs)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the version that readers of the table at ``path`` see; None before the first one."""
+    log = published_versions(spark, path)
+    newest = None if log is None else log.orderBy(F.desc("published_at"), F.desc("version")).first()
     return None if newest is None else f"{path}/versions/{newest.version}"
 
 
@@ -61,6 +87,15 @@ def open_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(where)
 
 
+def open_run(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """'<layer>/<table>' -> the version that the newest run over ``base`` published: one read of the log, so never tables of two runs."""
+    log = _log(spark, f"{base}/runs", RUN_LOG)
+    if log is None:
+        raise FileNotFoundError(f"no published run of {base}")
+    newest = log.groupBy("published_at").agg(F.collect_list(F.struct("table", "version")).alias("tables")).orderBy(F.desc("published_at")).first()
+    return {t.table: spark.read.parquet(f"{base}/{t.table}/versions/{t.version}") for t in newest.tables}
+
+
 def existing_schema(spark: SparkSession, path: str) -> StructType | None:
     where = current_version(spark, path)
     return None if where is None else spark.read.parquet(where).schema
@@ -112,6 +147,35 @@ def publish(spark: SparkSession, path: str, version: str) -> None:
     row.coalesce(1).write.mode("append").parquet(f"{path}/published")
 
 
+def publish_run(spark: SparkSession, base: str, staged: dict[str, str]) -> None:
+    """Let readers see the versions of ``staged`` (path '<base>/<layer>/<table>' -> version), all of them or none: one file of a
+    row a table appended to the log of runs."""
+    rows = [(_split(path)[1], version) for path, version in staged.items()]
+    if any(_split(path)[0] != base for path in staged):
+        raise ValueError(f"tables of a run lie in {base}/<layer>/<table>: {sorted(staged)}")
+    log = spark.createDataFrame(rows, "table string, version string").withColumn("published_at", F.current_timestamp())
+    log.coalesce(1).write.mode("append").parquet(f"{base}/runs")
+
+
+def retire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete the folders of all published versions of the table at ``path`` but the newest ``keep`` (at least one); returns their names. A version
+    that was never published is left alone: a writer may be at work on it. Readers of a retired version fail, so
+    ``keep`` covers the longest read."""
+    if keep < 1:
+        raise ValueError("keep is at least 1")
+    log = published_versions(spark, path)
+    if log is None:
+        return []
+    names = [r.version for r in log.orderBy(F.desc("published_at"), F.desc("version")).select("version").collect()]
+    kept = set(names[:keep])
+    gone = []
+    for name in dict.fromkeys(n for n in names[keep:] if n not in kept):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/{name}")
+        if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True):
+            gone.append(name)
+    return gone
+
+
 def write_table(df: DataFrame, path: str, schema: StructType | None = None, table: str | None = None,
                 sort_by: list[str] | None = None, partition_by: list[str] | None = None,
                 allow_schema_change: bool = False) -> DataFrame:
