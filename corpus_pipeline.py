@@ -28,9 +28,10 @@ LEAST_LANGUAGE_SCORE = 0.05
 SLICE_BYTES = 1 << 20
 
 
-def _hidden(docs: DataFrame) -> DataFrame:
-    """``docs`` with columns ``_doc0`` on and the text as ``text``: names that no operator adds."""
-    return docs.select(*[F.col(f"`{c}`").alias(f"_doc{i}") for i, c in enumerate(docs.columns)], F.col("text"))
+def _hidden(docs: DataFrame) -> tuple[DataFrame, list[str], str]:
+    """``docs`` with columns ``_doc0`` on, names that no operator adds; these names; the one of the text."""
+    names = [f"_doc{i}" for i in range(len(docs.columns))]
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)]), names, names[docs.columns.index("text")]
 
 
 def _shown(judged: DataFrame, docs: DataFrame) -> DataFrame:
@@ -41,7 +42,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Keeps the documents in a learned language; null, empty and letterless texts go. Learned
     from the rows of ``docs`` with a language that are not held out; predicted for all. Repeated rows are judged one by one; columns of
     any other name come through."""
-    judged = identify_language(_hidden(docs), language_model(docs), [f"_doc{i}" for i in range(len(docs.columns))])
+    rows, names, text = _hidden(docs)
+    judged = identify_language(rows, language_model(docs), names, text)
     return _shown(judged.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs)
 
 
@@ -50,7 +52,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts are no likelier toxic than texts are; repeated rows are judged one by one; a null id has no label. Columns of any
     other name come through."""
     model = toxicity_model(docs, read(spark, sf_dir, "labels"))
-    judged = score_toxicity(_hidden(docs), model, [f"_doc{i}" for i in range(len(docs.columns))], slice_bytes=SLICE_BYTES)
+    rows, names, text = _hidden(docs)
+    judged = score_toxicity(rows, model, names, text, slice_bytes=SLICE_BYTES)
     return _shown(judged.filter("predicted = 0"), docs)
 
 

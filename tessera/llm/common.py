@@ -77,6 +77,16 @@ def map_text(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.Recor
     return df.mapInArrow(run, schema)
 
 
+def with_text(df: DataFrame, id_cols: list[str], text_col: str) -> tuple[DataFrame, list[str], str]:
+    """(the id columns and the text under names of their own, the names of the id columns, the name of the text).
+    A text that is one of the id columns goes to the workers once."""
+    names = [f"_id{i}" for i in range(len(id_cols))]
+    ids = [F.col(c).alias(n) for c, n in zip(id_cols, names, strict=True)]
+    if text_col in id_cols:
+        return df.select(*ids), names, names[id_cols.index(text_col)]
+    return df.select(*ids, F.col(text_col).alias("text")), names, "text"
+
+
 def give_back() -> None:
     """Return a worker's free memory to the system: Spark keeps workers, and the next task may need other sizes."""
     gc.collect()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_text, mix64, sample_by, texts
+from tessera.llm.common import map_text, mix64, sample_by, texts, with_text
 
 UNDETERMINED = "und"
 SIZES = (2, 3, 4)
@@ -209,18 +209,17 @@ def identify_language(df: DataFrame, model: LanguageFilter, id_cols: list[str],
     Null, empty and letterless texts are ``und`` with score 0. A text none of whose
     n-grams is known goes to the first language with score 0. Repeated rows are judged
     one by one; other columns are ignored."""
-    names = [f"_id{i}" for i in range(len(id_cols))]
-    rows = df.select(*[F.col(c).alias(n) for c, n in zip(id_cols, names, strict=True)], F.col(text_col).alias("text"))
+    rows, names, text = with_text(df, id_cols, text_col)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
     def task():
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
-            langs, score, n = model.predict(texts(b.column("text")))
+            langs, score, n = model.predict(texts(b.column(text)))
             return pa.RecordBatch.from_arrays(
                 [b.column(x) for x in names] + [pa.array(langs, pa.string()), pa.array(score), pa.array(n)],
                 [*names, "lang_pred", "score", "n_grams"])
         return one
 
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", lang_pred string, score double, n_grams long"
-    out = map_text(rows, task, schema, size=2 * SLICE)
+    out = map_text(rows, task, schema, column=text, size=2 * SLICE)
     return out.select(*[F.col(n).alias(c) for c, n in zip(id_cols, names, strict=True)], "lang_pred", "score", "n_grams")

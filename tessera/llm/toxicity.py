@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import CHUNK_BYTES, cut, map_text, sample_by, texts
+from tessera.llm.common import CHUNK_BYTES, cut, map_text, sample_by, texts, with_text
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
@@ -203,18 +203,17 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_cols: list[str], text
     """``id_cols`` plus score double (0 to 1, higher: likelier toxic) and predicted int (1 if
     score >= threshold) for every row. A null text counts as empty and gets the score of a
     text without features. Repeated rows are judged one by one; other columns are ignored."""
-    names = [f"_id{i}" for i in range(len(id_cols))]
-    rows = df.select(*[F.col(c).alias(n) for c, n in zip(id_cols, names, strict=True)], F.col(text_col).alias("text"))
+    rows, names, text = with_text(df, id_cols, text_col)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
     def task():
         memo = model.featurizer()
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
-            s = model.score([memo.of(t) for t in texts(b.column("text"))])
+            s = model.score([memo.of(t) for t in texts(b.column(text))])
             return pa.RecordBatch.from_arrays([b.column(x) for x in names] + [pa.array(s, pa.float64())], [*names, "score"])
         return one
 
-    out = map_text(rows, task, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", score double", size=slice_bytes)
+    out = map_text(rows, task, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", score double", column=text, size=slice_bytes)
     return out.select(*[F.col(n).alias(c) for c, n in zip(id_cols, names, strict=True)], "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
