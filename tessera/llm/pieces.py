@@ -2,7 +2,7 @@
 
 A text is normalised by the model's compiled character map: at each position the longest
 key of the map that starts there is replaced, and the source position of every normalised
-byte is recorded. The normalised text is cut where the model can have no piece across
+byte is recorded (for a model whose map is empty, for a batch of texts at once). The normalised text is cut where the model can have no piece across
 (before a space mark that follows another character), each distinct segment is encoded
 once with the sentencepiece library, and the pieces are projected through the recorded
 alignment to spans of the original bytes.
@@ -122,6 +122,25 @@ class Normalizer:
             del out[-len(space):], src[len(out):]
         return bytes(out), np.array([*src, end], dtype=np.int64)
 
+    def normalize_plain(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``normalize`` of all texts at once, if ``is_plain``: (normalised bytes in a row, end of each text in them, source
+        position of each within its own text, source bytes of each text). The batch holds no null."""
+        offsets = np.frombuffer(batch.buffers()[1], dtype=np.int32)[batch.offset:batch.offset + len(batch) + 1].astype(np.int64)
+        data = batch.buffers()[2]
+        raw = np.frombuffer(data, dtype=np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+        sizes, starts = np.diff(offsets), offsets[:-1] - offsets[0]
+        src = np.arange(len(raw), dtype=np.int64) - np.repeat(starts, sizes)
+        full = starts[sizes > 0]  # each of these gets the space before the text
+        raw, src = np.insert(raw, full, 0x20), np.insert(src, full, 0)
+        marks = raw == 0x20
+        taken = np.where(marks, len(MARK), 1)
+        after = np.cumsum(taken)
+        norm = np.repeat(raw, taken)
+        for i, b in enumerate(MARK):
+            norm[after[marks] - len(MARK) + i] = b
+        ends = np.concatenate([[0], after])[np.cumsum(sizes + (sizes > 0))]
+        return norm, ends, np.repeat(src, taken), sizes
+
 
 class PieceCodec:
     """Encoding and decoding with one model file."""
@@ -143,6 +162,9 @@ class PieceCodec:
         self.surface = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(SPACE, " ").encode()
                         for p, k in zip(names, self.kinds, strict=True)]
         self.bytes, self.byte_start, self.byte_size = table(self.surface, "u1")
+        #: What a piece takes of the normalised text.
+        spelled = [s if k == BYTE else p.encode() for s, p, k in zip(self.surface, names, self.kinds, strict=True)]
+        self.spelled, self.spelled_start, self.spelled_size = table(spelled, "u1")
         self.memo = Memo(MEMO)
 
     # -- encoding ---------------------------------------------------------------------------
@@ -191,26 +213,24 @@ class PieceCodec:
         return ids, ends, self.byte_size[ids]
 
     def spans(self, batch: pa.Array, ids: np.ndarray, ends: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(begin, end) of every id in the bytes of its own text. Where the map leaves text as it is, a
-        piece takes as many source bytes as it spells, but for the first mark, which has no source, and
-        for marks that are in the text as such (3 bytes)."""
+        """(begin, end) of every id in the bytes of its own text: the pieces are laid along the normalised
+        text, and where each begins and ends goes through the recorded alignment."""
         clean = pc.fill_null(batch.cast(pa.string()), "")
         starts = np.concatenate([[0], ends[:-1]])
-        begin, end = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-        sums = np.cumsum(width)
-        if self.by_segment:
-            row = np.repeat(np.arange(len(ends)), ends - starts)
-            before = np.concatenate([[0], sums])[starts]
-            end = sums - before[row] - 1
-            begin = np.maximum(end - width, 0)
-            redo = np.flatnonzero(pc.match_substring(clean, SPACE).to_numpy(zero_copy_only=False))
-        else:
-            redo = np.arange(len(ends))
-        for i in redo.tolist():
-            got = self.encode_one(clean[i].as_py())[1]
-            begin[starts[i]:ends[i]] = [a for a, _ in got]
-            end[starts[i]:ends[i]] = [b for _, b in got]
-        return begin, end
+        if not self.by_segment:
+            begin, end = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            for i in range(len(ends)):
+                got = self.encode_one(clean[i].as_py())[1]
+                begin[starts[i]:ends[i]] = [a for a, _ in got]
+                end[starts[i]:ends[i]] = [b for _, b in got]
+            return begin, end
+        norm, norm_ends, src, sizes = self.normalizer.normalize_plain(clean)
+        spelled, at = lay_out(self.spelled, self.spelled_start, self.spelled_size, ids)
+        if not (np.array_equal(np.concatenate([[0], at])[ends], norm_ends) and np.array_equal(spelled, norm)):
+            raise ValueError("the pieces do not spell the normalised text")
+        row = np.repeat(np.arange(len(ends)), ends - starts)
+        end = np.where(at == norm_ends[row], sizes[row], np.append(src, 0)[at])
+        return src[at - self.spelled_size[ids]], end
 
     # -- decoding ---------------------------------------------------------------------------
 

@@ -66,10 +66,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = encode_pieces(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), spans=False, decoded=True)
+    out = encode_pieces(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), decoded=True)
+    spans = F.concat_ws(";", *[F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("begins", "ends")])
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                      F.sha2("decoded", 256).alias("decoded_sha256"))
+                      F.sha2("decoded", 256).alias("decoded_sha256"), F.sha2(spans, 256).alias("spans_sha256"))
 
 
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

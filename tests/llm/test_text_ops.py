@@ -218,6 +218,34 @@ def test_spans_of_a_marked_text_follow_the_alignment():
     assert list(zip(begin.tolist(), end.tolist(), strict=True)) == c.encode_one("a▁b  c")[1]
 
 
+def test_alignment_of_a_batch_is_that_of_each_text():
+    c = pieces.PieceCodec(tokenizer_file("piece_bpe_32k.model"))
+    batch = pa.array(["cut off", *ODD, None, "▁ ▁x "])[1:]
+    norm, stops, src, sizes = c.normalizer.normalize_plain(batch.fill_null(""))
+    ids, ends, width = c.encode(batch)
+    begin, end = c.spans(batch, ids, ends, width)
+    for i, t in enumerate(batch.to_pylist()):
+        a, z = [0, *stops][i], stops[i]
+        alone, where = c.normalizer.normalize((t or "").encode())
+        assert (norm[a:z].tobytes(), [*src[a:z], sizes[i]]) == (alone, where.tolist())
+        a, z = [0, *ends][i], ends[i]
+        assert list(zip(begin[a:z].tolist(), end[a:z].tolist(), strict=True)) == c.encode_one(t or "")[1]
+
+
+def test_op4_returns_a_digest_of_the_spans(spark, tmp_path):
+    import hashlib
+    from tessera.llm.queries import queries
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(50, None)]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    c = pieces.PieceCodec(tokenizer_file("piece_bpe_32k.model"))
+    want = {}
+    for d, t in rows:
+        begin, end = ([str(s[k]) for s in c.encode_one(t or "")[1]] for k in (0, 1))
+        want[d] = hashlib.sha256(f"{','.join(begin)};{','.join(end)}".encode()).hexdigest()
+    got = queries()["op4_sentencepiece"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.spans_sha256 for r in got} == want and len(got) == len(rows)
+
+
 # ---------------------------------------------------------------- op9
 def test_nnpu_learns_from_positives_and_unlabelled():
     rng = random.Random(3)
