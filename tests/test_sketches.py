@@ -63,3 +63,13 @@ def test_nulls_empty_tables_and_numbers_that_are_none(spark):
     assert got["v"].approx_distinct == 3 and got["w"].approx_quantiles == [2.5, 2.5] and got["w"].blanks == 1
     by_month = merge_parts(sketch_parts(odd, "t", F.col("_source_file")), by=("table", "part", "column"))
     assert by_month.count() == 6
+
+
+def test_every_text_that_casts_to_a_number_passes_the_guard(spark):
+    from tessera.operators.sketches import NUMERIC
+    texts = ["1", "-1.5", "+.5", "5.", "1e5", "1E-3", " 7 ", "\t8\n", "NaN", "nan", "-inf", "Infinity", "+INFINITY", "1.0f", "1D", "0x1p3", "0X1.8P-1",
+             "+NaN", "o123", "2001-08-02 00:00:00", "", " ", "1 2", "e5", ".", "1e", "--1", "delivered", "12a", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", F.col("t").try_cast("double").alias("d"), F.col("t").rlike(NUMERIC).alias("ok")).collect()
+    assert [r.t for r in got if r.d is not None and not r.ok] == []
+    assert [r.t for r in got if r.t is not None and r.d is None and r.ok] == []
