@@ -95,3 +95,13 @@ def test_campaign_targets_has_both_groups(spark):
             want.add((p, days))
     assert {(r.customer_unique_id, r.days_since_delivery) for r in got} == want and len(got) >= 8
     assert {r.campaign_group for r in got} == {"holdout", "treatment"}
+
+
+def test_packed_keys_stay_different_and_are_half_as_long(spark):
+    from pyspark.sql import functions as F
+    from tessera.plans.analytics import _packed
+    sha = "ab" * 32
+    texts = [sha, sha.upper(), sha[:-1], bytes.fromhex(sha).decode("latin-1"), "A" * 32, "\x00" * 32, "", "c1", "C1", "x"]
+    got = spark.createDataFrame([(t,) for t in texts], "k string").select(_packed("k").alias("p"), F.length(_packed("k")).alias("n")).collect()
+    assert len({bytes(r.p) for r in got}) == len(texts) and got[0].n == 32 and all(r.n != 32 for r in got[1:])
+    assert spark.createDataFrame([(None,)], "k string").select(_packed("k").alias("p")).first().p is None
