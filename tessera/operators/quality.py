@@ -109,21 +109,22 @@ def fk_check(child: DataFrame, child_col: str, parent: DataFrame, parent_col: st
 
     NULL child values are not orphans. The child is reduced to
     (value, rows) before meeting the parent's distinct values, so the join
-    is between two duplicate-free sets.
+    is between two duplicate-free sets. NULLs are left out by the last aggregate: a filter
+    would reach the child's scan, and a child of several parents would be worked out
+    once for each, as its shuffles would not be the same any more.
     """
-    present = child.filter(F.col(child_col).isNotNull())
-    return fk_report(count_rows(present, [child_col]), child_col, parent.select(parent_col).distinct(), parent_col,
+    return fk_report(count_rows(child, [child_col]), child_col, parent.select(parent_col).distinct(), parent_col,
                      child_name or "child", parent_name or "parent")
 
 
 def fk_report(child_counts: DataFrame, child_col: str, parent_keys: DataFrame, parent_col: str,
               child_name: str, parent_name: str) -> DataFrame:
     """The row of ``fk_check`` from the child's ``count_rows`` and the parent's distinct keys."""
-    c = child_counts.select(F.col(child_col).alias("k"), "rows").filter(F.col("k").isNotNull())
+    c = child_counts.select(F.col(child_col).alias("k"), "rows")
     p = parent_keys.select(F.col(parent_col).alias("k")).withColumn("_hit", F.lit(True))
-    orphan = F.col("_hit").isNull()
+    orphan = F.col("_hit").isNull() & F.col("k").isNotNull()
     return c.join(p, "k", "left").agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("child_rows"),
+        F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("rows"))), F.lit(0)).alias("child_rows"),
         F.coalesce(F.sum(F.when(orphan, F.col("rows"))), F.lit(0)).alias("orphan_rows"),
         F.count_if(orphan).alias("distinct_orphan_values"),
     ).select(F.lit(f"{child_name}.{child_col}").alias("child"), F.lit(f"{parent_name}.{parent_col}").alias("parent"),

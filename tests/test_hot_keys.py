@@ -52,3 +52,14 @@ def test_fk_check_hot_child_key(spark, skewed):
     r = Q.fk_check(df, "k", parent, "k", "c", "p").first()
     orphans = [x for x in rows if x[0] not in {"hot", "k1", "k2"}]
     assert (r.child_rows, r.orphan_rows, r.distinct_orphan_values) == (3000, len(orphans), len({x[0] for x in orphans}))
+
+
+def test_a_child_of_two_parents_is_worked_out_once(spark):
+    child = dedupe(spark.range(300).selectExpr("if(id % 7 = 0, NULL, id % 50) AS a", "if(id % 5 = 0, NULL, id % 40) AS b", "id AS n"), ["a", "b"])
+    one, two = spark.range(45).toDF("a"), spark.range(30).toDF("b")
+    report = Q.union_all([Q.fk_check(child, "a", one, "a", "c", "one"), Q.fk_check(child, "b", two, "b", "c", "two")])
+    rows = {(None if i % 7 == 0 else i % 50, None if i % 5 == 0 else i % 40) for i in range(300)}
+    a, b = [x for x, _ in rows if x is not None], [y for _, y in rows if y is not None]
+    assert [tuple(r)[2:] for r in report.collect()] == [
+        (len(a), sum(x >= 45 for x in a), len({x for x in a if x >= 45})), (len(b), sum(y >= 30 for y in b), len({y for y in b if y >= 30}))]
+    assert "ReusedExchange" in report._jdf.queryExecution().executedPlan().toString()
