@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.quality import count_rows, fk_report, pk_report
+from tessera.sources.sinks import STORED
 
 BUCKETS = 64
 
@@ -30,7 +31,7 @@ class KeyCounts:
         at = (table, *keys)
         if at not in self._tables:
             name = f"key_counts_{uuid.uuid4().hex}"
-            (count_rows(df, keys).repartition(self.buckets, *keys).write.format("parquet").option("path", f"{self.base}/{name}")
+            (count_rows(df, keys).repartition(self.buckets, *keys).write.format("parquet").options(**STORED, path=f"{self.base}/{name}")
              .bucketBy(self.buckets, *keys).sortBy(*keys).saveAsTable(name))
             self._tables[at] = name
         return self.spark.table(self._tables[at])

@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from tessera.operators import gold as G
 from tessera.operators.quality import assert_keys, assert_reconciled, reconcile_layers, reconcile_rows
 from tessera.plans.profiling import CONSTRAINT_REPORTS
-from tessera.plans.tables import SILVER_INPUTS
+from tessera.plans.tables import GOLD_INPUTS, SILVER_INPUTS
 from tessera.sources.schemas import GOLD_ORDER, SCHEMAS, SILVER_ORDER
 from tessera.sources.sinks import publish_run, register_tables, stage_table, write_table
 
 # fact tables are clustered on the purchase date (pruning for date filters)
-SORT_BY = {"fact_order": ["purchase_date_key"], "fact_order_item": ["purchase_date_key"],
+# (an order's lines stay together: they share its long keys)
+SORT_BY = {"fact_order": ["purchase_date_key"], "fact_order_item": ["purchase_date_key", "order_id"],
            "orders": ["purchased_at"], "order_items": ["order_id"]}
 
 
@@ -35,10 +36,12 @@ def land_bronze(bronze: dict[str, DataFrame], base: str,
 
 
 def build_silver_layer(bronze: dict[str, DataFrame], base: str, staged: dict[str, str],
-                       timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
-    """New, unpublished versions; ``staged`` gets path -> version."""
+                       timings: dict[str, float] | None = None, wanted: set[str] | None = None) -> dict[str, DataFrame]:
+    """New, unpublished versions (of the ``wanted`` tables); ``staged`` gets path -> version."""
     silver = {}
     for name in SILVER_ORDER:
+        if wanted is not None and name not in wanted:
+            continue
         t0 = time.time()
         fn, inputs = SILVER_INPUTS[name]
         path = f"{base}/silver/{name}"
@@ -49,8 +52,9 @@ def build_silver_layer(bronze: dict[str, DataFrame], base: str, staged: dict[str
     return silver
 
 
-def build_gold_layer(silver: dict[str, DataFrame], base: str, staged: dict[str, str],
-                     timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
+def build_gold_layer(silver: dict[str, DataFrame], base: str, staged: dict[str, str], timings: dict[str, float] | None = None,
+                     wanted: set[str] | None = None, known: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """As ``build_silver_layer``; ``known`` gold tables were written before."""
     s = silver
     builders = {
         "dim_date": lambda g: G.build_dim_date(s["orders"]),
@@ -66,15 +70,38 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str, staged: dict[str,
     }
     gold: dict[str, DataFrame] = {}
     for name in GOLD_ORDER:
+        if wanted is not None and name not in wanted:
+            continue
         t0 = time.time()
         path = f"{base}/gold/{name}"
-        gold[name], staged[path] = stage_table(builders[name](gold), path, schema=SCHEMAS[name], table=name,
+        gold[name], staged[path] = stage_table(builders[name]((known or {}) | gold), path, schema=SCHEMAS[name], table=name,
                                                sort_by=SORT_BY.get(name))
         if timings is not None:
             timings[name] = time.time() - t0
     return gold
 
 
+def with_inputs(names: set[str]) -> set[str]:
+    """Silver and gold tables, and those that they are built from."""
+    out = set(names)
+    while more := {i.split(":")[1] for n in out & GOLD_INPUTS.keys() for i in GOLD_INPUTS[n][1]} - out:
+        out |= more
+    return out
+
+
+def build_tables(bronze: dict[str, DataFrame], base: str, names: set[str], known: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write some tables, and what they are built from, as a run of their own; tables that are ``known`` are written already
+    and are read. Returns the new ones."""
+    wanted = with_inputs(names) - known.keys()
+    if not wanted:
+        return {}
+    staged: dict[str, str] = {}
+    silver = build_silver_layer(bronze, base, staged, wanted=wanted)
+    gold = build_gold_layer(known | silver, base, staged, wanted=wanted, known=known)
+    publish_run(next(iter(bronze.values())).sparkSession, base, staged)
+    return silver | gold
+
+
 def run_pipeline(bronze: dict[str, DataFrame], base: str, reconcile: bool = True, check_keys: bool = True,
                  register: bool = False,
                  timings: dict[str, float] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:

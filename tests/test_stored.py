@@ -130,3 +130,27 @@ def test_spellings_are_counted_without_an_expand_over_the_points(spark):
     got = domain_check(df, "lat", "lng", (0, 10, 0, 10), "city", "state")
     assert got.first()[:] == (2, 3, 2, 2) and "Expand" not in plan(got)
     assert domain_check(df.limit(0), "lat", "lng", (0, 10, 0, 10), "city", "state").first()[:] == (0, 0, 0, 0)
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_a_table_is_written_when_it_is_asked_for(spark):
+    from tessera.plans.stored import Stored
+    s = Stored(spark, SMALL)
+    assert set(s.need("dim_date")) == {"orders", "dim_date"}
+    first = s.tables["orders"].inputFiles()
+    facts = s.need("fact_order")
+    assert set(facts) == {"orders", "dim_date", "customers", "order_items", "order_payments", "order_reviews", "reviews", "fact_order"}
+    assert s.tables["orders"].inputFiles() == first and current_version(spark, f"{s.base}/gold/fact_order") is not None
+    assert facts["fact_order"].count() == facts["orders"].count() > 0
+
+
+def test_stored_tables_are_written_small(spark, base):
+    key = F.sha2(F.col("id").cast("string"), 256).alias("k")
+    rows = spark.range(20_000).select(key)
+    rows.write.parquet(f"{base}/plain")
+    size = {n: sum(r.length for r in spark.read.format("binaryFile").load(p).select("length").collect())
+            for n, p in (("plain", f"{base}/plain/*.parquet"), ("stored", f"{base}/t/k/versions/*/*.parquet"))
+            if n == "plain" or write_table(rows, f"{base}/t/k").count() == 20_000}
+    assert size["stored"] < 0.6 * size["plain"]
