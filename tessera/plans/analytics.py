@@ -23,6 +23,7 @@ from tessera.functions.columns import (
 )
 from tessera.operators.percentile import exact_percentile
 from tessera.operators.sequence import order_sequence
+from tessera.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -329,6 +330,8 @@ def one_time_buyers(dim_customer: DataFrame, p: Params = DEFAULT) -> DataFrame:
     The median is a scalar subquery over the distributed exact percentile."""
     one = dim_customer.filter(F.col("lifetime_fulfilled_orders") == 1).select(
         "lifetime_revenue", F.datediff(F.lit(p.as_of).cast("date"), "last_order_at").alias("days_since_order"))
+    checkpoint_dir(one.sparkSession)
+    one = one.checkpoint()  # read by the median and by the report: worked out once
     # revenue has unbounded distinct values: distributed exact median
     median = exact_percentile(one, "lifetime_revenue", 0.5, alias="m").scalar()
     d = F.col("days_since_order")
