@@ -117,3 +117,28 @@ def test_tolerance_is_taken_as_given(spark):
     b = spark.createDataFrame([("1", 10.002), ("2", 300.0)], "k string, y double").selectExpr("k", "cast(y as decimal(12,3)) y")
     count = {t: value_reconciliation(a, b, "k", "x", "y", tolerance=t).first().match for t in (0.001, 0.01, 1000)}
     assert count == {0.001: 0, 0.01: 1, 1000: 2}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reconcile_works_out_fact_order_once(spark):
+    mk = spark.createDataFrame
+    fo = mk([("o1", D("10.00"), D("12.00"), True), ("o2", D("1.00"), D("2.00"), False), (None, D("4.00"), D("5.00"), None)],
+            "order_id string, item_value decimal(12,2), order_value decimal(12,2), is_fulfilled boolean")
+    fi = mk([("o1", D("15.00"))], "order_id string, item_value decimal(12,2)")
+    dc = mk([(D("12.00"),)], "lifetime_revenue decimal(12,2)")
+    items = mk([("o1", D("10.00")), (None, D("5.00"))], "order_id string, price decimal(10,2)")
+    checks = Q.reconcile_layers({"order_items": items}, {"fact_order": fo, "fact_order_item": fi, "dim_customer": dc})
+    assert [tuple(r) for r in checks.select("gold_order", "gold_item", "silver_source", "ok").collect()] == [
+        (D("15.00"), D("15.00"), D("15.00"), True), (D("12.00"), D("12.00"), None, True)]
+    one = Q.reconcile_layers({"order_items": items}, {"fact_order": fo.withColumn("item_value", F.col("item_value") + D("0.01")), "fact_order_item": fi,
+                                                      "dim_customer": dc})
+    assert "Filter is_fulfilled" not in _plan(one)
+
+
+def test_in_parts_keeps_all_rows(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), (None, "y"), ("b", None), (None, None)], "k string, v string")
+    for keys in (["k"], ["k", "v"], ["k", "other"], ["other"]):
+        assert sorted(map(str, Q.in_parts(df, keys).collect())) == sorted(map(str, df.collect()))
