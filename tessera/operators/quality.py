@@ -256,8 +256,9 @@ def profile_columns(df: DataFrame, table: str, approx: bool = True, rsd: float =
     (``approx_distinct``, relative SD ``rsd``; a few KB per column at any
     scale), unpivoted with ``inline``.
     ``approx=False``: exact ``distinct_values``. Cells are unpivoted to
-    (column, value) and grouped by column, so the one distinct count is a
-    plain two-phase aggregate; N distinct counts in one wide aggregate
+    (column, value) and counted, and the counts of the distinct values are
+    summed by column: only a value and one count are shuffled, and lengths are
+    taken of distinct values. N distinct counts in one wide aggregate
     would be rewritten into an Expand of N rows x N columns per input row.
     """
     cols = source_columns(df)
@@ -265,10 +266,15 @@ def profile_columns(df: DataFrame, table: str, approx: bool = True, rsd: float =
         cells = df.select(F.explode(F.array(*[
             F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)
         ])).alias("c")).select("c.i", "c.v")
-        v = F.col("v")
-        per_col = cells.groupBy("i").agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"),
-            F.count_if(F.trim(v) == "").alias("blanks"), F.count_distinct(v).alias("distinct_values"),
+        v, n = F.col("v"), F.col("n")
+        values = cells.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+
+        def rows_where(cond: Column) -> Column:
+            return F.sum(F.when(cond, n).otherwise(F.lit(0)))
+
+        per_col = values.groupBy("i").agg(
+            F.sum("n").alias("rows"), rows_where(v.isNull()).alias("nulls"),
+            rows_where(F.trim(v) == "").alias("blanks"), F.count("v").alias("distinct_values"),
             F.min(F.length(v)).alias("min_len"), F.max(F.length(v)).alias("max_len"))
         name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1)
         return per_col.select(F.lit(table).alias("table"), name.alias("column"), "rows", "nulls", "blanks",

@@ -142,3 +142,10 @@ def test_in_parts_keeps_all_rows(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), (None, "y"), ("b", None), (None, None)], "k string, v string")
     for keys in (["k"], ["k", "v"], ["k", "other"], ["other"]):
         assert sorted(map(str, Q.in_parts(df, keys).collect())) == sorted(map(str, df.collect()))
+
+
+def test_exact_profile_shuffles_a_value_and_one_count(spark):
+    df = spark.createDataFrame([(v,) for v in ["a", "a", " ", None, None, "abc"]], "v string")
+    got = Q.profile_columns(df, "t", approx=False)
+    assert tuple(got.first()) == ("t", "v", 6, 2, 1, 3, 1, 3)
+    assert "distinct" not in _plan(got).replace("distinct_values", "")
