@@ -22,8 +22,10 @@ Candidates are not expanded into all pairs of a large group of a key:
    rarer tokens before the key. Parity bits of the sets rule out pairs that differ in too many
    bits. Of what is left the likeliest pair of every node is verified, which gives components;
 2. of the others those whose components still differ are verified; pairs within a component need no test;
-3. in large groups of several components each node meets those of other components. Short
-   parities, 1024 or 256 bits, are part of this last join, so that it makes few pairs that cannot link.
+3. in large groups of several components each node meets those of other components. The groups of
+   pairs with one first token are joined, where that makes fewer pairs, so that nodes with many pairs in
+   common come up once a token. Short parities, 1024, 512 or 256 bits, are part of this last join, so
+   that it makes few pairs that cannot link.
 
 The filters only leave out what cannot link.
 
@@ -121,9 +123,15 @@ class FrequentTokens:
 
 def index_keys(s: np.ndarray, frequent: FrequentTokens, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys, position of each key's first token) of a set."""
+    return keys_and_heads(s, frequent, percent)[:2]
+
+
+def keys_and_heads(s: np.ndarray, frequent: FrequentTokens, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """(keys, position of each key's first token, the token at every position) of a set; None for the tokens if
+    every key is its first token."""
     n = len(s)
     if 100 * n < percent * (n + 1):  # one token more is too many: only an equal set can link
-        return s[:0], np.zeros(0, np.int32)
+        return s[:0], np.zeros(0, np.int32), None
     need = -(-percent * n // 100)
     rare, often = frequent.split(s)
     single, double = 100 * n >= percent * LONG, percent * n <= 100 * LONG
@@ -138,7 +146,8 @@ def index_keys(s: np.ndarray, frequent: FrequentTokens, percent: int) -> tuple[n
         f = often[:long - len(rare)]
         i, j = np.triu_indices(len(f), 1)
         keys.append(mix64(f[i] * _A + f[j])), at.append(len(rare) + i)
-    return np.concatenate(keys), np.concatenate(at).astype(np.int32)
+    heads = np.concatenate([rare, often])[:long] if double else None
+    return np.concatenate(keys), np.concatenate(at).astype(np.int32), heads
 
 
 def frequent_tokens(docs: DataFrame, size: int) -> FrequentTokens:
@@ -246,26 +255,28 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
         seen: set[int] = set()
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
-            n, node, keys, at, bits = [], [], [], [], []
+            n, node, keys, at, heads, bits = [], [], [], [], [], []
             for s in shingle_sets(b.column("text"), size):
                 d = digest(s)
                 n.append(len(s)), node.append(d)
                 if d is None or d in seen:  # equal sets have equal keys: once a task is enough
-                    keys.append(None), at.append(None), bits.append(None)
+                    keys.append(None), at.append(None), heads.append(None), bits.append(None)
                 else:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(d)
-                    k, p = index_keys(s, frequent, percent)
+                    k, p, h = keys_and_heads(s, frequent, percent)
                     keys.append(k.view(np.int64)), at.append(p), bits.append(parity(s))
+                    heads.append(None if h is None else h.view(np.int64))
             return pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(at, pa.list_(pa.int32())), pa.array(bits, pa.binary()), *[b.column(c) for c in marked]],
-                ["id", "n", "node", "keys", "at", "bits", *marked])
+                 pa.array(at, pa.list_(pa.int32())), pa.array(heads, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
+                 *[b.column(c) for c in marked]],
+                ["id", "n", "node", "keys", "at", "heads", "bits", *marked])
         return one
 
     path = scratch_path(spark, f"ngram-{uuid.uuid4().hex[:12]}")
-    map_text(docs, index, f"id {kind}, n long, node long, keys array<long>, at array<int>, bits binary" + ", mark binary" * len(marked), size=SLICE).write.parquet(f"{path}/index")
+    map_text(docs, index, f"id {kind}, n long, node long, keys array<long>, at array<int>, heads array<long>, bits binary" + ", mark binary" * len(marked), size=SLICE).write.parquet(f"{path}/index")
     stored = spark.read.parquet(f"{path}/index")
     nodes = stored.select("id", "n", "node", *marked)
 
@@ -324,16 +335,16 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
         comp = connected(links)
 
     # 3. in large groups of several components all nodes that are still apart
-    named = cut(large.distinct().join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp")))
-    apart = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-        F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "main")
-    open_rows = named.join(apart, "key")
+    named = _gathered(large, stored, comp)
+    apart = named.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("group").agg(
+        F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("group", "main")
+    open_rows = named.join(apart, "group")
     open_rows = open_rows.join(_short_marks(marks, open_rows.select("node").distinct()), "node")
     # of two nodes in different components of a group at least one is outside the largest
-    x = open_rows.filter("comp <> main").select("key", *[col(c).alias(f"x_{c}") for c in OPEN])
-    y = open_rows.select("key", "main", *[col(c).alias(f"y_{c}") for c in OPEN])
-    more = (x.join(y, "key").filter((col("x_comp") != col("y_comp")) & ((col("y_comp") == col("main")) | (col("x_node") < col("y_node")))
-                                    & may_link(col("x_n"), col("x_at"), col("y_n"), col("y_at")) & _short_may_overlap(percent))
+    x = open_rows.filter("comp <> main").select("group", *[col(c).alias(f"x_{c}") for c in OPEN])
+    y = open_rows.select("group", "main", *[col(c).alias(f"y_{c}") for c in OPEN])
+    more = (x.join(y, "group").filter((col("x_comp") != col("y_comp")) & ((col("y_comp") == col("main")) | (col("x_node") < col("y_node")))
+                                      & may_link(col("x_n"), col("x_at"), col("y_n"), col("y_at")) & _short_may_overlap(percent))
             .select(*ordered("x_node", "y_node")).distinct())
     more = _may_overlap(more, marks, percent).select("a", "b").join(likely.unionByName(rest), ["a", "b"], "left_anti")
     more = cut(more)
@@ -343,7 +354,27 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     return nodes, comp
 
 
-OPEN = ("node", "n", "at", "comp", "short", "shortest")  # what a node brings to its large groups
+def _gathered(large: DataFrame, stored: DataFrame, comp: DataFrame) -> DataFrame:
+    """(group, node, n, at, comp): the rows by which the nodes of large groups (key, node, n, at) meet. The pair keys of a set
+    that start with one token are one group, named by that token, unless their own groups hold fewer pairs. Two linked
+    nodes have the same first token in the first key that they share, at the positions which that key has."""
+    large = large.distinct()
+    spots = large.groupBy("node", "at").agg(F.first("n").alias("n"), F.min("key").alias("key"))
+    heads = (stored.filter(F.col("bits").isNotNull()).select("node", "heads").join(spots.select("node").distinct(), "node", "left_semi")
+             .groupBy("node").agg(F.first("heads").alias("heads")))
+    spots = spots.join(heads, "node").select("node", "n", "at", F.coalesce(F.get("heads", F.col("at").cast("int")), "key").alias("token"))
+    spots = cut(spots.join(comp, "node", "left").select("token", "node", "n", "at", F.coalesce("comp", "node").alias("comp")))
+    keys = large.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "at")).alias("one"))
+    keys = cut(keys.select("key", "size", "one.node", "one.at").join(spots.select("node", "at", "token"), ["node", "at"]).select("key", "size", "token"))
+    wide = (spots.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+            .join(keys.groupBy("token").agg(F.sum(F.col("size") * F.col("size")).alias("meets")), "token")
+            .filter("size * size > meets").select("token"))
+    by_key = large.join(keys.join(wide, "token").select("key"), "key").join(comp, "node", "left").select(
+        F.col("key").alias("group"), "node", "n", "at", F.coalesce("comp", "node").alias("comp"))
+    return cut(spots.join(wide, "token", "left_anti").withColumnRenamed("token", "group").unionByName(by_key))
+
+
+OPEN = ("node", "n", "at", "comp", "short", "shorter", "shortest")  # what a node brings to its large groups
 
 
 def folded(bits: np.ndarray, size: int) -> np.ndarray:
@@ -352,15 +383,14 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def _short_marks(marks: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, short, shortest): the parity bits of the wanted nodes as 16 (null for small sets) and 4 LONGs."""
+    """(node, short, shorter, shortest): the parity bits of the wanted nodes as 16, 8 (null for small sets) and 4 LONGs."""
     def run(batches):
         for b in batches:
             bits = [np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in b.column("bits")]
-            short, shortest = ([folded(x, size).view("<i8") if len(x) >= size else None for x in bits] for size in (128, 32))
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(short, kind), pa.array(shortest, kind)], ["node", "short", "shortest"])
+            short = [pa.array([folded(x, size).view("<i8") if len(x) >= size else None for x in bits], pa.list_(pa.int64())) for size in (128, 64, 32)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), *short], ["node", "short", "shorter", "shortest"])
 
-    return marks.join(wanted, "node", "left_semi").select("node", "bits").mapInArrow(run, "node long, short array<long>, shortest array<long>")
+    return marks.join(wanted, "node", "left_semi").select("node", "bits").mapInArrow(run, "node long, short array<long>, shorter array<long>, shortest array<long>")
 
 
 def _short_may_overlap(percent: int) -> Column:
@@ -370,7 +400,7 @@ def _short_may_overlap(percent: int) -> Column:
         return F.aggregate(apart, F.lit(0), lambda s, k: s + k)
 
     total = F.col("x_n") + F.col("y_n")
-    return (total - F.coalesce(far("short"), far("shortest"))) * (100 + percent) >= total * (2 * percent)
+    return (total - F.coalesce(far("short"), far("shorter"), far("shortest"))) * (100 + percent) >= total * (2 * percent)
 
 
 class _Tests:

@@ -331,6 +331,46 @@ def test_large_groups_of_texts_that_do_not_link(spark, monkeypatch):
     assert 1 < len({c for _, _, c in got}) < 60
 
 
+def test_nodes_of_large_groups_meet_once_a_first_token(spark):
+    """Pair keys with one first token are one group, unless their own groups hold fewer pairs."""
+    near = [(100 * a + b, node, 40, i) for node in (1, 2, 3, 4) for i, a in enumerate((7, 8, 9)) for b in (7, 8, 9) if a < b]
+    apart = [(51, node, 40, 2) for node in (11, 12, 13)] + [(52, node, 40, 2) for node in (14, 15, 16)]
+    long = [(7, node, 900, 5) for node in (21, 22)]
+    heads = {1: [7, 8, 9], 11: [0, 0, 5], 21: None}
+    stored = spark.createDataFrame([(node, heads[max(h for h in heads if h <= node)], bytearray(1)) for _, node, _, _ in near + apart + long],
+                                   "node long, heads array<long>, bits binary")
+    large = spark.createDataFrame(near + apart + long, "key long, node long, n long, at long")
+    comp = spark.createDataFrame([(1, 1), (2, 1)], "node long, comp long")
+    got = sorted(tuple(r) for r in ngram_join._gathered(large, stored, comp).collect())
+    assert got == sorted([(group, node, 40, at, 1 if node == 2 else node) for node in (1, 2, 3, 4) for group, at in ((7, 0), (8, 1))]
+                         + [(7, node, 900, 5, node) for node in (21, 22)] + [(key, node, n, at, node) for key, node, n, at in apart])
+
+
+def test_first_shared_token_is_the_first_of_a_shared_key():
+    """Of linked sets, at the positions which that key has in both."""
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(1, 1 << 62, 2000, dtype=np.uint64)
+    frequent = ngram_join.FrequentTokens(tokens[:900], np.arange(900))
+    seen = 0
+    for n in (20, 100, 339, 341, 400, 469, 472, 900):
+        for _ in range(12):
+            x = rng.choice(tokens, n, replace=False)
+            x, y = np.unique(x), np.unique(np.concatenate([x[:n - n // 20], rng.choice(tokens, n // 25, replace=False)]))
+            common = len(np.intersect1d(x, y))
+            if np.array_equal(x, y) or 100 * common < 85 * (len(x) + len(y) - common):
+                continue
+            keys = []
+            for s in (x, y):
+                k, at, heads = ngram_join.keys_and_heads(s, frequent, 85)
+                keys.append({v: (p, v if heads is None else heads[p]) for v, p in zip(k.tolist(), at.tolist(), strict=True)})
+            (i, t), (j, u) = min((keys[0][v], keys[1][v]) for v in keys[0].keys() & keys[1].keys())
+            orders = [np.concatenate(frequent.split(s)) for s in (x, y)]
+            first = next(v for v in orders[0] if v in orders[1])
+            assert (t, u, orders[0][i], orders[1][j]) == (first,) * 4
+            seen += 1
+    assert seen > 30
+
+
 def test_short_parities_never_rule_out_a_link():
     rng = np.random.default_rng(0)
     for n in (3, 40, 200, 300, 2000):
