@@ -9,9 +9,10 @@ probability 1 - 0.5 ** 8 = 0.996, equal windows always. Colliding (document, tem
 verified: the share of the template's distinct shingles that the whole text contains,
 compared as text, must reach ``least``.
 
-Built-in functions only. The templates are a bounded list (``MAX_WORDS``, checked), so their band
-index is broadcast and the windows stream past it; only the few documents with a collision
-are shuffled.
+Built-in functions only. The templates are a bounded list (``MAX_WORDS``, checked), so their
+shingles and their band index are broadcast. A first pass streams the texts' shingles past those of
+the templates: a text that has none of them cannot collide, and its windows are not hashed. Only the
+few documents with such a shingle are shuffled.
 """
 
 from __future__ import annotations
@@ -110,6 +111,13 @@ def size_for(shingles: int) -> int:
     return max(w for w in SIZES if w == 1 or shingles >= w + w // 2 - 1)
 
 
+def with_known_shingles(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The distinct rows (id, text) with one of the shingles ``known`` at least. Windows collide in a band when their least
+    hashes are equal, so when they share the shingle that has it: other texts collide with no template."""
+    held = _with_shingles(docs.withColumn("w", words_of(F.col("text"))), hashed=True).select("id", "text", F.explode_outer("s").alias("shingle"))
+    return held.join(F.broadcast(known.distinct()), "shingle").select("id", "text").distinct()
+
+
 def scan_licenses(df: DataFrame, templates: tuple[License, ...] = NOTICES, id_col: str = "doc_id", text_col: str = "text",
                   least: float = 0.8) -> DataFrame:
     """(id, license, containment double, found long, of long): one row for each document and template
@@ -136,8 +144,9 @@ def scan_licenses(df: DataFrame, templates: tuple[License, ...] = NOTICES, id_co
         index = part if index is None else index.unionByName(part)
     index = index.distinct()
 
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("w", words_of(F.col("text")))
-    docs = _with_permutations(_with_shingles(docs, hashed=True).select("id", "text", "s"), bands)
+    docs = with_known_shingles(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), hashed.select(F.explode("s").alias("shingle")))
+    docs = _with_shingles(docs.withColumn("w", words_of(F.col("text"))), hashed=True)
+    docs = _with_permutations(docs.select("id", "text", "s"), bands)
     keys = F.array_distinct(F.flatten(F.array(*[_window_keys(size, max(1, size // 2), bands) for size in used])))
     docs = docs.select("id", "text", keys.alias("keys"))
     # explode_outer: for explode() Spark infers a filter on the array's size and works it out a second time

@@ -61,6 +61,18 @@ def test_license_containment_equals_brute_force(spark):
     assert got == pytest.approx(want) and len(want) > 20
 
 
+def test_windows_are_hashed_only_of_texts_with_a_shingle_of_a_template(spark, monkeypatch):
+    hashed = []
+    real = licenses._with_permutations
+    monkeypatch.setattr(licenses, "_with_permutations", lambda df, bands: hashed.append(df) or real(df, bands))
+    filler = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, filler), (2, f"{filler} {licenses.NOTICES[0].text}"), (3, f"to deal in the software {filler}"), (4, None), (5, ""),
+            (6, "released under the mit"), (2, f"{filler} {licenses.NOTICES[0].text}")]
+    got = licenses.scan_licenses(docs(spark, rows)).collect()
+    assert [(r.doc_id, r.license) for r in got] == [(2, "MIT")]
+    assert key(r.id for r in hashed[-1].select("id").collect()) == [2, 3]
+
+
 def test_bands_keep_their_promise():
     assert 1 - (1 - licenses.ALIKE) ** licenses.bands_for() >= licenses.COLLISION
 
