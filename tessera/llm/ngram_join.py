@@ -358,8 +358,8 @@ def _gathered(large: DataFrame, stored: DataFrame, comp: DataFrame) -> DataFrame
     """(group, node, n, at, comp): the rows by which the nodes of large groups (key, node, n, at) meet. The pair keys of a set
     that start with one token are one group, named by that token, unless their own groups hold fewer pairs. Two linked
     nodes have the same first token in the first key that they share, at the positions which that key has."""
-    large = large.distinct()
-    spots = large.groupBy("node", "at").agg(F.first("n").alias("n"), F.min("key").alias("key"))
+    large = cut(large.distinct())
+    spots = cut(large.groupBy("node", "at").agg(F.first("n").alias("n"), F.min("key").alias("key")))
     heads = (stored.filter(F.col("bits").isNotNull()).select("node", "heads").join(spots.select("node").distinct(), "node", "left_semi")
              .groupBy("node").agg(F.first("heads").alias("heads")))
     spots = spots.join(heads, "node").select("node", "n", "at", F.coalesce(F.get("heads", F.col("at").cast("int")), "key").alias("token"))
