@@ -193,20 +193,24 @@ def frequent_tokens(docs: DataFrame, size: int) -> FrequentTokens:
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable, for every node of the edges (a, b), by large-star and
-    small-star rounds; each round is cut in the checkpoint folder."""
+    small-star rounds; each round is cut in the checkpoint folder and shuffles its edges three times."""
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    of_node = Window.partitionBy("u")
     state = None
     while True:
         sign = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign == state or not sign[0]:
             return e.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("comp"))
         state = sign
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        both = _pairs_of(e, ("u", "v"), ("v", "u"))
+        large = both.withColumn("m", F.least(F.min("v").over(of_node), "u")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = cut(_pairs_of(large.withColumn("m", F.min("v").over(of_node)), ("u", "m"), ("v", "m")).filter("u <> v").distinct())
+
+
+def _pairs_of(rows: DataFrame, *columns: tuple[str, str]) -> DataFrame:
+    """(u, v): for every row one for each of the given pairs of columns."""
+    made = F.explode(F.array(*[F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in columns]))
+    return rows.select(made.alias("pair")).select("pair.u", "pair.v")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
@@ -323,22 +327,22 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     likely = sides.groupBy("x").agg(F.min(F.struct("far", "y"))["y"].alias("y")).select(*ordered("x", "y")).distinct()
     likely = cut(likely)
     tested = _Tests(docs, nodes, size, percent, f"{path}/sets")
-    links = tested.links(likely)
+    comp = connected(tested.links(likely))
 
     # 2. the pairs found so far that the components still leave apart
-    comp = connected(links)
     of_a, of_b = (comp.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "ab")
     rest = cut(pairs.select("a", "b").join(of_a, "a", "left").join(of_b, "b", "left")
                .filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
     if not rest.isEmpty():
-        links = cut(links.unionByName(tested.links(rest)))
-        comp = connected(links)
+        comp = _merged(comp, tested.links(rest))
 
     # 3. in large groups of several components all nodes that are still apart
     named = _gathered(large, stored, comp)
     apart = named.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("group").agg(
         F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("group", "main")
-    open_rows = named.join(apart, "group")
+    open_rows = cut(named.join(apart, "group"))
+    if open_rows.isEmpty():
+        return nodes, comp
     open_rows = open_rows.join(_short_marks(marks, open_rows.select("node").distinct()), "node")
     # of two nodes in different components of a group at least one is outside the largest
     x = open_rows.filter("comp <> main").select("group", *[col(c).alias(f"x_{c}") for c in OPEN])
@@ -349,11 +353,18 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     more = _may_overlap(more, marks, percent).select("a", "b").join(likely.unionByName(rest), ["a", "b"], "left_anti")
     more = cut(more)
     if not more.isEmpty():
-        comp = connected(links.unionByName(tested.links(more)))
+        comp = _merged(comp, tested.links(more))
 
     return nodes, comp
 
 
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, comp) after further links (a, b): what was joined before is one edge a node."""
+    if links.isEmpty():
+        return comp
+    return connected(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
+
+
 def _gathered(large: DataFrame, stored: DataFrame, comp: DataFrame) -> DataFrame:
     """(group, node, n, at, comp): the rows by which the nodes of large groups (key, node, n, at) meet. The pair keys of a set
     that start with one token are one group, named by that token, unless their own groups hold fewer pairs. Two linked

@@ -117,6 +117,26 @@ def test_components_of_nothing(spark):
     assert [(r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs(spark, [(7, None)])).collect()] == [(0, 7)]
 
 
+def test_component_rounds_are_right_and_shuffle_three_times(spark, monkeypatch):
+    plans, cut = [], ngram_join.cut
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(ngram_join, "cut", noted)
+    chain = [(i, i + 1) for i in range(20, 60)] + [(30, 7), (100, 101), (102, 101), (101, 101), (5, 5)]
+    found = ngram_join.connected(spark.createDataFrame(chain, "a long, b long"))
+    want = {(i, 7) for i in [7, *range(20, 61)]} | {(i, 100) for i in (100, 101, 102)}
+    assert {tuple(r) for r in found.collect()} | {(7, 7), (100, 100)} == want
+    assert len(plans) > 2 and all(p.count("Exchange hashpartitioning") <= 3 for p in plans)
+    plans.clear()
+    more = ngram_join._merged(found, spark.createDataFrame([(102, 60), (200, 201)], "a long, b long"))
+    assert {tuple(r) for r in more.collect()} | {(7, 7), (200, 200)} == {(n, 7) for n, _ in want} | {(200, 200), (201, 200)}
+    plans.clear()
+    assert ngram_join._merged(found, spark.createDataFrame([], "a long, b long")) is found and not plans
+
+
 def test_prefix_keys_meet_for_every_linked_pair():
     rng = np.random.default_rng(1)
     tokens = rng.integers(1, 1 << 62, 2000, dtype=np.uint64)
