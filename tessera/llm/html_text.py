@@ -1,29 +1,29 @@
 """Main text of web pages.
 
-Markup decides first: what stands inside ``article`` or ``main`` is the text, without the menus,
-footers, sidebars, notices, adverts, forms, scripts and comments in it. For a page without
-such an element the host's pages decide by a suffix array: the token streams of the pages'
-other blocks are laid end to end, suffixes are ranked by prefix doubling, substrings of at
-least ``REPEAT`` tokens that occur on two distinct pages of the host cover boilerplate, and the runs
-that stay unique are the text.
+The pages of a host decide by a suffix array: the token streams of all their blocks, those inside
+``article`` or ``main`` and the others, are laid end to end, suffixes are ranked by prefix doubling, substrings
+of at least ``REPEAT`` tokens that occur on two distinct pages of the host are marked, and the runs
+that stay unique are proposed as the text. Menus, footers, sidebars, notices, adverts, forms,
+scripts and comments are known by their markup and are in no stream.
 
-The suffix array is not used inside an article: by itself it takes away articles of which a
-host has copies and passages that its articles share, and leaves boilerplate that a small host
-shows once (see the README for figures).
+A check by markup follows for every page that has an ``article`` or ``main`` element: marked runs inside are
+given back, since a host has copies of articles and passages that its articles share, and proposed
+runs outside are left out (see the README for what the array alone gets wrong). For the same
+reason what a page shows outside counts as marked only if another page shows it outside too.
 
-Parsing is one narrow pass. Only the streams outside articles are shuffled, by host; a host
+Parsing is one narrow pass. The streams are shuffled once, by host; a host
 with more than ``HOST_PAGES`` pages is dealt to several suffix arrays of about that size, its shares.
-What repeats between shares is found by the 128-bit hashes of all runs of ``REPEAT`` tokens: each
-share gives its distinct ones, and those of two shares go back to the shares that have them. So the
-text does not depend on how a host is dealt.
+What repeats between shares outside articles is found by the 128-bit hashes of all runs of ``REPEAT`` tokens: each
+share gives its distinct ones, and those of two shares go back to the shares that have them. Inside, the
+check gives back what any share has marked. So the text does not depend on how a host is dealt.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html
 import re
-import uuid
+from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import MASK64, map_text, mix64, texts
 from tessera.llm.urls import url_host
-from tessera.session import scratch_path
 
 REPEAT = 8
 HOST_PAGES = 512
@@ -125,20 +124,21 @@ def blocks(page: str) -> tuple[bool, list[str], list[str]]:
     return has_main, main, rest
 
 
-def repeated(streams: list[list[str]], least: int = REPEAT) -> list[np.ndarray]:
-    """For every page's tokens: which are covered by a substring of at least ``least`` tokens that
-    occurs on another page too. Suffixes are ranked by prefix doubling: after the step to length h
+def repeated(streams: list[list[str]], least: int = REPEAT, page: np.ndarray | None = None, inside: np.ndarray | None = None) -> list[np.ndarray]:
+    """For every stream's tokens: which are covered by a substring of at least ``least`` tokens that
+    occurs on another page too, for streams that are not ``inside`` an article: outside on another page. Every stream is
+    a page of its own unless ``page`` numbers them. Suffixes are ranked by prefix doubling: after the step to length h
     two suffixes have one rank if and only if their first h tokens are equal."""
-    sizes = [len(s) for s in streams]
-    n = sum(sizes) + len(sizes)
-    names: dict[str, int] = {}
-    tokens = np.zeros(n, dtype=np.int64)
-    page = np.repeat(np.arange(len(sizes)), np.array(sizes, dtype=np.int64) + 1)
-    at = 0
-    for i, s in enumerate(streams):
-        tokens[at:at + len(s)] = [names.setdefault(t, len(names)) for t in s]
-        tokens[at + len(s)] = -1 - i  # no substring goes past the end of its page
-        at += len(s) + 1
+    sizes = np.array([len(s) for s in streams], dtype=np.int64)
+    n = int(sizes.sum()) + len(sizes)
+    ends = np.cumsum(sizes + 1)
+    names: dict[str, int] = defaultdict(lambda: len(names))
+    tokens = np.empty(n, dtype=np.int64)
+    word = np.ones(n, dtype=bool)
+    word[ends - 1] = False
+    tokens[word] = np.fromiter(map(names.__getitem__, chain.from_iterable(streams)), dtype=np.int64, count=n - len(sizes))
+    tokens[~word] = -1 - np.arange(len(sizes))  # no substring goes past the end of its stream
+    stream = np.repeat(np.arange(len(sizes)), sizes + 1)
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     h = 1
     while h < least:
@@ -148,21 +148,22 @@ def repeated(streams: list[list[str]], least: int = REPEAT) -> list[np.ndarray]:
             after[:n - step] = rank[step:] + 1
         rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
         h += step
-    order = np.lexsort((page, rank))
-    r, p = rank[order], page[order]
-    starts = np.concatenate([[True], r[1:] != r[:-1]])
-    group = np.cumsum(starts) - 1
-    first_page = p[starts][group]
-    many = np.zeros(group[-1] + 1 if n else 0, dtype=bool)
-    np.logical_or.at(many, group, p != first_page)
+    order = np.argsort(rank, kind="stable")
+    first = np.flatnonzero(np.diff(rank[order], prepend=-1))  # of each group of equal ranks
+    p = stream if page is None else np.asarray(page)[stream]
+    many = (np.minimum.reduceat(p[order], first) < np.maximum.reduceat(p[order], first))[rank]
+    if inside is not None:
+        out = ~np.asarray(inside, dtype=bool)[stream]
+        low = np.minimum.reduceat(np.where(out, p, n)[order], first)
+        high = np.maximum.reduceat(np.where(out, p, -1)[order], first)
+        many = np.where(out, (low < high)[rank], many)
+    begin = np.flatnonzero(many)
+    begin = begin[stream[np.minimum(begin + least - 1, n - 1)] == stream[begin]]
     hit = np.zeros(n + 1, dtype=np.int64)
-    begin = order[many[group]]
-    begin = begin[page[np.minimum(begin + least - 1, n - 1)] == page[begin]]
-    np.add.at(hit, begin, 1)
-    np.add.at(hit, np.minimum(begin + least, n), -1)
+    hit[begin] += 1
+    hit[np.minimum(begin + least, n)] -= 1
     covered = np.cumsum(hit[:n]) > 0
-    ends = np.cumsum(np.array(sizes, dtype=np.int64) + 1)
-    return [covered[e - s - 1:e - 1] for e, s in zip(ends, sizes, strict=True)]
+    return [covered[e - s - 1:e - 1] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
 def run_hashes(streams: list[list[str]], least: int = REPEAT) -> tuple[np.ndarray, np.ndarray]:
@@ -191,29 +192,36 @@ def _numbers(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def unique_runs(page_blocks: list[list[str]], least: int = REPEAT, shared: np.ndarray | None = None) -> list[str]:
-    """The text of pages of one host: each block's tokens that no repeated substring covers, nor a run whose hash
-    is among ``shared``."""
-    split = [[b.split(" ") for b in bs] for bs in page_blocks]
-    streams = [[t for b in bs for t in b] for bs in split]
-    cover = repeated(streams, least)
+def main_texts(rest: list[list[str]], main: list[list[str] | None], least: int = REPEAT, shared: np.ndarray | None = None) -> list[str]:
+    """The text of pages of one host by their blocks outside an article and inside, None without one. Proposed are each block's
+    tokens that no repeated substring covers, nor outside a run whose hash is among ``shared``; the check
+    by markup keeps all of an article, and nothing else of a page that has one."""
+    n = len(rest)
+    split = [[b.split(" ") for b in bs or ()] for bs in (*rest, *main)]
+    streams = [list(chain.from_iterable(bs)) for bs in split]
+    cover = repeated(streams, least, np.tile(np.arange(n), 2), np.arange(2 * n) >= n)
     if shared is not None and len(shared):
-        h, at = run_hashes(streams, least)
+        h, at = run_hashes(streams[:n], least)
         number = _numbers(np.concatenate([shared, h]))
         begin = at[np.isin(number[len(shared):], number[:len(shared)])]
-        ends = np.cumsum([len(s) for s in streams])
+        ends = np.cumsum([len(s) for s in streams[:n]])
         hit = np.zeros(ends[-1] + 1, dtype=np.int64)
         hit[begin] += 1
         hit[begin + least] -= 1
-        cover = [c | (x > 0) for c, x in zip(cover, np.split(np.cumsum(hit[:-1]), ends[:-1]), strict=True)]
+        cover[:n] = [c | (x > 0) for c, x in zip(cover[:n], np.split(np.cumsum(hit[:-1]), ends[:-1]), strict=True)]
     out = []
-    for bs, c in zip(split, cover, strict=True):
-        kept, at = [], 0
-        for b in bs:
-            text = " ".join(t for t, gone in zip(b, c[at:at + len(b)], strict=True) if not gone)
-            at += len(b)
-            if text:
-                kept.append(text)
+    for i in range(n):
+        kept = []
+        for blocks_, bs, gone, inside in ((rest[i], split[i], cover[i], False), (main[i] or (), split[n + i], cover[n + i], True)):
+            keep = (~gone | inside) & (inside or main[i] is None)
+            at = 0
+            for whole, b in zip(blocks_, bs, strict=True):
+                k = keep[at:at + len(b)]
+                at += len(b)
+                if k.all():
+                    kept.append(whole)
+                elif k.any():
+                    kept.append(" ".join(t for t, x in zip(b, k.tolist(), strict=True) if x))
         out.append("\n".join(kept))
     return out
 
@@ -222,57 +230,51 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """(id, url, text, n_chars) for every row: the blocks of the main text joined by line breaks. Null and empty
     html, and pages without text, give an empty text. Null urls are one host. Repeated rows
     come out as often as they came in; copies are one page to the suffix array only if their id and url are equal."""
-    spark = pages.sparkSession
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("text"))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
+    # hosts of several shares: at most one for every HOST_PAGES pages
+    large = rows.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / HOST_PAGES).cast("int").alias("shares")).filter("shares > 1")
+    # pandas knows no LONG with a null: ids go through it as text
+    rows = rows.join(F.broadcast(large), "host", "left").select(
+        F.col("id").cast("string").alias("id"), "url", F.md5(F.coalesce("text", F.lit(""))).alias("mark"), "host", F.coalesce("shares", F.lit(1)).alias("shares"), "text")
+    share = F.pmod(F.xxhash64("id", "url", "mark"), F.col("shares")).alias("share")
+    rows = rows.select("id", "url", "mark", "host", "shares", share, "text")
 
     def parse():
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             found = [blocks(t) for t in texts(b.column("text"))]
             return pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("url"), pa.array([f[0] for f in found], pa.bool_()),
-                 pa.array(["\n".join(f[1]) if f[0] else None for f in found], pa.string()),
-                 pa.array([f[2] for f in found], pa.list_(pa.string())),
-                 pa.array([hashlib.md5(t.encode()).hexdigest() for t in texts(b.column("text"))], pa.string())],
-                ["id", "url", "has_main", "main", "rest", "mark"])
+                [*b.columns[:-1], pa.array(["\n".join(f[2]) for f in found], pa.string()),
+                 pa.array(["\n".join(f[1]) if f[0] else None for f in found], pa.string())],
+                [*b.schema.names[:-1], "rest", "main"])
         return one
 
-    path = scratch_path(spark, f"html-{uuid.uuid4().hex[:12]}")
-    map_text(rows, parse, f"id {kind}, url string, has_main boolean, main string, rest array<string>, mark string", size=4 << 20).write.parquet(path)
-    parsed = spark.read.parquet(path)
-    done = parsed.filter("has_main").select("id", "url", F.col("main").alias("text"))
-    # pandas knows no LONG with a null: ids go through it as text
-    streams = parsed.select(F.col("id").cast("string").alias("id"), "url", "mark", "has_main", "rest", url_host(F.col("url")).alias("host"))
-    wanted = streams.filter(~F.col("has_main") | (F.size("rest") > 0))
-    shares = wanted.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / HOST_PAGES).cast("int").alias("shares"))
-    dealt = wanted.join(shares, "host").withColumn("share", F.pmod(F.xxhash64("id", "url", "mark"), F.col("shares")))
+    # blocks hold no line break: joined by one they are one value
+    dealt = map_text(rows, parse, "id string, url string, mark string, host string, shares int, share long, rest string, main string", size=4 << 20)
 
     def pages_of(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, list[list[str]]]:
         pdf = pdf.sort_values(["id", "url", "mark"], ignore_index=True)
         same = pdf.duplicated(["id", "url", "mark"]).to_numpy()
-        return pdf, same, [[] if s else list(r) for r, s in zip(pdf["rest"], same, strict=True)]
+        return pdf, same, [r.split("\n") if r and not s else [] for r, s in zip(pdf["rest"], same, strict=True)]
 
     def runs(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        h, _ = run_hashes([[t for b in bs for t in b.split(" ")] for bs in pages_of(pdf)[2]])
+        several = pdf["shares"].iloc[0] > 1
+        h, _ = run_hashes([[t for b in bs for t in b.split(" ")] for bs in pages_of(pdf)[2]] if several else [])
         h = h[np.unique(_numbers(h), return_index=True)[1]].view(np.int64)
         return pd.DataFrame({"host": key[0], "share": key[1], "high": h[:, 0], "low": h[:, 1]})
 
     def run(key, pdf: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
-        pdf, same, of_page = pages_of(pdf)
-        text = unique_runs(of_page, shared=shared[["high", "low"]].to_numpy(dtype=np.int64).view(np.uint64))
+        pdf, same, rest = pages_of(pdf)
+        main = [None if m is None else m.split("\n") if m and not s else [] for m, s in zip(pdf["main"], same, strict=True)]
+        text = main_texts(rest, main, shared=shared[["high", "low"]].to_numpy(dtype=np.int64).view(np.uint64))
         for i in np.flatnonzero(same):
             text[i] = text[i - 1]
-        out = pdf[["id", "url"]].assign(text=text)
-        return out[~pdf["has_main"].to_numpy(dtype=bool)]
+        return pdf[["id", "url"]].assign(text=text)
 
-    # the runs of tokens that two shares of a host have: a share gives each of its runs once
-    given = dealt.filter("shares > 1").select("host", "share", "id", "url", "mark", "rest").groupBy("host", "share").applyInPandas(
-        runs, "host string, share long, high long, low long")
+    # the runs of tokens outside articles that two shares of a host have: a share gives each of its runs once
+    given = dealt.groupBy("host", "share").applyInPandas(runs, "host string, share long, high long, low long")
     of_run = Window.partitionBy("host", "high", "low")
     shared = (given.withColumns({"first": F.min("share").over(of_run), "last": F.max("share").over(of_run)})
               .filter("first < last").select("host", "share", "high", "low"))
-    by_host = dealt.select("host", "share", "id", "url", "mark", "has_main", "rest").groupBy("host", "share").cogroup(
-        shared.groupBy("host", "share")).applyInPandas(run, "id string, url string, text string")
-    by_host = by_host.withColumn("id", F.col("id").cast(kind))
-    return done.unionByName(by_host).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
-                                            F.length("text").cast("long").alias("n_chars"))
+    by_host = dealt.groupBy("host", "share").cogroup(shared.groupBy("host", "share")).applyInPandas(run, "id string, url string, text string")
+    return by_host.select(F.col("id").cast(kind).alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

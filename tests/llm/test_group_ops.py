@@ -181,6 +181,43 @@ def test_repeated_substrings_equal_brute_force():
         assert cover[i].tolist() == want
 
 
+def test_every_stream_goes_through_the_suffix_array(monkeypatch):
+    seen, repeated = [], html_text.repeated
+
+    def noted(streams, *more):
+        seen.append((streams, cover := repeated(streams, *more)))
+        return cover
+
+    monkeypatch.setattr(html_text, "repeated", noted)
+    article = [" ".join(f"a{i}" for i in range(12)), "the end"]
+    passage, legal = " ".join(f"p{i}" for i in range(9)), " ".join(f"l{i}" for i in range(10))
+    rest = [[legal], [legal, "seen once"], [], [legal, passage, "own words"], [passage]]
+    main = [article, article, ["new", passage], None, None]
+    text = html_text.main_texts(rest, main)
+    assert text == ["\n".join(article)] * 2 + [f"new\n{passage}", "own words", ""]
+    (streams, cover), = seen
+    assert streams == [" ".join(bs or ()).split() for bs in (*rest, *main)]
+    # copies and passages inside are marked, given back; outside only what another page shows outside counts
+    assert [int(c.sum()) for c in cover] == [10, 10, 0, 19, 9, 14, 14, 9, 0, 0]
+    assert html_text.main_texts(rest[2:4], main[2:4]) == [f"new\n{passage}", f"{legal}\n{passage}\nown words"]
+
+
+def test_repeated_inside_and_outside_equals_brute_force():
+    rng = random.Random(5)
+    for _ in range(60):
+        n, least = rng.randint(1, 8), rng.choice([1, 2, 3, 5])
+        streams = [[f"w{rng.randint(0, 3)}" for _ in range(rng.randint(0, 14))] for _ in range(n)]
+        page, inside = np.array([rng.randint(0, 4) for _ in range(n)]), np.array([rng.random() < 0.5 for _ in range(n)])
+        runs = [{tuple(s[i:i + least]) for i in range(len(s) - least + 1)} for s in streams]
+        for k, got in enumerate(html_text.repeated(streams, least, page, inside)):
+            others = set().union(*[runs[j] for j in range(n) if page[j] != page[k] and (inside[k] or not inside[j])])
+            want = [False] * len(streams[k])
+            for i in range(len(want) - least + 1):
+                if tuple(streams[k][i:i + least]) in others:
+                    want[i:i + least] = [True] * least
+            assert got.tolist() == want
+
+
 def test_main_text_does_not_depend_on_shares(spark, monkeypatch):
     rng = random.Random(12)
     notices = [" ".join(f"n{k}x{i}" for i in range(rng.choice([7, 8, 9, 20]))) for k in range(12)]
