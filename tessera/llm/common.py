@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, shuffles_freed  # noqa: F401 (also for the operators)
 
 MASK64 = (1 << 64) - 1
 #: A Python stage cuts what Arrow hands it into pieces of about this many bytes of text.
@@ -35,19 +34,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """The shuffle files of frames made inside go when their job is over, not when the driver's garbage
-    collector finds them. For frames that are worked once; one that is returned to a caller is made outside."""
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting, "false")
-    spark.conf.set(setting, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows again, in slices of about ``size`` bytes of text (one long text is one slice)."""
     for batch in batches:
