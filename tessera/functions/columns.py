@@ -41,6 +41,15 @@ def surrogate_key(*cols: str | Column) -> Column:
     return F.sha2(F.concat_ws("||", *[_col(c) for c in cols]), 256)
 
 
+def short_key(c: str | Column) -> Column:
+    """A text key as bytes that are equal where the keys are: a surrogate key as its 32 bytes, any other text as its own after a byte that sets it apart."""
+    text = _col(c)
+    tagged = F.concat(F.lit(b"\x00"), text.cast("binary"))
+    # (a tagged text of 32 bytes starts with the tag; a surrogate key that starts with it is tagged too)
+    own = F.when(text.startswith("00"), F.concat(F.lit(b"\x01"), F.unhex(text))).otherwise(F.unhex(text))
+    return F.when((F.length(text) == 64) & text.rlike("^[0-9a-f]{64}$"), own).otherwise(tagged)
+
+
 def date_key(c: str | Column) -> Column:
     """yyyyMMdd as INT."""
     return F.date_format(_col(c), "yyyyMMdd").cast("int")
