@@ -42,12 +42,12 @@ def surrogate_key(*cols: str | Column) -> Column:
 
 
 def short_key(c: str | Column) -> Column:
-    """A text key as bytes that are equal where the keys are: a surrogate key as its 32 bytes, any other text as its own after a byte that sets it apart."""
+    """A text key as bytes that are equal where the keys are: a surrogate key as its 32 bytes, any other text as its own bytes
+    after one that sets it apart (or after two, so that it never has 32)."""
     text = _col(c)
-    tagged = F.concat(F.lit(b"\x00"), text.cast("binary"))
-    # (a tagged text of 32 bytes starts with the tag; a surrogate key that starts with it is tagged too)
-    own = F.when(text.startswith("00"), F.concat(F.lit(b"\x01"), F.unhex(text))).otherwise(F.unhex(text))
-    return F.when((F.length(text) == 64) & text.rlike("^[0-9a-f]{64}$"), own).otherwise(tagged)
+    digest = F.when((F.length(text) == 64) & (F.lower(text) == text), F.unhex(text))  # NULL for what is not hexadecimal
+    tag = F.when(F.octet_length(text) == 31, F.lit(b"\x01\x00")).otherwise(F.lit(b"\x00"))
+    return F.coalesce(digest, F.concat(tag, text.cast("binary")))
 
 
 def date_key(c: str | Column) -> Column:

@@ -5,13 +5,15 @@ later stages start from storage rather than recomputing the lineage."""
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import gold as G
 from tessera.operators.quality import assert_keys, assert_reconciled, reconcile_layers, reconcile_rows
 from tessera.plans.profiling import CONSTRAINT_REPORTS
 from tessera.plans.tables import GOLD_INPUTS, SILVER_INPUTS
+from tessera.session import shuffles_freed, side_by_side
 from tessera.sources.schemas import GOLD_ORDER, SCHEMAS, SILVER_ORDER
 from tessera.sources.sinks import publish_run, register_tables, stage_table, write_table
 
@@ -37,19 +39,30 @@ def land_bronze(bronze: dict[str, DataFrame], base: str,
 
 def build_silver_layer(bronze: dict[str, DataFrame], base: str, staged: dict[str, str],
                        timings: dict[str, float] | None = None, wanted: set[str] | None = None) -> dict[str, DataFrame]:
-    """New, unpublished versions (of the ``wanted`` tables); ``staged`` gets path -> version."""
-    silver = {}
-    for name in SILVER_ORDER:
-        if wanted is not None and name not in wanted:
-            continue
-        t0 = time.time()
+    """New, unpublished versions (of the ``wanted`` tables), a few written at once; ``staged`` gets path -> version."""
+    names = [n for n in SILVER_ORDER if wanted is None or n in wanted]
+
+    def job(name: str):
         fn, inputs = SILVER_INPUTS[name]
-        path = f"{base}/silver/{name}"
-        silver[name], staged[path] = stage_table(fn(*[bronze[b] for b in inputs]), path, schema=SCHEMAS[name], table=name,
-                                                 sort_by=SORT_BY.get(name))
-        if timings is not None:
-            timings[f"stg_{name}"] = time.time() - t0
-    return silver
+        return lambda _: _staged(lambda: fn(*[bronze[b] for b in inputs]), f"{base}/silver/{name}", name, timings, f"stg_{name}")
+
+    spark = next(iter(bronze.values())).sparkSession
+    return _side_by_side(spark, {n: job(n) for n in names}, base, "silver", staged)
+
+
+def _staged(build: Callable[[], DataFrame], path: str, name: str, timings: dict[str, float] | None, label: str) -> tuple[DataFrame, str]:
+    t0 = time.time()
+    out = stage_table(build(), path, schema=SCHEMAS[name], table=name, sort_by=SORT_BY.get(name))
+    if timings is not None:
+        timings[label] = time.time() - t0
+    return out
+
+
+def _side_by_side(spark: SparkSession, jobs: dict, base: str, layer: str, staged: dict[str, str], after: dict | None = None) -> dict[str, DataFrame]:
+    with shuffles_freed(spark):
+        done = side_by_side(spark, jobs, after)
+    staged |= {f"{base}/{layer}/{n}": version for n, (_, version) in done.items()}
+    return {n: df for n, (df, _) in done.items()}
 
 
 def build_gold_layer(silver: dict[str, DataFrame], base: str, staged: dict[str, str], timings: dict[str, float] | None = None,
@@ -68,17 +81,12 @@ def build_gold_layer(silver: dict[str, DataFrame], base: str, staged: dict[str,
         "fact_order_item": lambda g: G.build_fact_order_item(s["order_items"], s["orders"], s["customers"]),
         "dim_customer_history": lambda g: G.build_dim_customer_history(s["customers"], s["orders"]),
     }
-    gold: dict[str, DataFrame] = {}
-    for name in GOLD_ORDER:
-        if wanted is not None and name not in wanted:
-            continue
-        t0 = time.time()
-        path = f"{base}/gold/{name}"
-        gold[name], staged[path] = stage_table(builders[name]((known or {}) | gold), path, schema=SCHEMAS[name], table=name,
-                                               sort_by=SORT_BY.get(name))
-        if timings is not None:
-            timings[name] = time.time() - t0
-    return gold
+    names = [n for n in GOLD_ORDER if wanted is None or n in wanted]
+
+    def job(name: str):
+        return lambda done: _staged(lambda: builders[name]((known or {}) | {n: df for n, (df, _) in done.items()}), f"{base}/gold/{name}", name, timings, name)
+
+    return _side_by_side(next(iter(s.values())).sparkSession, {n: job(n) for n in names}, base, "gold", staged, {"dim_customer": ("fact_order",)})
 
 
 def with_inputs(names: set[str]) -> set[str]:

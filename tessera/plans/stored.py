@@ -30,7 +30,7 @@ class Stored:
         self.base = scratch_path(spark, f"stored-{uuid.uuid4().hex[:12]}")
         self.bronze = RetailTables(spark, sf_dir).all_bronze()
         self.tables: dict[str, DataFrame] = {}
-        self.keys = KeyCounts(spark, f"{self.base}/keys", buckets=8)  # a few files a table: raise with the data
+        self.keys = KeyCounts(spark, f"{self.base}/keys", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
         self._by_month: DataFrame | None = None
 
     def need(self, *names: str) -> dict[str, DataFrame]:
@@ -58,6 +58,7 @@ def dq_pk_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every primary key, checked on stored key counts."""
     s = stored(spark, sf_dir)
     tables = s.need(*SCHEMAS)
+    s.keys.prepare([(tables[n], n, KEYS[n]) for n in SCHEMAS])
     return union_all([s.keys.pk_check(tables[n], n, KEYS[n]) for n in SCHEMAS])
 
 
@@ -65,6 +66,7 @@ def dq_fk_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every foreign key, checked on stored key counts."""
     s = stored(spark, sf_dir)
     tables = s.need(*SCHEMAS)
+    s.keys.prepare([(tables[n], n, [key]) for c, cc, p, pc in FOREIGN_KEYS for n, key in ((c, cc), (p, pc))])
     return union_all([s.keys.fk_check(tables[c], cc, tables[p], pc, c, p) for c, cc, p, pc in FOREIGN_KEYS])
 
 
